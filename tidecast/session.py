@@ -36,6 +36,7 @@ def get_spark(master: str | None = None, app: str = "tidecast",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
