@@ -46,14 +46,17 @@ def time_block(ts: str, block_days: int) -> Column:
 def with_position(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, *,
                   block_days: int | None = DEFAULT_BLOCK_DAYS,
                   with_count: bool = False, pos_col: str = POS,
-                  count_col: str = N_ROWS) -> DataFrame:
+                  count_col: str = N_ROWS, tie_break: list[str] | None = None) -> DataFrame:
     """Add the 1-based time-ordered row position per series (and the series length).
 
-    Ties on the timestamp are broken by value so the result is deterministic.
-    ``block_days=None`` uses the plain per-series window (one task per series).
+    Ties on the timestamp are broken by ``tie_break`` columns (default: value)
+    so the result is deterministic.  ``block_days=None`` uses the plain
+    per-series window (one task per series).
     """
     s, t, v = cols.series, cols.ts, cols.value
-    order = [F.col(t), F.col(v)] if v in df.columns else [F.col(t)]
+    if tie_break is None:
+        tie_break = [v] if v in df.columns else []
+    order = [F.col(t)] + [F.col(c) for c in tie_break]
     if block_days is None:
         w = Window.partitionBy(s).orderBy(*order)
         out = df.withColumn(pos_col, F.row_number().over(w).cast("long"))

@@ -8,6 +8,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.metrics import round_half_away
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,9 +40,7 @@ def r4(c: Column | str, digits: int = 4) -> Column:
     the same IEEE operations as DuckDB's ``round`` so reports are comparable bit
     for bit (rounding the shortest decimal repr differs at binary near-ties).
     """
-    x = F.col(c) if isinstance(c, str) else c
-    scale = F.lit(float(10 ** digits))
-    return F.round(x * scale) / scale
+    return round_half_away(F.col(c) if isinstance(c, str) else c, digits)
 
 
 def sql_round(expr: str, digits: int = 4) -> str:
