@@ -30,7 +30,7 @@ def _lag_sql(lags=LAGS) -> list[str]:
 def _rolling_sql(sizes=WINDOWS) -> list[str]:
     """Exact decimal moments, as ``rolling_columns(exact_scale=2)``."""
     out = []
-    x = "CAST(value AS DECIMAL(18,2))"
+    x = "CAST(value AS DECIMAL(38,2))"
     for n in sizes:
         fr = W_SQL.format(frame=f" ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
         cnt, s1, s2 = f"count(value) {fr}", f"sum({x}) {fr}", f"sum({x} * {x}) {fr}"
