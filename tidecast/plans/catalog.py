@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_ensemble, q_eval, q_features, q_reconcile, q_store  # noqa: F401
+from . import q_ensemble, q_eval, q_features, q_models, q_reconcile, q_store  # noqa: F401
 from .registry import REGISTRY
 
 
