@@ -64,7 +64,7 @@ def with_position(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, *,
             out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(s)))
         return out
 
-    d = df.withColumn(_TB, time_block(t, block_days))
+    d = df.select("*", time_block(t, block_days).alias(_TB))
     counts = d.groupBy(s, _TB).agg(F.count(F.lit(1)).alias("_n"))
     per_series = Window.partitionBy(s)
     running = per_series.orderBy(_TB).rowsBetween(Window.unboundedPreceding, -1)
@@ -75,8 +75,9 @@ def with_position(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, *,
         keep.append(count_col)
     d = d.join(offsets.select(*keep), [s, _TB])
     w = Window.partitionBy(s, _TB).orderBy(*order)
-    d = d.withColumn(pos_col, (F.col("_off") + F.row_number().over(w)).cast("long"))
-    return d.drop(_TB, "_off")
+    extra = [count_col] if with_count else []
+    return d.select(*df.columns, *extra,
+                    (F.col("_off") + F.row_number().over(w)).cast("long").alias(pos_col))
 
 
 def halo_window(df: DataFrame, build: Callable[[WindowSpec], dict[str, Column]], halo: int,
@@ -97,17 +98,16 @@ def halo_window(df: DataFrame, build: Callable[[WindowSpec], dict[str, Column]],
     d = df if had_pos else with_position(df, cols, block_days=block_days, pos_col=pos_col)
     b = max(int(block_rows), 2 * int(halo), 1)
     p0 = F.col(pos_col) - 1
-    own = F.struct((p0 / b).cast("long").alias("b"), F.lit(False).alias("h"))
-    nxt = F.struct(((p0 / b).cast("long") + 1).alias("b"), F.lit(True).alias("h"))
+    own = F.struct((p0 / b).cast("long").alias(_RB), F.lit(False).alias(_HALO))
+    nxt = F.struct(((p0 / b).cast("long") + 1).alias(_RB), F.lit(True).alias(_HALO))
     copy_forward = ((p0 % b) >= (b - halo)) if halo > 0 else F.lit(False)
-    d = (d.withColumn("_rb", F.explode(F.when(copy_forward, F.array(own, nxt))
-                                        .otherwise(F.array(own))))
-          .withColumn(_RB, F.col("_rb.b")).withColumn(_HALO, F.col("_rb.h")).drop("_rb"))
+    keep = [c for c in d.columns if (had_pos or keep_pos or c != pos_col)]
+    d = (d.select("*", F.inline(F.when(copy_forward, F.array(own, nxt))
+                                 .otherwise(F.array(own)))))
     w = Window.partitionBy(s, _RB).orderBy(pos_col)
-    out = d.withColumns(build(w)).where(~F.col(_HALO)).drop(_RB, _HALO)
-    if not (had_pos or keep_pos):
-        out = out.drop(pos_col)
-    return out
+    exprs = build(w)
+    return (d.select(*keep, *[e.alias(k) for k, e in exprs.items()], F.col(_HALO))
+             .where(~F.col(_HALO)).select(*keep, *exprs.keys()))
 
 
 def last_n_rows(df: DataFrame, n: int, cols: SeriesCols = DEFAULT_COLS, *,

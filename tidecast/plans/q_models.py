@@ -94,3 +94,65 @@ def q_hw_search(spark, d):
     return fc.join(fit.select("series_id", "alpha", "beta", "gamma"), "series_id").select(
         "series_id", "step", "timestamp", r4("forecast", 2).alias("forecast"),
         "alpha", "beta", "gamma")
+
+
+# ---------------------------------------------------------------- trend + season, GBT
+
+@register("trend_season", note="ridge trend + Fourier seasonality per series; rows-only check")
+def q_trend_season(spark, d):
+    from ..operators import trendseason as tsr
+    params = tsr.fit(tables.daily_orders(spark, d), mode="multiplicative")
+    fc = tsr.forecast(params, HORIZON, "D")
+    return fc.select("series_id", F.col("step").cast("int").alias("step"), "timestamp",
+                     r4("forecast", 2).alias("forecast"))
+
+
+def _gbt_data(spark, d):
+    from ..operators import features as feat
+    from ..operators import split
+    from .q_features import DAILY_SPEC
+    from ..session import cut_lineage
+    # features feed the split, the fit and the scoring: materialise them once
+    f = cut_lineage(feat.all_features(tables.daily_orders(spark, d), DAILY_SPEC))
+    s = split.chrono_split(f, 0.8).drop("pos", "n_rows")
+    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
+
+
+# The demo's boosted-tree settings (300 trees, learning rate 0.05, unlimited depth).
+GBT_DEMO = dict(n_estimators=300, learning_rate=0.05, max_depth=-1)
+
+
+_FITTED: dict = {}
+
+
+def _gbt_model(spark, d):
+    """One fit per (session, data directory): forecast, importance and the zero-vector
+    fallback are three views of the same trained model."""
+    from ..operators import gbt
+    key = (id(spark), d)
+    if key not in _FITTED:
+        train, test = _gbt_data(spark, d)
+        _FITTED[key] = (gbt.fit(train, **GBT_DEMO), test)
+    return _FITTED[key]
+
+
+@register("gbt_forecast", note="global GBTRegressor on lag/rolling/calendar/Fourier features")
+def q_gbt_forecast(spark, d):
+    model, test = _gbt_model(spark, d)
+    out = model.predict(test)
+    return out.select("series_id", "timestamp", F.col("value").alias("actual"),
+                      r4("forecast", 2).alias("forecast"))
+
+
+@register("gbt_importance", note="feature importances of the global GBT model")
+def q_gbt_importance(spark, d):
+    model, _ = _gbt_model(spark, d)
+    return model.importance(spark).select("feature", r4("importance", 6).alias("importance"))
+
+
+@register("naive_zero_vector", note="GBT prediction at the zero feature vector over a 14-step spine")
+def q_naive_zero_vector(spark, d):
+    model, _ = _gbt_model(spark, d)
+    spine = grid.future_spine(tables.daily_orders(spark, d), HORIZON, freq="D")
+    return model.predict_zero(spark, spine).select(
+        "series_id", "step", "timestamp", r4("forecast", 2).alias("forecast"))

@@ -40,10 +40,30 @@ def get_spark(master: str | None = None, app: str = "tidecast",
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     checkpoint_root(spark)
     return spark
 
 
+# Session settings the plans here rely on.  Constraint propagation infers
+# predicates from every aliased expression; on the wide feature plans (dozens of
+# window columns over self-joined position tables) its cost grows combinatorially
+# and planning, not execution, dominates.  The plans state their filters explicitly.
+SESSION_SETTINGS = {
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply :data:`SESSION_SETTINGS` (runtime SQL confs) to a session."""
+    for k, v in SESSION_SETTINGS.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
