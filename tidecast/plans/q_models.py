@@ -156,3 +156,13 @@ def q_naive_zero_vector(spark, d):
     spine = grid.future_spine(tables.daily_orders(spark, d), HORIZON, freq="D")
     return model.predict_zero(spark, spine).select(
         "series_id", "step", "timestamp", r4("forecast", 2).alias("forecast"))
+
+
+@register("train_and_score", note="features → split → CV (HW, trend+season) → final fit → test metrics")
+def q_train_and_score(spark, d):
+    from . import training
+    from .q_features import DAILY_SPEC
+    model, _ = _gbt_model(spark, d)
+    cfg = training.TrainingConfig(spec=DAILY_SPEC, gbt_params=GBT_DEMO)
+    res = training.run(tables.daily_orders(spark, d), cfg, gbt_model=model)
+    return training.summary(res)
