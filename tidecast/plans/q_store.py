@@ -206,3 +206,18 @@ def q_future_spine(spark, d):
     a = grid.future_spine(tables.daily_orders(spark, d), 14, freq="D")
     b = grid.future_spine(tables.monthly_nation(spark, d), 14, freq="MS")
     return a.unionByName(b)
+
+
+# ---------------------------------------------------------------- streaming ingest
+
+@register("stream_append", sql=(
+    "SELECT CAST(event_type AS VARCHAR) AS series_id, CAST(ts AS TIMESTAMP) AS \"timestamp\", "
+    "CAST(value AS DOUBLE) AS value FROM events"))
+def q_stream_append(spark, d):
+    from ..streaming import ingest
+    s = st.SeriesStore(spark, scratch_path(spark, "stream-store"), n_buckets=16)
+    schema = tables.table(spark, d, "events").schema
+    q = ingest.ingest(spark, d, schema, s, series_col="event_type", ts_col="ts",
+                      value_col="value", metadata_col="props", glob="events.parquet")
+    q.awaitTermination()
+    return s.read().select(*CANON)

@@ -7,8 +7,8 @@ one bucket, so a scan for one series prunes every other partition directory
 
 Writes are append-only and carry a write sequence ``_seq`` (epoch micros of the
 commit).  Key conflicts ``(series_id, timestamp)`` resolve at read time: last
-write wins (``max_by`` over ``_seq``: a partial aggregation keyed by the full
-key, so no hot series ever lands in one task).  ``compact`` rewrites a store as
+write wins (``max_by`` over ``_seq``, ties broken by value: a partial
+aggregation keyed by the full key, so no hot series ever lands in one task).  ``compact`` rewrites a store as
 one version per key.
 """
 
@@ -110,7 +110,8 @@ class SeriesStore:
         if where is not None:
             r = r.where(where)
         latest = (r.groupBy(SERIES, TS)
-                   .agg(F.max_by(F.struct(VALUE, METADATA), F.col(SEQ)).alias("_v")))
+                   .agg(F.max_by(F.struct(VALUE, METADATA),
+                                 F.struct(F.col(SEQ), F.col(VALUE))).alias("_v")))
         return latest.select(SERIES, TS, F.col("_v." + VALUE).alias(VALUE),
                              F.coalesce(F.col("_v." + METADATA), _empty_map()).alias(METADATA))
 
