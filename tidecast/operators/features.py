@@ -120,12 +120,16 @@ def fourier_features(df: DataFrame, order: int = DEFAULT_FOURIER_ORDER,
         return df
     t0 = fourier_origin(df, cols) if origin is None else (
         origin if isinstance(origin, Column) else F.lit(origin).cast("timestamp_ntz"))
-    return df.withColumns(cal.fourier_columns(cal.days_since(cols.ts, t0), order, period))
+    # The day offset is projected once: a scalar subquery referenced by every sin/cos
+    # term would otherwise be planned (and executed) once per term.
+    with_days = df.select("*", cal.days_since(cols.ts, t0).alias("_fourier_days"))
+    terms = cal.fourier_columns(F.col("_fourier_days"), order, period)
+    return with_days.select(*df.columns, *[c.alias(k) for k, c in terms.items()])
 
 
 def all_features(df: DataFrame, spec: FeatureSpec = FeatureSpec(), drop_na: bool = True,
                  origin=None, **kw) -> DataFrame:
-    """Lags → rolling → calendar → Fourier → drop incomplete rows, in one plan.
+    """Lags → rolling → drop incomplete rows → calendar → Fourier, in one plan.
 
     Lags and rolling statistics are evaluated in a single window pass.
     """
@@ -140,13 +144,16 @@ def all_features(df: DataFrame, spec: FeatureSpec = FeatureSpec(), drop_na: bool
     out = df
     if lags or sizes:
         out = windows.halo_window(df, build, spec.halo, c, **kw)
+    # Calendar and Fourier terms are never NULL for a non-NULL timestamp, so incomplete
+    # rows are dropped before they are added: the same rows go, and the NULL filter is
+    # not pushed through (and does not duplicate) the Fourier origin subquery.
+    if drop_na:
+        out = drop_incomplete(out)
     if spec.calendar:
         out = calendar_features(out, c)
     if spec.fourier_order > 0:
         t0 = fourier_origin(df, c) if origin is None else origin
         out = fourier_features(out, spec.fourier_order, spec.fourier_period, c, origin=t0)
-    if drop_na:
-        out = drop_incomplete(out)
     return out
 
 

@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 METHODS = ("bottom_up", "top_down", "mint")
 COV_METHODS = ("ols", "shrink", "sample", "diag")
 SHRINK_ALPHA = 0.5  # fixed shrinkage toward the diagonal
@@ -31,6 +33,16 @@ MAX_DEPTH = 64
 MAX_NODES = 5000
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a hierarchy-sized input once (reliable checkpoint in the shared folder).
+
+    Base forecasts, residuals and S are read by several branches and scalar
+    subqueries of one reconciliation; materialising them keeps their upstream
+    plan (e.g. a join over the fact table) from being evaluated once per reference.
+    """
+    return cut_lineage(df)
+
+
 def _view(spark: SparkSession, df: DataFrame, prefix: str) -> str:
     name = f"_{prefix}_{uuid.uuid4().hex[:10]}"
     df.createOrReplaceTempView(name)
@@ -116,7 +128,8 @@ def _aggregate_up(s: DataFrame, leaf_fc: DataFrame, h: F.Column) -> DataFrame:
 # ---------------------------------------------------------------- methods
 def bottom_up(edges: DataFrame, base: DataFrame, s: DataFrame | None = None) -> DataFrame:
     """Leaves keep their forecasts; every parent is the sum of its leaves."""
-    s = summing_matrix(edges) if s is None else s
+    s = materialise(summing_matrix(edges)) if s is None else s
+    base = materialise(base)
     h = common_horizon(base)
     lf = base.join(leaves(edges), "node").where(F.col("step") <= h)
     return _aggregate_up(s, lf, h)
@@ -139,11 +152,13 @@ def top_down(edges: DataFrame, base: DataFrame, proportions: DataFrame | None =
 
     Missing root forecast → 0; a leaf without a given proportion → ``1/n_leaves``.
     """
-    s = summing_matrix(edges) if s is None else s
+    s = materialise(summing_matrix(edges)) if s is None else s
+    base = materialise(base)
     h = common_horizon(base)
     lv = leaves(edges)
     if proportions is None:
         proportions = derived_proportions(edges, base)
+    proportions = materialise(proportions)
     n_leaves = lv.agg(F.count(F.lit(1))).scalar()
     props = (lv.join(proportions.select("node", "proportion"), "node", "left")
                .select("node", F.coalesce("proportion", F.lit(1.0) / n_leaves).alias("proportion")))
@@ -209,6 +224,7 @@ def mint_two_level(edges: DataFrame, base: DataFrame, residuals: DataFrame | Non
     ``weights='ols'``: W = I.  ``'diag'``: W = diag(var_samp(residual) + 1e-8).
     Every root's children must be leaves.  Output covers roots and leaves.
     """
+    base = materialise(base)
     h = common_horizon(base)
     e = edges.select(F.col("parent").alias("root"), F.col("child").alias("node")).distinct()
     if weights == "ols":
@@ -216,7 +232,7 @@ def mint_two_level(edges: DataFrame, base: DataFrame, residuals: DataFrame | Non
     elif weights == "diag":
         if residuals is None:
             raise ValueError("weights='diag' needs residuals")
-        w = node_variance(residuals, exact_scale).select(
+        w = node_variance(materialise(residuals), exact_scale).select(
             "node", (F.coalesce("var", F.lit(0.0)) + DIAG_EPS).alias("w"))
     else:
         raise ValueError("two-level MinT supports weights 'ols' or 'diag'")
@@ -262,8 +278,10 @@ def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
     if cov not in COV_METHODS:
         raise ValueError(f"unknown covariance method {cov!r}")
     spark = edges.sparkSession
-    s = summing_matrix(edges)
-    order = node_order(edges)
+    s = materialise(summing_matrix(edges))
+    order = materialise(node_order(edges))
+    base = materialise(base)
+    residuals = materialise(residuals) if residuals is not None else None
     names = [r.node for r in sorted(_collect_bounded(order, max_nodes, "hierarchy"),
                                     key=lambda r: r.node_order)]
     leaf_names = [r.node for r in sorted(_collect_bounded(order.where("is_leaf"), max_nodes,

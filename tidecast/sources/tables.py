@@ -107,26 +107,28 @@ def region_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly revenue of every node of the geography hierarchy, exact decimals.
 
+    One aggregation with ``rollup(ts, region, nation)`` (a single pass over the
+    orders) yields the nation, region and total levels.
     Columns ``node, level, ts, amount DECIMAL``.
     """
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    leaf = (o.join(c, o.o_custkey == c.c_custkey)
-             .join(n, F.col("c_nationkey") == n.n_nationkey)
-             .groupBy("n_name", "n_regionkey", _month("o_orderdate").alias("ts"))
-             .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount")))
-    nation_lvl = leaf.select(F.col("n_name").alias("node"), F.lit("nation").alias("level"),
-                             "ts", "amount")
-    region_lvl = (leaf.join(r, leaf.n_regionkey == r.r_regionkey)
-                      .groupBy(F.col("r_name").alias("node"), "ts")
-                      .agg(F.sum("amount").alias("amount"))
-                      .select("node", F.lit("region").alias("level"), "ts", "amount"))
-    total_lvl = (leaf.groupBy("ts").agg(F.sum("amount").alias("amount"))
-                     .select(F.lit(TOTAL_NODE).alias("node"), F.lit("total").alias("level"),
-                             "ts", "amount"))
-    return nation_lvl.unionByName(region_lvl).unionByName(total_lvl)
+    j = (o.join(c, o.o_custkey == c.c_custkey)
+          .join(n, F.col("c_nationkey") == n.n_nationkey)
+          .join(r, F.col("n_regionkey") == r.r_regionkey)
+          .select(_month("o_orderdate").alias("ts"), "r_name", "n_name",
+                  F.col("o_totalprice").cast("decimal(18,2)").alias("p")))
+    g = (j.rollup("ts", "r_name", "n_name")
+          .agg(F.sum("p").alias("amount"), F.grouping_id().alias("_gid")))
+    # grouping_id bits (ts, r_name, n_name): 0 = nation, 1 = region, 3 = total, 7 = grand total
+    lvl = (F.when(F.col("_gid") == 0, "nation").when(F.col("_gid") == 1, "region")
+            .when(F.col("_gid") == 3, "total"))
+    node = (F.when(F.col("_gid") == 0, F.col("n_name")).when(F.col("_gid") == 1, F.col("r_name"))
+             .otherwise(F.lit(TOTAL_NODE)))
+    return (g.where(F.col("_gid").isin(0, 1, 3))
+             .select(node.alias("node"), lvl.alias("level"), "ts", "amount"))
 
 
 def _factor() -> F.Column:
