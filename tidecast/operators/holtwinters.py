@@ -155,16 +155,19 @@ def fit(df: DataFrame, m: int, params: np.ndarray | None = None, cols: SeriesCol
     d = d.select(F.col(cols.series).alias("series_id"), F.col(cols.ts).alias("ts"),
                  F.col(cols.value).alias("value"), "pos", "n_rows")
     d = d.persist()
-    seasonal = d.where((F.col("n_rows") >= 2 * m) & F.lit(m > 1))
-    linear = d.where(~((F.col("n_rows") >= 2 * m) & F.lit(m > 1)))
+    is_seasonal = (F.col("n_rows") >= 2 * m) & F.lit(m > 1)
+    seasonal, linear = d.where(is_seasonal), d.where(~is_seasonal)
+    # which branches have series at all (two cheap existence probes on the persisted rows)
+    has_seasonal = m > 1 and bool(seasonal.limit(1).count())
+    has_linear = bool(linear.limit(1).count())
     parts = []
-    if m > 1:
+    if has_seasonal:
         p = params if params is not None else candidate_grid(True)
         parts.append(_fit_one(seasonal, m, p, block_rows, fanout))
-    p = params if params is not None else candidate_grid(False)
-    parts.append(_fit_one(linear, 0, p, block_rows, fanout))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out
+    if has_linear or not parts:
+        p = params if params is not None else candidate_grid(False)
+        parts.append(_fit_one(linear, 0, p, block_rows, fanout))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _fit_one(d: DataFrame, m: int, params: np.ndarray, block_rows: int, fanout: int) -> DataFrame:

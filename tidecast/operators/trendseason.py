@@ -141,10 +141,14 @@ def fit(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, mode: str = "multiplicat
                                          (F.col("y") / F.col("g") - 1.0).alias("y"))
     bs = _fit_ridge(rel, p_s, pen_all[p_t:])
     # additive fallback only for series whose trend is not positive everywhere
+    ok = ok.cache()
     bad = ok.where(F.col("g_min") <= 0).select("series_id")
-    add = _fit_ridge(base.join(bad, "series_id", "left_semi")
-                         .select("series_id", F.concat("xt", "xs").alias("x"), "y"),
-                     p_t + p_s, pen_all).withColumnRenamed("beta", "beta_add")
+    if bad.limit(1).count():
+        add = _fit_ridge(base.join(bad, "series_id", "left_semi")
+                             .select("series_id", F.concat("xt", "xs").alias("x"), "y"),
+                         p_t + p_s, pen_all).withColumnRenamed("beta", "beta_add")
+    else:
+        add = ok.select("series_id", F.lit(None).cast("array<double>").alias("beta_add"))
     out = (bt.join(bs.withColumnRenamed("beta", "beta_s"), "series_id", "left")
              .join(ok, "series_id").join(add, "series_id", "left"))
     use_add = (F.col("g_min") <= 0) | F.col("beta_s").isNull()

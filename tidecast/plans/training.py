@@ -98,7 +98,8 @@ def run(raw: DataFrame, cfg: TrainingConfig = TrainingConfig(),
     horizon = test.agg(F.max("step")).first()[0] or 1
     per_series = _series_models(train, int(horizon), cfg)
     g = model.predict(test).select(F.lit("gbt").alias("model"), SERIES, "step", "forecast")
-    members = per_series.unionByName(g)
+    # member forecasts feed both the ensemble and the scoring: materialise once (small)
+    members = cut_lineage(per_series.unionByName(g))
     weights = raw.sparkSession.createDataFrame(list(cfg.ensemble_weights),
                                                "model string, weight double")
     chosen = members.join(weights.select("model"), "model", "left_semi")
@@ -107,7 +108,9 @@ def run(raw: DataFrame, cfg: TrainingConfig = TrainingConfig(),
     fc = members.unionByName(blend)
     actual = test.select(SERIES, "step", F.col(VALUE).alias("actual"))
     final = ev.forecast_metrics(fc.join(actual, [SERIES, "step"]), by=("model", SERIES))
-    return TrainingResult(cv, final, train, test, model)
+    if cv is not None:
+        cv = cut_lineage(cv)
+    return TrainingResult(cv, cut_lineage(final), train, test, model)
 
 
 def summary(result: TrainingResult) -> DataFrame:
