@@ -84,3 +84,13 @@ def test_clamp(spark, tree_edges):
 def test_unknown_method(spark, tree_edges):
     with pytest.raises(ValueError):
         rc.reconcile(tree_edges, _base(spark), method="magic")
+
+
+def test_mint_shrink_short_residuals_uses_diagonal(spark, tree_edges):
+    # fewer than 3 residuals per node: diag(var_pop) + 1e-8 (small-sample branch)
+    res = spark.createDataFrame([(n, t, float(v)) for n in ("total", "region_A", "region_B",
+                                                              "store_1", "store_2", "store_3")
+                                 for t, v in ((1, 1.0 + len(n)), (2, -2.0))],
+                                "node string, t int, residual double")
+    rec = rc.mint(tree_edges, _base(spark), res, cov="shrink")
+    _check_coherent(tree_edges, rec)

@@ -18,6 +18,11 @@ from ..functions.metrics import INF, METRICS, metric_aggs, round_half_away
 STEP = "step"
 
 
+def residuals(fc: DataFrame, actual: str = "actual", forecast: str = "forecast") -> DataFrame:
+    """Residual frame: ``actual − forecast`` for every aligned row."""
+    return fc.withColumn("residual", F.col(actual) - F.col(forecast))
+
+
 def attach_previous(fc: DataFrame, keys: list[str], actual: str = "actual",
                     forecast: str = "forecast", step: str = STEP) -> DataFrame:
     """Add the previous step's actual and forecast (equi-join on ``step - 1``)."""

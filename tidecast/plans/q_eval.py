@@ -210,3 +210,38 @@ def q_eval_history(spark, d):
     h = ev.append_history(None, _holdout_metrics(spark, d, 28), run_id=1)
     h = ev.append_history(h, _holdout_metrics(spark, d, 14), run_id=2)
     return ev.latest_per_model(h)
+
+
+@register("forecast_residuals", sql=HOLDOUT + f"""
+SELECT model, series_id, step, {sql_round('actual - forecast')} AS residual FROM fc""")
+def q_forecast_residuals(spark, d):
+    fc = fixtures.holdout_forecasts(tables.daily_orders(spark, d), 28)
+    r = ev.residuals(fc)
+    return r.select("model", "series_id", "step", ev.round_half_away(F.col("residual"), 4)
+                    .alias("residual"))
+
+
+@register("best_model_forecast", sql=HOLDOUT + ",\n" + METRICS_HOLDOUT + """,
+best AS (SELECT series_id, arg_min(model, (CASE WHEN isnan(rmse) THEN CAST('inf' AS DOUBLE) ELSE rmse END, model)) AS model
+         FROM metrics GROUP BY series_id),
+last AS (SELECT series_id, max(pos) AS n, max("timestamp") AS last_ts FROM pos GROUP BY series_id),
+spine AS (SELECT b.series_id, b.model, l.n, l.last_ts, CAST(k.range AS INTEGER) AS step
+          FROM best b JOIN last l USING (series_id), range(1, 15) k)
+SELECT s.series_id, s.model, s.step, CAST(s.last_ts + to_days(s.step) AS DATE) AS date,
+       round(p.value, 2) + 0.0 AS forecast
+FROM spine s JOIN pos p ON p.series_id = s.series_id
+ AND p.pos = CASE WHEN s.model = 'naive' THEN s.n ELSE s.n - 7 + ((s.step - 1) % 7) + 1 END""")
+def q_best_model_forecast(spark, d):
+    """Best fixture model per series by holdout RMSE, its next 14 days, shown as date + cents."""
+    from ..operators import grid, windows
+    series = tables.daily_orders(spark, d)
+    best = ev.best_model(_holdout_metrics(spark, d)).select("series_id", F.col("best_model").alias("model"))
+    pos = windows.with_position(series, with_count=True)
+    spine = grid.future_spine(series, 14, freq="D").join(best, "series_id")
+    ends = pos.where(F.col("pos") == F.col("n_rows")).select("series_id", F.col("pos").alias("_n"))
+    src = (F.when(F.col("model") == "naive", F.col("_n"))
+            .otherwise(F.col("_n") - fixtures.SEASON + ((F.col("step") - 1) % fixtures.SEASON) + 1))
+    j = (spine.join(ends, "series_id").withColumn("_src", src)
+              .join(pos.select("series_id", F.col("pos").alias("_src"), "value"), ["series_id", "_src"]))
+    return j.select("series_id", "model", "step", F.to_date("timestamp").alias("date"),
+                    ev.round_half_away(F.col("value"), 2).alias("forecast"))

@@ -235,3 +235,11 @@ def q_coherence_check(spark, d):
     e = tables.region_edges(spark, d)
     rec = rc.mint_two_level(e, tables.base_forecasts(spark, d), weights="ols", exact_scale=2)
     return rc.coherence(e, rec).select("node", r4("max_abs_gap").alias("max_abs_gap"))
+
+
+@register("reconcile_dispatch", note="reconcile() defaults: MinT with shrink covariance, clamped")
+def q_reconcile_dispatch(spark, d):
+    e = tables.geo_edges(spark, d)
+    rec = rc.reconcile(e, tables.base_forecasts(spark, d), tables.base_residuals(spark, d),
+                       method="mint", non_negative=True)
+    return _rec_out(rec)
