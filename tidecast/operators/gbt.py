@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
@@ -26,6 +26,7 @@ LEARNING_RATE = 0.05
 MAX_DEPTH = -1
 MAX_TREES = 300
 DEPTH_WHEN_UNLIMITED = 5
+ROWS_PER_PARTITION = 1_000_000
 
 
 @dataclass
@@ -77,9 +78,11 @@ def fit(train: DataFrame, feature_columns: list[str] | None = None, target: str
     assembler = VectorAssembler(inputCols=fc, outputCol="_features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
                        maxIter=min(n_estimators, MAX_TREES), stepSize=learning_rate,
-                       maxDepth=depth, seed=seed, checkpointInterval=10)
-    model = Pipeline(stages=[assembler, gbt]).fit(train)
-    return GBTForecaster(model, fc, target)
+                       maxDepth=depth, seed=seed, checkpointInterval=10, cacheNodeIds=True)
+    # MLlib persists the assembled instances itself (the input is not cached here) and
+    # scans them once per boosting iteration.
+    fitted = gbt.fit(assembler.transform(train).select("_features", target))
+    return GBTForecaster(PipelineModel(stages=[assembler, fitted]), fc, target)
 
 
 def future_spine(df: DataFrame, horizon: int, freq: str = "D",
