@@ -80,3 +80,14 @@ def test_last_n(spark):
     d = tables.daily_orders(spark, SMALL)
     out = windows.last_n_rows(d, 3)
     assert out.groupBy("series_id").count().where(F.col("count") != 3).count() == 0
+
+
+def test_plan_evaluates_fourier_origin_once(spark):
+    """The scalar subquery must not be re-planned per sin/cos term or per NULL check."""
+    import re
+    import __spark_entry__ as entry
+    df = entry.queries()["all_features"](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
+    # column pruning: the orders scan reads only the three columns it needs
+    assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,5 +88,3 @@ def future_spine(df: DataFrame, horizon: int, freq: str = "D",
                  cols: SeriesCols = DEFAULT_COLS) -> DataFrame:
     return grid.future_spine(df, horizon, freq=freq, cols=cols)
 
-
-__all__ = ["GBTForecaster", "fit", "future_spine", "array_to_vector"]

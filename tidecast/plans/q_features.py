@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import functions as F
-
-from ..functions import calendar as cal
 from ..operators import features as feat
 from ..sources import tables
 from . import oracle_views as ov
@@ -16,7 +13,6 @@ LAGS = feat.DEFAULT_LAGS
 WINDOWS = feat.DEFAULT_WINDOWS
 ORDER = feat.DEFAULT_FOURIER_ORDER
 PERIOD = feat.DEFAULT_FOURIER_PERIOD
-BASE = ["series_id", "timestamp", "value"]
 
 # ---------------------------------------------------------------- SQL pieces
 
