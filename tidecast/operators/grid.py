@@ -98,14 +98,16 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
 
 # ---------------------------------------------------------------- G2 / W7
 def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
-               fill: str = "ffill", block: int = GRID_BLOCK) -> DataFrame:
+               fill: str = "ffill", block: int = GRID_BLOCK,
+               with_position: bool = False) -> DataFrame:
     """Complete grid ``min..max`` per series at ``freq``; missing values forward-filled.
 
     The grid is generated in blocks of ``block`` steps (one row per block is
     exploded twice, after a shuffle on ``(series, block)``), and the forward
     fill is a segmented scan: within a block by window, across blocks by the
     last non-null value of earlier blocks (a per-block table).  No series is
-    ever handled by a single task.  Adds ``filled`` (1 when the value was carried).
+    ever handled by a single task.  Adds ``filled`` (1 when the value was carried)
+    and, with ``with_position``, ``pos``/``n_rows`` (the grid step index, for free).
     """
     s, t, v = cols.series, cols.ts, cols.value
     months, seconds, _ = parse_freq(freq)
@@ -121,11 +123,15 @@ def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
     lo_step = F.col("_blk") * block
     hi_step = F.least(lo_step + block - 1, F.col("_n"))
     grid = (blocks.withColumn("_k", F.explode(F.sequence(lo_step, hi_step)))
-                  .select(s, "_blk", "_lo", "_k"))
-    grid = grid.select(s, "_blk", shift(F.col("_lo"), freq, F.col("_k")).alias(t))
+                  .select(s, "_blk", "_lo", "_k", "_n"))
+    # on a complete grid the row position is the step index: no extra pass needed
+    grid = grid.select(s, "_blk", shift(F.col("_lo"), freq, F.col("_k")).alias(t),
+                       (F.col("_k") + 1).alias("_pos"), (F.col("_n") + 1).alias("_nrows"))
     j = grid.join(df.select(s, t, v), [s, t], "left")
+    pos_cols = [F.col("_pos").alias(windows.POS), F.col("_nrows").alias(windows.N_ROWS)] \
+        if with_position else []
     if fill != "ffill":
-        return j.drop("_blk").withColumn("filled", F.col(v).isNull().cast("int"))
+        return j.select(s, t, v, F.col(v).isNull().cast("int").alias("filled"), *pos_cols)
     # last non-null value of each block, then carried over earlier blocks
     last_in_block = (j.where(F.col(v).isNotNull()).groupBy(s, "_blk")
                       .agg(F.max_by(v, t).alias("_last")))
@@ -142,7 +148,7 @@ def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
     filled = (j.withColumn("_ff", F.last(v, ignorenulls=True).over(w))
                .join(carry_all, [s, "_blk"], "left"))
     return filled.select(s, t, F.coalesce(F.col("_ff"), F.col("_carry")).alias(v),
-                         F.col(v).isNull().cast("int").alias("filled"))
+                         F.col(v).isNull().cast("int").alias("filled"), *pos_cols)
 
 
 # ---------------------------------------------------------------- G3

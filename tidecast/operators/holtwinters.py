@@ -151,7 +151,11 @@ def fit(df: DataFrame, m: int, params: np.ndarray | None = None, cols: SeriesCol
     Series shorter than ``2m`` (or ``m ≤ 1``) use Holt linear.  Output
     ``(series_id, model, m, alpha, beta, gamma, level, trend, season, sse, n_obs, last_ts)``.
     """
-    d = windows.with_position(df.select(cols.series, cols.ts, cols.value), cols, with_count=True)
+    if windows.POS in df.columns and windows.N_ROWS in df.columns:
+        d = df  # positions supplied (e.g. by ``grid.regularise(with_position=True)``)
+    else:
+        d = windows.with_position(df.select(cols.series, cols.ts, cols.value), cols,
+                                  with_count=True)
     d = d.select(F.col(cols.series).alias("series_id"), F.col(cols.ts).alias("ts"),
                  F.col(cols.value).alias("value"), "pos", "n_rows")
     d = d.persist()

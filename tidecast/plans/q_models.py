@@ -67,7 +67,7 @@ FROM fin f JOIN lt USING (series_id), range(1, {HORIZON + 1}) k"""
 
 
 def _regular_daily(spark, d):
-    return grid.regularise(tables.daily_orders(spark, d), "D").drop("filled")
+    return grid.regularise(tables.daily_orders(spark, d), "D", with_position=True).drop("filled")
 
 
 def _fc_out(fc):

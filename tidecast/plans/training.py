@@ -55,7 +55,8 @@ class TrainingResult:
 
 def _series_models(train_rows: DataFrame, horizon: int, cfg: TrainingConfig) -> DataFrame:
     """HW and trend+season forecasts ``(model, series_id, step, forecast)`` per series key."""
-    reg = grid.regularise(train_rows.select(SERIES, TS, VALUE), cfg.freq).drop("filled")
+    reg = grid.regularise(train_rows.select(SERIES, TS, VALUE), cfg.freq,
+                          with_position=True).drop("filled")
     h = hw.forecast(hw.fit(reg, cfg.season), horizon, cfg.freq).select(
         F.lit("holt_winters").alias("model"), SERIES, "step", "forecast")
     t = tsr.forecast(tsr.fit(train_rows.select(SERIES, TS, VALUE)), horizon, cfg.freq).select(
