@@ -91,3 +91,13 @@ def test_plan_evaluates_fourier_origin_once(spark):
     assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
     # column pruning: the orders scan reads only the three columns it needs
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
+
+
+def test_infer_frequency_non_strict_uses_most_common_gap(spark):
+    from tidecast.operators import grid
+    d = tables.daily_orders(spark, SMALL)
+    strict = {r.series_id: r.freq for r in grid.infer_frequency(d).collect()}
+    loose = {r.series_id: r.freq for r in grid.infer_frequency(d, strict=False).collect()}
+    assert set(strict.values()) == {"D"} and set(loose) == set(strict)
+    h = tables.hourly_events(spark, SMALL)
+    assert {r.freq for r in grid.infer_frequency(h, strict=False).collect()} <= {"H", "2H", "3H"}

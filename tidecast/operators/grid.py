@@ -71,8 +71,15 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
         F.count(F.lit(1)).alias("n_obs"),
         F.min("_gap").alias("_gmin"), F.max("_gap").alias("_gmax"),
         F.min("_mdiff").alias("_mmin"), F.max("_mdiff").alias("_mmax"),
-        F.bool_and("_ms").alias("_all_ms"), F.bool_and("_me").alias("_all_me"),
-        F.mode("_gap").alias("_gmode"))
+        F.bool_and("_ms").alias("_all_ms"), F.bool_and("_me").alias("_all_me"))
+    if not strict:
+        # most frequent gap in two partial aggregations (count per gap, then the max):
+        # no per-series map of all distinct gaps is ever built
+        per_gap = (g.where(F.col("_gap").isNotNull()).groupBy(s, "_gap")
+                    .agg(F.count(F.lit(1)).alias("_c")))
+        mode = per_gap.groupBy(s).agg(
+            F.max_by("_gap", F.struct(F.col("_c"), -F.col("_gap"))).alias("_gmode"))
+        agg = agg.join(mode, s, "left")
     gap = F.col("_gmin") if strict else F.col("_gmode")
     regular = (F.col("_gmin") == F.col("_gmax")) if strict else F.lit(True)
     month_reg = (F.col("_mmin") == F.col("_mmax"))

@@ -30,7 +30,7 @@ COV_METHODS = ("ols", "shrink", "sample", "diag")
 SHRINK_ALPHA = 0.5  # fixed shrinkage toward the diagonal
 DIAG_EPS = 1e-8
 MAX_DEPTH = 64
-MAX_NODES = 5000
+MAX_NODES = 2000
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -289,7 +289,7 @@ def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
     idx = {n: i for i, n in enumerate(names)}
     lidx = {n: i for i, n in enumerate(leaf_names)}
     S = np.zeros((len(names), len(leaf_names)))
-    for r in _collect_bounded(s, max_nodes * max_nodes, "summing matrix"):
+    for r in _collect_bounded(s, max_nodes * MAX_DEPTH, "summing matrix"):
         if r.node in idx and r.leaf in lidx:
             S[idx[r.node], lidx[r.leaf]] = 1.0
     n = len(names)
