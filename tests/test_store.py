@@ -31,3 +31,11 @@ def test_series_scan_prunes_buckets(spark):
     plan = st.query_series("3")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "bucket" in plan
     assert st.query_series("3").count() == 10
+
+
+def test_drop_duplicates_ignores_map_column(spark):
+    from tidecast.sources.store import canonicalise, drop_duplicates
+    df = spark.createDataFrame([("a", "2024-01-01", 1.0, '{"k": 1}'), ("a", "2024-01-01", 1.0, '{"k": 1}'),
+                                ("a", "2024-01-02", 2.0, None)], "s string, t string, v double, m string")
+    c = canonicalise(df, "s", "t", "v", metadata_col="m")
+    assert drop_duplicates(c).count() == 2

@@ -102,7 +102,7 @@ def q_last_n_rows(spark, d):
 def q_drop_duplicates(spark, d):
     base = tables.daily_orders(spark, d)
     tail = windows.last_n_rows(base, 90)
-    return st.stack(base, tail).dropDuplicates()
+    return st.drop_duplicates(st.stack(base, tail))
 
 
 # ---------------------------------------------------------------- grid

@@ -69,6 +69,13 @@ def stack(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def drop_duplicates(df: DataFrame) -> DataFrame:
+    """Keep one copy of rows equal in every comparable column (map columns such as
+    ``metadata`` cannot be compared and are left out of the key)."""
+    keys = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return df.dropDuplicates(keys)
+
+
 class SeriesStore:
     """Append / upsert / scan of canonical observations under ``root``."""
 
