@@ -64,6 +64,8 @@ def with_position(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, *,
             out = out.withColumn(count_col, F.count(F.lit(1)).over(Window.partitionBy(s)))
         return out
 
+    # The count branch reads only (series, ts): column pruning makes it a narrow scan
+    # with a map-side partial count, much cheaper than the data branch it is joined to.
     d = df.select("*", time_block(t, block_days).alias(_TB))
     counts = d.groupBy(s, _TB).agg(F.count(F.lit(1)).alias("_n"))
     per_series = Window.partitionBy(s)
