@@ -50,6 +50,18 @@ def candidate_grid(seasonal: bool = True) -> np.ndarray:
     return np.array(list(itertools.product(ALPHAS, BETAS, gam)), dtype=float)
 
 
+# Multiplicative steps of the refinement grid around a coarse optimum.
+REFINE_STEPS = (0.5, 1.0, 1.6)
+
+
+def local_grid(center: tuple[float, float, float], seasonal: bool) -> np.ndarray:
+    """3×3×3 (or 3×3 without season) candidates around a coarse optimum, inside (0, 1)."""
+    a, b, g = center
+    axis = lambda c: sorted({min(max(c * f, 1e-4), 0.999) for f in REFINE_STEPS})
+    gam = axis(g) if seasonal else [0.0]
+    return np.array(list(itertools.product(axis(a), axis(b), gam)), dtype=float)
+
+
 def _state_dim(m: int) -> int:
     return m + 2 if m > 1 else 2
 
@@ -95,17 +107,25 @@ def compose(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndar
     return M_tot, Q_tot
 
 
-def _blocks_fn(params: np.ndarray, m: int):
+def _params_for(params: np.ndarray | None, row, m: int) -> np.ndarray:
+    """Global candidates, or the local grid around this series' centre."""
+    if params is not None:
+        return params
+    return local_grid((float(row["_a0"]), float(row["_b0"]), float(row["_g0"])), m > 1)
+
+
+def _blocks_fn(params: np.ndarray | None, m: int):
     k = _state_dim(m)
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        M, Q = block_summary(pdf["value"].to_numpy(dtype=float), params, m)
+        p = _params_for(params, pdf.iloc[0], m)
+        M, Q = block_summary(pdf["value"].to_numpy(dtype=float), p, m)
         return pd.DataFrame({
             "series_id": pdf["series_id"].iloc[0], "_blk": int(pdf["_blk"].iloc[0]),
-            "cand": np.arange(len(params), dtype=np.int32),
-            "M": list(M.reshape(len(params), k * (k + 1))),
-            "Q": list(Q.reshape(len(params), (k + 1) * (k + 1)))})
+            "cand": np.arange(len(p), dtype=np.int32),
+            "M": list(M.reshape(len(p), k * (k + 1))),
+            "Q": list(Q.reshape(len(p), (k + 1) * (k + 1)))})
     return fn
 
 
@@ -124,20 +144,20 @@ def _compose_fn(m: int):
     return fn
 
 
-def _finish_fn(params: np.ndarray, m: int):
+def _finish_fn(params: np.ndarray | None, m: int):
     k = _state_dim(m)
 
     def fn(it):
         for pdf in it:
             rows = []
-            for r in pdf.itertuples(index=False):
-                z = np.append(np.asarray(r.x0, dtype=float), 1.0)
-                M = np.asarray(r.M).reshape(k, k + 1)
-                Q = np.asarray(r.Q).reshape(k + 1, k + 1)
+            for _, r in pdf.iterrows():
+                z = np.append(np.asarray(r["x0"], dtype=float), 1.0)
+                M = np.asarray(r["M"]).reshape(k, k + 1)
+                Q = np.asarray(r["Q"]).reshape(k + 1, k + 1)
                 x = M @ z
                 sse = float(max(z @ Q @ z, 0.0))
-                a, b, g = params[r.cand]
-                rows.append((r.series_id, int(r.cand), float(a), float(b), float(g),
+                a, b, g = _params_for(params, r, m)[int(r["cand"])]
+                rows.append((r["series_id"], int(r["cand"]), float(a), float(b), float(g),
                              float(x[0]), float(x[1]), list(map(float, x[2:])), sse))
             yield pd.DataFrame(rows, columns=["series_id", "cand", "alpha", "beta", "gamma",
                                               "level", "trend", "season", "sse"])
@@ -145,9 +165,12 @@ def _finish_fn(params: np.ndarray, m: int):
 
 
 def fit(df: DataFrame, m: int, params: np.ndarray | None = None, cols: SeriesCols = DEFAULT_COLS,
-        block_rows: int = BLOCK_ROWS, fanout: int = FANOUT) -> DataFrame:
+        block_rows: int = BLOCK_ROWS, fanout: int = FANOUT, refine: bool = True) -> DataFrame:
     """Fit per series on a regular series frame; best candidate by SSE.
 
+    Without fixed ``params``: the coarse grid, then (``refine``) a local grid
+    around each series' coarse optimum; the least SSE over both wins.
+
     Series shorter than ``2m`` (or ``m ≤ 1``) use Holt linear.  Output
     ``(series_id, model, m, alpha, beta, gamma, level, trend, season, sse, n_obs, last_ts)``.
     """
@@ -166,14 +189,30 @@ def fit(df: DataFrame, m: int, params: np.ndarray | None = None, cols: SeriesCol
     has_linear = bool(linear.limit(1).count())
     parts = []
     if has_seasonal:
-        p = params if params is not None else candidate_grid(True)
-        parts.append(_fit_one(seasonal, m, p, block_rows, fanout))
+        parts.append(_search(seasonal, m, params, block_rows, fanout, refine))
     if has_linear or not parts:
-        p = params if params is not None else candidate_grid(False)
-        parts.append(_fit_one(linear, 0, p, block_rows, fanout))
+        parts.append(_search(linear, 0, params, block_rows, fanout, refine))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _search(d: DataFrame, m: int, params, block_rows: int, fanout: int, refine: bool) -> DataFrame:
+    """Fixed candidates; or the coarse grid, then a local grid around each series' best."""
+    if params is not None:
+        return _fit_one(d, m, params, block_rows, fanout)
+    coarse = _fit_one(d, m, candidate_grid(m > 1), block_rows, fanout)
+    if not refine:
+        return coarse
+    coarse = coarse.cache()
+    centres = coarse.select("series_id", F.col("alpha").alias("_a0"), F.col("beta").alias("_b0"),
+                            F.col("gamma").alias("_g0"))
+    fine = _fit_one(d.join(centres, "series_id"), m, None, block_rows, fanout)
+    both = coarse.unionByName(fine)
+    cols = [c for c in both.columns if c != "series_id"]
+    best = both.groupBy("series_id").agg(
+        F.min_by(F.struct(*cols), F.struct("sse", "alpha", "beta", "gamma")).alias("b"))
+    return best.select("series_id", *[F.col("b." + c).alias(c) for c in cols])
+
+
 def _fit_one(d: DataFrame, m: int, params: np.ndarray, block_rows: int, fanout: int) -> DataFrame:
     start = m if m > 1 else 1
     k = _state_dim(m)
@@ -191,7 +230,8 @@ def _fit_one(d: DataFrame, m: int, params: np.ndarray, block_rows: int, fanout:
         x0 = init_rows.select("series_id", F.array(F.col("value"), F.lit(0.0)).alias("x0"))
     rec = d.where(F.col("pos") > start).withColumn(
         "_blk", ((F.col("pos") - start - 1) / block_rows).cast("long"))
-    summ = (rec.select("series_id", "_blk", "pos", "value")
+    centre = ["_a0", "_b0", "_g0"] if params is None else []
+    summ = (rec.select("series_id", "_blk", "pos", "value", *centre)
                .groupBy("series_id", "_blk").applyInPandas(_blocks_fn(params, m), _SUMMARY_SCHEMA))
     # tree reduction until one block per series; levels from the longest series
     longest = d.agg(F.max("n_rows")).first()[0] or 0
@@ -206,7 +246,9 @@ def _fit_one(d: DataFrame, m: int, params: np.ndarray, block_rows: int, fanout:
         summ = (summ.withColumn("_grp", (F.col("_blk") / fanout).cast("long"))
                     .groupBy("series_id", "_grp").applyInPandas(_compose_fn(m), _SUMMARY_SCHEMA))
     last = d.groupBy("series_id").agg(F.max("ts").alias("last_ts"), F.max("n_rows").alias("n_obs"))
-    fin = (summ.join(x0, "series_id").select("series_id", "cand", "x0", "M", "Q")
+    if params is None:
+        x0 = x0.join(d.select("series_id", *centre).distinct(), "series_id")
+    fin = (summ.join(x0, "series_id").select("series_id", "cand", "x0", "M", "Q", *centre)
                .mapInPandas(_finish_fn(params, m),
                             "series_id string, cand int, alpha double, beta double, gamma double, "
                             "level double, trend double, season array<double>, sse double"))
