@@ -101,3 +101,27 @@ def test_infer_frequency_non_strict_uses_most_common_gap(spark):
     assert set(strict.values()) == {"D"} and set(loose) == set(strict)
     h = tables.hourly_events(spark, SMALL)
     assert {r.freq for r in grid.infer_frequency(h, strict=False).collect()} <= {"H", "2H", "3H"}
+
+
+def test_hot_series_is_split_and_exact(spark):
+    """One series holds ~90 % of the rows: blocked features equal the plain window,
+    and the hot series is spread over many (series, block) window groups."""
+    hot = spark.range(3000).select(F.lit("hot").alias("series_id"),
+                                   F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz")
+                                   .alias("timestamp"),
+                                   (F.sin(F.col("id")) * 100).alias("value"))
+    cold = spark.range(300).select((F.col("id") % 3).cast("string").alias("series_id"),
+                                   F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz")
+                                   .alias("timestamp"),
+                                   F.col("id").cast("double").alias("value"))
+    d = hot.unionByName(cold)
+    spec = feat.FeatureSpec(lags=(1, 24), windows=(24, 48), fourier_order=0, calendar=False)
+    blocked = feat.all_features(d, spec, drop_na=False, block_rows=200, block_days=2)
+    plain = feat.all_features(d, spec, drop_na=False, block_rows=None)
+    cols = sorted(blocked.columns)
+    assert blocked.select(cols).exceptAll(plain.select(cols)).count() == 0
+    assert plain.select(cols).exceptAll(blocked.select(cols)).count() == 0
+    pos = windows.with_position(d, block_days=2)
+    groups = (pos.where("series_id = 'hot'")
+                 .select(((F.col("pos") - 1) / F.lit(200)).cast("long").alias("b")).distinct().count())
+    assert groups == 15
