@@ -39,3 +39,21 @@ def test_drop_duplicates_ignores_map_column(spark):
                                 ("a", "2024-01-02", 2.0, None)], "s string, t string, v double, m string")
     c = canonicalise(df, "s", "t", "v", metadata_col="m")
     assert drop_duplicates(c).count() == 2
+
+
+def test_range_scan_pushes_filters(spark):
+    st = SeriesStore(spark, scratch_path(spark, "t-store"), n_buckets=4)
+    df = spark.range(100).select((F.col("id") % 5).cast("string").alias("series_id"),
+                                 F.timestamp_seconds(F.col("id") * 86400).cast("timestamp_ntz").alias("timestamp"),
+                                 F.col("id").cast("double").alias("value"))
+    st.append(df)
+    q = st.query_range("2", "1970-01-10 00:00:00", "1970-02-10 00:00:00")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    part = scan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    pushed = scan.split("PushedFilters: [", 1)[1]
+    assert "bucket" in part and "=" in part  # one bucket directory is read
+    assert "GreaterThanOrEqual(timestamp" in pushed and "LessThanOrEqual(timestamp" in pushed
+    assert "EqualTo(series_id" in pushed
+    got = [r.value for r in q.collect()]
+    assert got == [v for v in range(100) if v % 5 == 2 and 9 <= v <= 40]
