@@ -123,9 +123,12 @@ def double_array(words: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray
         keys = sorted(kids)
         while used[free]:
             free += 1
-        b = max(free - keys[0], 1)
+        tries, b = 0, max(free - keys[0], 1)
         while any(used[b + k] for k in keys):
             b += 1
+            tries += 1
+            if tries % 64 == 0 and len(keys) > 1:  # crowded: later nodes start further on
+                free += 16
             if b + 256 >= len(used):
                 grow = len(used)
                 used += bytearray(grow)
