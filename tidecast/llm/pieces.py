@@ -24,7 +24,7 @@ from .common import process_cache
 MARK = "▁"
 #: A byte piece costs this much more than the worst piece, an unknown character still more.
 PENALTY = 10.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6  # fixed values of the model format
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -235,15 +235,17 @@ class Codec:
             lo = hi
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
         cut = []
         for t in texts:
             t = self._normal(t)
             cut.append(_WORD.findall(t) if self.model.by_words else [t] * bool(t))
         known = self.known
-        self._learn(list({w for words in cut for w in words if w not in known}))
-        return [np.frombuffer(b"".join([known[w] for w in words]), dtype=np.int32) for words in cut]
+        new, full = list({w for words in cut for w in words if w not in known}), len(known) >= CACHE_WORDS
+        self._learn(new)
+        out = [np.frombuffer(b"".join([known[w] for w in words]), dtype=np.int32) for words in cut]
+        for w in new if full else ():
+            del known[w]
+        return out
 
     def decode(self, ids) -> str:
         raw = b"".join([self.surface[i] for i in ids])

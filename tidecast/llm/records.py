@@ -35,8 +35,8 @@ from ..session import scratch_path
 from .common import prefix_sums, process_cache
 
 FILE_BYTES = 16 << 20
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 400_000
+#: Words whose ids a Python worker remembers; the frequent ones come first.
+CACHE_WORDS = 800_000
 _MASK = 0xA282EAD8
 _HEAD = "<qBB"
 INDEX = "part int, seq int, file string, record long, offset long, length long, id long, n_tokens long"
@@ -106,8 +106,6 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Of each text, its ids as little-endian unsigned integers."""
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
         known, cut = self.known, []
         new: dict = {}
         for t in texts:
@@ -118,12 +116,14 @@ class WordEncoder:
             words = words[:1] + [" " + w for w in words[1:]] if words[0] else [" " + w for w in words[1:]]
             cut.append(words)
             new.update(dict.fromkeys(w for w in words if w not in known))
-        plain = [w[0] for w in cut if len(w) == 1 and w[0] not in known and w[0] not in new]
-        ask = list(new)
+        plain = [w[0] for w in cut if len(w) == 1 and w[0] not in known]
+        new.update(dict.fromkeys(plain))
+        full, ask = len(known) >= CACHE_WORDS, list(new)
         known.update(zip(ask, self._ask(ask)))
-        whole = dict(zip(plain, self._ask(plain)))
-        return [b"".join([known[w] if w in known else whole[w] for w in words]) if len(words) == 1 else b"".join([known[w] for w in words])
-                for words in cut]
+        out = [b"".join([known[w] for w in words]) for words in cut]
+        for w in ask if full else plain:
+            known.pop(w, None)
+        return out
 
 
 def _writer(root: str, tokenizer: str, end_id: int, width: int, file_bytes: int):
