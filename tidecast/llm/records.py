@@ -208,12 +208,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """
     index = spark.read.schema(INDEX).parquet(f"{path}/index")
     files = index.groupBy("part", "seq", "file").agg(F.sum("n_tokens").alias("tokens"))
-    rows = files.repartition("file").mapInPandas(
+    # one file a task or so; the file list itself is too short for Spark to see how much they hold
+    rows = files.repartition(max(1, min(files.count(), 10_000)), "file").mapInPandas(
         _reader(f"{path}/data"), "part int, seq int, record long, id long, before long, n_tokens long, ids_crc32 long")
     # files are few; their order number is a rank within the part plus the files of the parts before
     order = files.select("part", "seq", "tokens").withColumn("at", F.col("part").cast("long") * (1 << 20) + F.col("seq"))
     first = prefix_sums(order, "at", "tokens", "base", width=1 << 20).select("part", "seq", "base")
-    return rows.join(first, ["part", "seq"]).select(
+    return rows.join(first.hint("merge"), ["part", "seq"]).select(
         "id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
