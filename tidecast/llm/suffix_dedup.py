@@ -13,9 +13,9 @@ Every byte covered by a ``min_len``-byte string that also starts elsewhere goes.
    Burrows-Wheeler order, and an interval ends where neighbours differ.  Intervals of one
    position are dropped; common prefixes thus come by increasing length, and the
    expansion stops at ``min_len``.  What is left repeats.
-3. Anchors of more than ``CROWD`` runs (passages that many documents share) are
-   not gathered in a task: their windows are counted by a 128-bit digest instead,
-   pre-aggregated before the shuffle.
+3. An anchor of more than ``CROWD`` runs (a passage that many documents share) is expanded in chunks
+   of about so many.  What repeats within a chunk is found there; of the rest every window, and of
+   each repeated class one, is counted by a 128-bit digest over all chunks.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from pyspark.sql.window import Window
 
 from .common import staged
 
-#: Runs of an anchor that one task may expand together.
-CROWD = 2000
+#: About so many runs of an anchor are expanded together.
+CROWD = 1000
 GRAM = 16
 #: Bytes of text hashed at once; longer texts are cut with an overlap.
 PIECE, BATCH = 1 << 20, 1 << 21
@@ -123,8 +123,8 @@ def _runs_of(min_len: int):
     return runs, columns
 
 
-def repeated_windows(runs: list[bytes], weight: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which windows of the runs repeat, and each window's run: backward interval expansion.
+def repeated_windows(runs: list[bytes], weight: np.ndarray, min_len: int):
+    """Backward interval expansion: which windows of the runs repeat, each window's run, and one window of each class that repeats.
 
     ``weight`` says how many equal copies a run stands for.
     """
@@ -159,59 +159,61 @@ def repeated_windows(runs: list[bytes], weight: np.ndarray, min_len: int) -> tup
         rank = (np.cumsum(alive) - 1)[interval[keep]].astype(np.uint64)
     repeated = np.zeros(len(of), dtype=bool)
     repeated[active] = True
-    return repeated, of
+    return repeated, of, active[np.unique(rank, return_index=True)[1]]
+
+
+def _digest(raw: bytes) -> tuple[int, int]:
+    d = hashlib.blake2b(raw, digest_size=16).digest()
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
 def _expand(min_len: int):
-    """Of runs sorted by anchor, the ranges of repeated windows (anchor, run, a, b)."""
-    def found(anchors, runs, data, copies):
-        repeated, of = repeated_windows(data, np.array(copies), min_len)
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], repeated.view(np.int8), [0]))) | np.concatenate(
-            ([0], (of[1:] != of[:-1]) & repeated[1:] & repeated[:-1], [0])))
-        a = np.array([x for x in edge.tolist() if x < len(of) and repeated[x]], dtype=np.int64)
-        ends = np.append(edge, len(of))
-        b = ends[np.searchsorted(ends, a, side="right")] if len(a) else a
+    """Of runs sorted by anchor and chunk, the ranges ``[a, b)`` of repeated windows; of anchors in several chunks also
+    the digests ``d1, d2`` of what other chunks must be asked about: single windows (1) and one of each class (2)."""
+    names = ["anchor", "run", "a", "b", "d1", "d2", "copies"]
+
+    def found(anchors, runs, data, copies, chunks):
+        repeated, of, one = repeated_windows(data, np.array(copies), min_len)
         windows = np.bincount(of, minlength=len(data))
         ahead = np.concatenate(([0], np.cumsum(windows)[:-1]))
-        run = of[a] if len(a) else a
-        return pd.DataFrame({"anchor": np.array(anchors, dtype=np.int64)[run], "run": np.array(runs, dtype=np.int64)[run],
-                             "a": (a - ahead[run]).astype(np.int32), "b": (b - ahead[run]).astype(np.int32)})
+        inside = repeated[1:] & repeated[:-1] & (of[1:] == of[:-1])
+        a = np.flatnonzero(repeated & ~np.concatenate(([False], inside)))
+        b = np.flatnonzero(repeated & ~np.concatenate((inside, [False]))) + 1
+        anchors, runs = np.array(anchors, dtype=np.int64), np.array(runs, dtype=np.int64)
+        run = of[a]
+        yield pd.DataFrame({"anchor": anchors[run], "run": runs[run], "a": (a - ahead[run]).astype(np.int32), "b": (b - ahead[run]).astype(np.int32),
+                            "d1": pd.array([None] * len(a), dtype="Int64"), "d2": pd.array([None] * len(a), dtype="Int64"), "copies": np.zeros(len(a), np.int64)})
+        split = np.array(chunks)[of] > 1
+        weight = np.where(repeated, 2, 1)
+        ask = ~repeated
+        ask[one] = True
+        at = np.flatnonzero(ask & split)
+        for lo in range(0, len(at), 100_000):
+            part = at[lo:lo + 100_000]
+            off = part - ahead[of[part]]
+            d = np.array([_digest(data[r][o:o + min_len]) for r, o in zip(of[part].tolist(), off.tolist())], dtype=np.int64).reshape(-1, 2)
+            yield pd.DataFrame({"anchor": anchors[of[part]], "run": runs[of[part]], "a": off.astype(np.int32), "b": (off + 1).astype(np.int32),
+                                "d1": d[:, 0], "d2": d[:, 1], "copies": weight[part]})[names]
 
     def expand(batches):
-        anchors, runs, data, copies, size = [], [], [], [], 0
+        anchors, runs, data, copies, chunks, last, size = [], [], [], [], [], None, 0
         for batch in batches:
-            for anchor, run, raw, c in zip(batch["anchor"], batch["run"], batch["data"], batch["copies"]):
-                if size > 250_000 and anchor != anchors[-1]:
-                    yield found(anchors, runs, data, copies)
-                    anchors, runs, data, copies, size = [], [], [], [], 0
+            for anchor, chunk, of, run, raw, c in zip(*(batch[n] for n in ("anchor", "chunk", "chunks", "run", "data", "copies"))):
+                if size > 250_000 and (anchor, chunk) != last:
+                    yield from found(anchors, runs, data, copies, chunks)
+                    anchors, runs, data, copies, chunks, size = [], [], [], [], [], 0
                 anchors.append(anchor)
                 runs.append(run)
                 data.append(raw)
                 copies.append(c)
-                size += len(raw) - min_len + 1
+                chunks.append(of)
+                last, size = (anchor, chunk), size + len(raw) - min_len + 1
         if data:
-            yield found(anchors, runs, data, copies)
+            yield from found(anchors, runs, data, copies, chunks)
 
     return expand
 
 
-def _digests(min_len: int):
-    def digests(batches):
-        for batch in batches:
-            out: list[tuple] = []
-            for anchor, run, raw, c in zip(batch["anchor"], batch["run"], batch["data"], batch["copies"]):
-                for i in range(len(raw) - min_len + 1):
-                    d = hashlib.blake2b(raw[i:i + min_len], digest_size=16).digest()
-                    out.append((anchor, run, i, int.from_bytes(d[:8], "little", signed=True),
-                                int.from_bytes(d[8:], "little", signed=True), c))
-                if len(out) > 100_000:
-                    yield pd.DataFrame(out, columns=["anchor", "run", "a", "d1", "d2", "copies"])
-                    out = []
-            yield pd.DataFrame(out, columns=["anchor", "run", "a", "d1", "d2", "copies"]).astype("int64")
-
-    return digests
-
-
 def _cut_out(min_len: int):
     """The bytes of the runs asked for."""
     def cut(batches):
@@ -230,7 +232,8 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = CROWD) -> D
     """
     find, columns = _runs_of(min_len)
     runs = staged(docs.mapInPandas(find, columns), "runs")
-    anchors = runs.groupBy("anchor").agg(F.count("*").alias("runs"), (F.min("run") == F.max("run")).alias("same")).where("runs > 1")
+    # written, so that the join below is of two plain shuffles, whose hot anchors Spark may split
+    anchors = staged(runs.groupBy("anchor").agg(F.count("*").alias("runs"), (F.min("run") == F.max("run")).alias("same")).where("runs > 1"), "anchors")
     marked = staged(runs.join(anchors, "anchor"), "marked")
     whole = marked.where("same").select("doc", "th", F.col("i0").alias("s"), (F.col("i0") + F.col("n") + (min_len - 1)).alias("e"))
     mixed = marked.where("not same")
@@ -242,16 +245,17 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = CROWD) -> D
     some = docs.alias("x").join(want.alias("w"), F.col("x.doc").eqNullSafe(F.col("w.doc")) & (F.col("x.th") == F.col("w.th")))
     data = staged(some.select("raw", "want").mapInPandas(
         _cut_out(min_len), "anchor long, run long, copies long, runs long, data binary"), "mixed")
-    few = data.where(F.col("runs") <= crowd).repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
-        _expand(min_len), "anchor long, run long, a int, b int")
-    many = data.where(F.col("runs") > crowd).mapInPandas(
-        _digests(min_len), "anchor long, run long, a int, d1 long, d2 long, copies long")
-    twice = many.groupBy("d1", "d2").agg(F.sum("copies").alias("c")).where("c > 1").select("d1", "d2")
+    chunks = F.ceil(F.col("runs") / crowd)
+    dealt = data.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("run"), F.col("chunks")))
+    ranges = staged(dealt.repartition("anchor", "chunk").sortWithinPartitions("anchor", "chunk").mapInPandas(
+        _expand(min_len), "anchor long, run long, a int, b int, d1 long, d2 long, copies long"), "ranges")
+    asked = ranges.where("d1 is not null")
+    twice = asked.groupBy("d1", "d2").agg(F.sum("copies").alias("c")).where("c > 1").select("d1", "d2")
     # windows of a run that follow each other become one range
     w = Window.partitionBy("anchor", "run").orderBy("a")
-    crowded = many.join(twice, ["d1", "d2"]).withColumn("g", F.col("a") - F.row_number().over(w)).groupBy(
+    crossed = asked.where("copies = 1").join(twice, ["d1", "d2"]).withColumn("g", F.col("a") - F.row_number().over(w)).groupBy(
         "anchor", "run", "g").agg(F.min("a").alias("a"), (F.max("a") + 1).alias("b")).drop("g")
-    found = few.union(crowded)
+    found = ranges.where("d1 is null").select("anchor", "run", "a", "b").union(crossed)
     part = mixed.join(found, ["anchor", "run"]).select(
         "doc", "th", (F.col("i0") + F.col("a")).alias("s"), (F.col("i0") + F.col("b") + (min_len - 1)).alias("e"))
     return whole.union(part)
