@@ -10,6 +10,8 @@ corrected for the chance that unequal values agree in these bits.
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,36 +35,49 @@ def _shingle_hashes(text: Column, n: int) -> Column:
     return let(hashes, grams)
 
 
+_LOW = (1 << (64 - BINS.bit_length() + 1)) - 1  # the bits below the bin's
+
+
 def _bin(h: Column) -> Column:
     return F.shiftrightunsigned(h, 64 - (BINS.bit_length() - 1)).cast("int")
 
 
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v - (1 << 64) if v >> 63 else v).cast("bigint") for v in values])
+
+
 def minhash(text: Column, shingle: int = SHINGLE) -> Column:
     """The packed fingerprint of ``text``: ``BINS * BITS / 4`` hexadecimal digits.
 
     Fewer words than ``shingle`` make one shingle; a null, empty or word-less
     text has the empty fingerprint.
     """
-    def densify(smallest: Column) -> Column:
-        def fill(bins: Column) -> Column:
-            def value(i: Column) -> Column:
-                own = F.array_position(bins, i)
-                # start and odd stride come from the bin's number: every bin is tried once
-                start, stride = F.xxhash64(i), F.xxhash64(i, F.lit(1)).bitwiseOR(F.lit(1))
-                tried = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda t: F.array_position(
-                    bins, F.pmod(F.pmod(start, F.lit(BINS)) + t * F.pmod(stride, F.lit(BINS)), F.lit(BINS)).cast("int")))
-                found = F.when(own > 0, own).otherwise(F.element_at(F.filter(tried, lambda p: p > 0), 1))
-                low = F.element_at(smallest, found.cast("int")).bitwiseAND(F.lit((1 << BITS) - 1))
-                return F.lpad(F.lower(F.hex(low)), BITS // 4, "0")
-
-            return F.when(F.size(bins) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value), "")).otherwise("")
-
-        return let(F.transform(smallest, _bin), fill)
+    # the largest value of every bin is added as its mark: then each bin has a first value, and a mark means empty
+    marks = _longs([(b << (64 - BINS.bit_length() + 1)) | _LOW for b in range(BINS)])
+    # an empty bin tries the bins (start + t * stride) for t = 0, 1, ...: with an odd stride each comes once
+    draw = random.Random(9)  # fixed numbers: literal arrays, so that no expression is evaluated for them
+    starts = F.array(*[F.lit(draw.randrange(BINS)) for _ in range(BINS)])
+    strides = F.array(*[F.lit(draw.randrange(BINS) | 1) for _ in range(BINS)])
+
+    def densify(bins: Column) -> Column:
+        def value(i: Column) -> Column:
+            def first(tries: int) -> Column:
+                return F.get(F.filter(F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), lambda t: F.get(
+                    bins, (F.get(starts, i) + t * F.get(strides, i)).bitwiseAND(F.lit(BINS - 1)))), lambda v: v.isNotNull()), F.lit(0))
+
+            found = F.coalesce(F.get(bins, i), first(min(16, BINS)), first(BINS))
+            return F.substring(F.hex(found.bitwiseAND(F.lit((1 << BITS) - 1)) + (1 << BITS)), 2, BITS // 4)
+
+        return F.lower(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value), ""))
 
     def first_of_bins(h: Column) -> Column:  # sorted: a bin's hashes stand together, the smallest first
         return F.filter(h, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(h, F.greatest(i - 1, F.lit(0))))))
 
-    return let(F.sort_array(_shingle_hashes(F.coalesce(text, F.lit("")), shingle)), lambda h: let(first_of_bins(h), densify))
+    def packed(h: Column) -> Column:
+        return F.when(F.size(h) == 0, "").otherwise(let(F.sort_array(F.concat(h, marks)), lambda every: let(F.transform(
+            first_of_bins(every), lambda v: F.when(v.bitwiseAND(F.lit(_LOW)) != F.lit(_LOW), v)), densify)))
+
+    return let(_shingle_hashes(F.coalesce(text, F.lit("")), shingle), packed)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -77,12 +92,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(share)
 
 
-def with_next(df: DataFrame, id_col: str, columns: list[str], ranges: int) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, columns: list[str], ranges: int, derive) -> DataFrame:
     """``df`` with ``next_<column>`` of the next row by descending id; after the last comes the first.
 
     Ids are cut into ranges at approximate quantiles (``ranges`` of them, however many rows), each range is a
     window, and the first row of every range is also dealt, as a copy, to the end of the range
     before.  Null ids come last; rows of one id are ordered by ``columns``.
+    ``derive`` adds the columns that are costly, once copies are few.
     """
     low = F.coalesce(F.col(id_col), F.lit(-(1 << 63)))
     cut = sorted(set(df.select(F.percentile_approx(low, [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] or []))
@@ -100,7 +116,7 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], ranges: int) -> Da
     copies = rows.withColumn("_low", low).join(F.broadcast(before), "_range").where("_low = _head").drop("_low", "_head")
     copies = copies.withColumn("_range", F.col("_to")).drop("_to").withColumn("_copy", F.lit(1))
     w = Window.partitionBy("_range").orderBy("_copy", *order)
-    both = rows.unionByName(copies)
+    both = derive(rows.unionByName(copies))
     for c in columns:
         both = both.withColumn(f"next_{c}", F.lead(c).over(w))
     return both.where("_copy = 0").drop("_range", "_copy")
@@ -116,8 +132,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs = docs.withColumn("fp", minhash(F.col("text"), shingle))
-    docs = with_next(docs, "id", ["text", "fp"], ranges)
+    docs = with_next(docs, "id", ["text", "fp"], ranges, lambda d: d.withColumn("fp", minhash(F.col("text"), shingle)))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     docs = docs.select("id", F.char_length("text").cast("long").alias("n_chars"), "fp", "next_fp", edited.alias("edited"))
