@@ -116,3 +116,14 @@ def test_split_and_folds(spark, sample_daily_df):
 def test_fold_reduction_for_short_series(spark, short_daily_df):
     f = split.expanding_folds(short_daily_df.where("timestamp < '2024-02-15'"), 5)
     assert f.agg(F.max("fold")).first()[0] == 44 // 10 - 1
+
+
+def test_null_forecast_and_missing_weight_take_no_part(spark):
+    from tidecast.operators import ensemble
+
+    fc = spark.createDataFrame([("a", "s", 1, 10.0), ("b", "s", 1, None)], "model string, series_id string, step int, forecast double")
+    w = spark.createDataFrame([("a", 0.4), ("b", 0.6)], "model string, weight double")
+    assert ensemble.combine(fc, weights=w).first()["forecast"] == 10.0
+    both = spark.createDataFrame([("a", "s", 1, 10.0), ("b", "s", 1, 20.0)], fc.schema)
+    own = ensemble.normalise_weights(w.where("model = 'a'"), both)
+    assert ensemble.combine(both, weights=own).first()["forecast"] == 10.0

@@ -29,8 +29,12 @@ def align_to_shortest(fc: DataFrame, keys=("series_id",), model: str = "model",
 
 def normalise_weights(weights: DataFrame, models: DataFrame | None = None,
                       model: str = "model", weight: str = "weight") -> DataFrame:
-    """Scale weights of the known models to sum to 1 (a zero sum leaves them unchanged)."""
-    w = weights if models is None else weights.join(models.select(model).distinct(), model)
+    """Scale weights of the known models to sum to 1 (a zero sum leaves them unchanged).
+
+    A known model without a weight gets 0.
+    """
+    w = weights if models is None else models.select(model).distinct().join(weights, model, "left").withColumn(
+        weight, F.coalesce(weight, F.lit(0.0)))
     total = w.agg(F.sum(weight)).scalar()
     return w.select(model, F.when(total > 0, F.col(weight) / total)
                     .otherwise(F.col(weight)).alias(weight))
@@ -53,6 +57,7 @@ def combine(fc: DataFrame, method: str = "weighted_average", weights: DataFrame
             forecast: str = "forecast", align: bool = True) -> DataFrame:
     """Combine model forecasts per ``(keys, step)``.
 
+    NULL and NaN forecasts count as absent.
     ``weighted_average``: missing weight = ``1/k`` (k = models in the frame),
     renormalised over the models present at each step; weights may be global
     ``(model, weight)`` or per group ``(keys…, model, weight)``.
@@ -61,6 +66,7 @@ def combine(fc: DataFrame, method: str = "weighted_average", weights: DataFrame
     if method not in METHODS:
         raise ValueError(f"unknown ensemble method {method!r}; choose from {METHODS}")
     keys = list(keys)
+    fc = fc.where(F.col(forecast).isNotNull() & ~F.isnan(F.col(forecast).cast("double")))
     d = align_to_shortest(fc, keys, model, step) if align else fc
     group = keys + [step]
     f = F.col(forecast)

@@ -36,6 +36,7 @@ def get_spark(master: str | None = None, app: str = "tidecast",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config(_CHECKPOINT_KEY, tempfile.mkdtemp(prefix="tidecast-ckpt-"))
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
@@ -67,16 +68,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset is a
-    local directory created (tests).  The SparkContext checkpoint dir is aligned
+    Reads ``spark.checkpoint.dir`` from the session and fails where it is unset
+    (:func:`get_spark` and the tests set a folder of their own).  The SparkContext checkpoint dir is aligned
     with it so that ``DataFrame.checkpoint()`` writes there as well.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or context.getConf().get(_CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidecast-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
+        raise RuntimeError(f"{_CHECKPOINT_KEY} is not set: name a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
