@@ -20,9 +20,10 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidecast-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidecast-test-ckpt-"))
     tune(s)
     checkpoint_root(s)
     yield s

@@ -36,11 +36,12 @@ def get_spark(master: str | None = None, app: str = "tidecast",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
-        .config(_CHECKPOINT_KEY, tempfile.mkdtemp(prefix="tidecast-ckpt-"))
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if (master or "").startswith("local") and not spark.conf.get(_CHECKPOINT_KEY, None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidecast-ckpt-"))
     tune(spark)
     checkpoint_root(spark)
     return spark
@@ -69,7 +70,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     Reads ``spark.checkpoint.dir`` from the session and fails where it is unset
-    (:func:`get_spark` and the tests set a folder of their own).  The SparkContext checkpoint dir is aligned
+    (:func:`get_spark` on a local master and the tests then set a folder of their own).  The SparkContext checkpoint dir is aligned
     with it so that ``DataFrame.checkpoint()`` writes there as well.
     """
     context = spark.sparkContext
