@@ -94,3 +94,24 @@ def test_mint_shrink_short_residuals_uses_diagonal(spark, tree_edges):
                                 "node string, t int, residual double")
     rec = rc.mint(tree_edges, _base(spark), res, cov="shrink")
     _check_coherent(tree_edges, rec)
+
+
+def test_deep_chain_keeps_every_ancestor(spark):
+    edges = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}") for i in range(80)], "parent string, child string")
+    assert {tuple(r) for r in rc.closure(edges).collect()} == {(f"n{i:02d}", "n80") for i in range(80)}
+    order = {r.node: (r.node_order, r.depth) for r in rc.node_order(edges).collect()}
+    assert order == {f"n{i:02d}": (i + 1, i) for i in range(81)}
+
+
+def test_a_node_below_two_parents_takes_its_first_path(spark):
+    edges = spark.createDataFrame([("r", "a"), ("r", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("r", "d"), ("d", "x")],
+                                  "parent string, child string")
+    order = {r.node: (r.node_order, r.depth) for r in rc.node_order(edges).collect()}
+    assert order == {"r": (1, 0), "a": (2, 1), "c": (3, 2), "d": (4, 1), "b": (5, 1), "x": (6, 2)}
+
+
+def test_a_cycle_is_an_error(spark):
+    edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "c"), ("c", "a"), ("c", "x")], "parent string, child string")
+    for f in (rc.closure, rc.node_order):
+        with pytest.raises(ValueError, match="cycle"):
+            f(edges)

@@ -1,9 +1,11 @@
 """Observation store: append, last-write-wins upsert, pruned and inclusive scans."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidecast.session import scratch_path
 from tidecast.sources.store import SeriesStore
+from tidecast.streaming import ingest
 
 
 def test_upsert_last_wins(spark):
@@ -57,3 +59,41 @@ def test_range_scan_pushes_filters(spark):
     assert "EqualTo(series_id" in pushed
     got = [r.value for r in q.collect()]
     assert got == [v for v in range(100) if v % 5 == 2 and 9 <= v <= 40]
+
+
+ROW = "s string, t timestamp_ntz, v double"
+COLS = dict(series_col="s", ts_col="t", value_col="v")
+
+
+def _stream(spark, store, value, ckpt, source):
+    spark.sql(f"SELECT 'a' AS s, TIMESTAMP_NTZ'2024-01-01' AS t, {value}D AS v").write.mode("append").parquet(source)
+    ingest.ingest(spark, source, ROW, store, checkpoint=ckpt, **COLS).awaitTermination()
+    return {r.series_id: r.value for r in store.read().collect()}
+
+
+def test_append_stream_compact_share_one_write_order(spark):
+    root = scratch_path(spark, "t-store")
+    store = SeriesStore(spark, root, n_buckets=4)
+    first = spark.sql("SELECT s, TIMESTAMP_NTZ'2024-01-01' AS t, 1.0D AS v FROM VALUES ('a'), ('b') AS x(s)")
+    store.append(first, **COLS)
+    ckpt, source = scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-src")
+    assert _stream(spark, store, 99.0, ckpt, source) == {"a": 99.0, "b": 1.0}
+    small = SeriesStore(spark, root).compact(scratch_path(spark, "t-store"))
+    assert small.n_buckets == 4 and small.raw().count() == 2
+    assert {r.series_id: r.value for r in small.read().collect()} == {"a": 99.0, "b": 1.0}
+    # a stream that begins anew comes after what was compacted, and a later append after that
+    assert _stream(spark, small, 5.0, scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-src")) == {"a": 5.0, "b": 1.0}
+    small.append(first, **COLS)
+    assert [r.value for r in small.query_series("a").collect()] == [1.0]
+
+
+def test_reopened_store_keeps_its_bucket_count(spark):
+    root = scratch_path(spark, "t-store")
+    df = spark.range(80).select((F.col("id") % 8).cast("string").alias("series_id"),
+                                F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("timestamp"),
+                                F.col("id").cast("double").alias("value"))
+    SeriesStore(spark, root, n_buckets=16).append(df)
+    again = SeriesStore(spark, root)
+    assert [again.query_series(str(i)).count() for i in range(8)] == [10] * 8
+    with pytest.raises(ValueError, match="16 buckets"):
+        SeriesStore(spark, root, n_buckets=64)

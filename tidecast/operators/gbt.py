@@ -1,7 +1,7 @@
 """Gradient-boosted trees over feature frames (one global model for all series).
 
 Spark ML ``GBTRegressor`` trains distributed over all rows; the reference's
-defaults map to ``maxIter = min(n_estimators, 300)``, ``stepSize = learning_rate``,
+defaults map to ``maxIter = n_estimators``, ``stepSize = learning_rate``,
 ``maxDepth = 5`` when unlimited (-1).  ``num_leaves`` has no counterpart.
 """
 
@@ -23,7 +23,6 @@ from . import grid
 N_ESTIMATORS = 500
 LEARNING_RATE = 0.05
 MAX_DEPTH = -1
-MAX_TREES = 300
 DEPTH_WHEN_UNLIMITED = 5
 ROWS_PER_PARTITION = 1_000_000
 
@@ -76,7 +75,7 @@ def fit(train: DataFrame, feature_columns: list[str] | None = None, target: str
     depth = DEPTH_WHEN_UNLIMITED if max_depth in (-1, None) else max_depth
     assembler = VectorAssembler(inputCols=fc, outputCol="_features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
-                       maxIter=min(n_estimators, MAX_TREES), stepSize=learning_rate,
+                       maxIter=n_estimators, stepSize=learning_rate,
                        maxDepth=depth, seed=seed, checkpointInterval=10, cacheNodeIds=True)
     # MLlib persists the assembled instances itself (the input is not cached here) and
     # scans them once per boosting iteration.

@@ -4,7 +4,7 @@ Inputs are long frames: hierarchy edges ``(parent, child)``, base forecasts
 ``(node, step, forecast)`` and in-sample residuals ``(node, t, residual)``.
 
 * Structure (closure, leaves, roots, order, summing matrix S as ``(node, leaf)``)
-  comes from recursive SQL over the edge table.
+  comes from joining the known pairs with themselves until nothing changes.
 * Bottom-up / top-down are joins with S plus ``groupBy(node, step)``.
 * MinT has two forms.  For a forest of two-level trees (a root over leaves)
   with a diagonal W the solution has a closed form that is evaluated as plain
@@ -17,10 +17,8 @@ Inputs are long frames: hierarchy edges ``(parent, child)``, base forecasts
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -29,7 +27,6 @@ METHODS = ("bottom_up", "top_down", "mint")
 COV_METHODS = ("ols", "shrink", "sample", "diag")
 SHRINK_ALPHA = 0.5  # fixed shrinkage toward the diagonal
 DIAG_EPS = 1e-8
-MAX_DEPTH = 64
 MAX_NODES = 2000
 
 
@@ -43,12 +40,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def _view(spark: SparkSession, df: DataFrame, prefix: str) -> str:
-    name = f"_{prefix}_{uuid.uuid4().hex[:10]}"
-    df.createOrReplaceTempView(name)
-    return name
-
-
 # ---------------------------------------------------------------- structure
 def leaves(edges: DataFrame) -> DataFrame:
     """Bottom series: children that are never parents (``node``)."""
@@ -62,18 +53,42 @@ def roots(edges: DataFrame) -> DataFrame:
     return pa.join(edges.select(F.col("child").alias("node")), "node", "left_anti")
 
 
-def closure(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``(ancestor, leaf)``: every bottom series below every parent (recursive CTE)."""
-    spark = edges.sparkSession
-    e = _view(spark, edges.select("parent", "child").distinct(), "edges")
-    return spark.sql(f"""
-        WITH RECURSIVE down(ancestor, node, depth) AS (
-          SELECT parent, child, 1 FROM {e}
-          UNION ALL
-          SELECT d.ancestor, x.child, d.depth + 1 FROM down d JOIN {e} x ON d.node = x.parent
-          WHERE d.depth < {int(max_depth)})
-        SELECT DISTINCT d.ancestor, d.node AS leaf FROM down d
-        LEFT ANTI JOIN {e} p ON d.node = p.parent""")
+def _descend(edges: DataFrame, paths: bool = False) -> DataFrame:
+    """``(ancestor, node)``: every node below every parent, at any depth.
+
+    Known pairs are joined with themselves until nothing changes, which doubles the depth
+    reached by each round.  ``paths`` adds the first path below the ancestor and the least
+    depth.  A cycle is an error.
+    """
+    now = edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("node")).distinct()
+    if paths:
+        now = now.withColumn("path", F.array("node")).withColumn("depth", F.lit(1))
+    mark = None
+    while True:
+        now = materialise(now)
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*now.columns).cast("decimal(38,0)")),
+                        F.max(F.when(F.col("ancestor") == F.col("node"), F.col("node")))).first()
+        if state[2] is not None:
+            raise ValueError(f"hierarchy has a cycle through {state[2]!r}")
+        if state == mark:
+            return now
+        mark = state
+        upper = now.withColumnsRenamed({"node": "_mid", "path": "_path", "depth": "_depth"})
+        far = upper.join(now.withColumnRenamed("ancestor", "_mid"), "_mid")
+        if paths:
+            far = far.select("ancestor", "node", F.concat("_path", "path").alias("path"),
+                             (F.col("_depth") + F.col("depth")).alias("depth"))
+            now = now.unionByName(far).groupBy("ancestor", "node").agg(
+                F.min("path").alias("path"), F.min("depth").alias("depth"))
+        else:
+            now = now.unionByName(far.select("ancestor", "node")).distinct()
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """``(ancestor, leaf)``: every bottom series below every parent, however deep."""
+    parents = edges.select(F.col("parent").alias("node")).distinct()
+    return (_descend(edges).join(parents, "node", "left_anti")
+            .select("ancestor", F.col("node").alias("leaf")))
 
 
 def summing_matrix(edges: DataFrame) -> DataFrame:
@@ -83,19 +98,15 @@ def summing_matrix(edges: DataFrame) -> DataFrame:
     return c.unionByName(own).distinct()
 
 
-def node_order(edges: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def node_order(edges: DataFrame) -> DataFrame:
     """``(node, node_order, is_leaf, depth)``: parents in depth-first pre-order
     (roots and siblings alphabetical), then leaves alphabetically."""
-    spark = edges.sparkSession
-    e = _view(spark, edges.select("parent", "child").distinct(), "edges")
-    paths = spark.sql(f"""
-        WITH RECURSIVE walk(node, path, depth) AS (
-          SELECT r.parent, array(r.parent), 0
-          FROM (SELECT DISTINCT parent FROM {e}) r LEFT ANTI JOIN {e} c ON r.parent = c.child
-          UNION ALL
-          SELECT x.child, concat(w.path, array(x.child)), w.depth + 1
-          FROM walk w JOIN {e} x ON w.node = x.parent WHERE w.depth < {int(max_depth)})
-        SELECT node, min(path) AS path, min(depth) AS depth FROM walk GROUP BY node""")
+    top = roots(edges)
+    below = (_descend(edges, paths=True).join(top.select(F.col("node").alias("ancestor")), "ancestor")
+             .select("node", F.concat(F.array("ancestor"), "path").alias("path"), "depth"))
+    start = top.select("node", F.array("node").alias("path"), F.lit(0).alias("depth"))
+    paths = start.unionByName(below).groupBy("node").agg(F.min("path").alias("path"),
+                                                         F.min("depth").alias("depth"))
     lv = leaves(edges).withColumn("is_leaf", F.lit(True))
     p = (paths.join(lv, "node", "left")
               .withColumn("is_leaf", F.coalesce("is_leaf", F.lit(False))))
@@ -289,7 +300,7 @@ def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
     idx = {n: i for i, n in enumerate(names)}
     lidx = {n: i for i, n in enumerate(leaf_names)}
     S = np.zeros((len(names), len(leaf_names)))
-    for r in _collect_bounded(s, max_nodes * MAX_DEPTH, "summing matrix"):
+    for r in _collect_bounded(s, max_nodes * max_nodes, "summing matrix"):
         if r.node in idx and r.leaf in lidx:
             S[idx[r.node], lidx[r.leaf]] = 1.0
     n = len(names)

@@ -81,10 +81,10 @@ base_residuals AS (
          CAST(COALESCE(c.amount, CAST(0 AS DECIMAL(18,2))) -
               COALESCE(p.amount, CAST(0 AS DECIMAL(18,2))) AS DOUBLE) AS residual
   FROM (SELECT n.node, CAST(r.range AS INTEGER) AS t,
-               CAST(m.t_last + to_months(CAST(r.range AS INTEGER) - 24) AS TIMESTAMP) AS mm
+               CAST(m.t_last + to_months(CAST(r.range - m.n AS INTEGER)) AS TIMESTAMP) AS mm
         FROM (SELECT DISTINCT node FROM levels) n
-        CROSS JOIN range(1, 25) r
-        CROSS JOIN (SELECT max(ts) AS t_last FROM levels) m) g
+        CROSS JOIN (SELECT max(ts) AS t_last, date_diff('month', min(ts), max(ts)) - 11 AS n FROM levels) m
+        CROSS JOIN LATERAL (SELECT unnest(range(1, m.n + 1)) AS range) r) g
   LEFT JOIN levels c ON c.node = g.node AND c.ts = g.mm
   LEFT JOIN levels p ON p.node = g.node AND p.ts = CAST(g.mm - to_months(12) AS TIMESTAMP))"""
 

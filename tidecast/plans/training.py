@@ -42,9 +42,8 @@ class TrainingConfig:
     # The demo ensemble weights (decomposable model 0.4, boosted trees 0.6).
     ensemble_weights: tuple = (("trend_season", 0.4), ("gbt", 0.6))
     run_cv: bool = True
-    # CV only estimates out-of-sample error: the coarse Holt-Winters grid suffices there;
-    # the final fit adds the per-series refinement.
-    cv_refine: bool = False
+    # CV scores the same Holt-Winters search as the final fit
+    cv_refine: bool = True
 
 
 @dataclass

@@ -79,10 +79,25 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 class SeriesStore:
     """Append / upsert / scan of canonical observations under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, n_buckets: int = DEFAULT_BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, n_buckets: int | None = None):
+        """Open or create the store.  Its bucket count is written once, below ``root``; a reopened
+        store takes it from there, and another ``n_buckets`` is an error."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.n_buckets = n_buckets
+        self.n_buckets = self.constant("_buckets", n_buckets or DEFAULT_BUCKETS)
+        if n_buckets not in (None, self.n_buckets):
+            raise ValueError(f"{self.root} has {self.n_buckets} buckets, not {n_buckets}")
+
+    def constant(self, name: str, value: int) -> int:
+        """The number kept under ``name`` beside the data; ``value`` is kept where there is none yet."""
+        path = f"{self.root}/{name}"
+        one = self.spark.range(1).select(F.lit(value).cast("long").alias("v")).coalesce(1)
+        one.write.mode("ignore").parquet(path)
+        kept = self.spark.read.schema("v long").parquet(path).first()
+        if kept is None:  # an attempt that was lost before it ended
+            one.write.mode("overwrite").parquet(path)
+            return value
+        return int(kept[0])
 
     # -------------------------------------------------------------- write
     def append(self, df: DataFrame, series_col: str = SERIES, ts_col: str = TS,
@@ -93,10 +108,10 @@ class SeriesStore:
         obs = Observation("store_append")
         out = (rows.withColumn(SEQ, F.lit(seq).cast("long"))
                    .withColumn(BUCKET, bucket_of(F.col(SERIES), self.n_buckets)))
-        # Range-partition on (bucket, series, time): files come out sorted by key and
+        # Range-partition on (bucket, series, time) and sort: files are sorted by key and
         # a bucket holding a hot series is split over several write tasks.  The row
         # count is observed above the exchange, so the range sampler does not count.
-        (out.repartitionByRange(BUCKET, SERIES, TS)
+        (out.repartitionByRange(BUCKET, SERIES, TS).sortWithinPartitions(BUCKET, SERIES, TS)
             .observe(obs, F.count(F.lit(1)).alias("rows"))
             .write.mode("append").partitionBy(BUCKET).parquet(self.root))
         return int(obs.get["rows"])
@@ -116,11 +131,16 @@ class SeriesStore:
         r = self.raw()
         if where is not None:
             r = r.where(where)
-        latest = (r.groupBy(SERIES, TS)
-                   .agg(F.max_by(F.struct(VALUE, METADATA),
-                                 F.struct(F.col(SEQ), F.col(VALUE))).alias("_v")))
+        return self._latest(r).drop(SEQ)
+
+    @staticmethod
+    def _latest(raw: DataFrame) -> DataFrame:
+        latest = (raw.groupBy(SERIES, TS)
+                     .agg(F.max_by(F.struct(VALUE, METADATA),
+                                   F.struct(F.col(SEQ), F.col(VALUE))).alias("_v"),
+                          F.max(SEQ).alias(SEQ)))
         return latest.select(SERIES, TS, F.col("_v." + VALUE).alias(VALUE),
-                             F.coalesce(F.col("_v." + METADATA), _empty_map()).alias(METADATA))
+                             F.coalesce(F.col("_v." + METADATA), _empty_map()).alias(METADATA), SEQ)
 
     def _series_pred(self, series_id: str) -> F.Column:
         lit = F.lit(series_id)
@@ -146,9 +166,10 @@ class SeriesStore:
         return r.groupBy(SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
 
     def compact(self, target: str) -> "SeriesStore":
-        """Write the current versions to ``target`` (one row per key)."""
-        cur = self.read().withColumn(SEQ, F.lit(0).cast("long"))
-        (cur.withColumn(BUCKET, bucket_of(F.col(SERIES), self.n_buckets))
-            .repartitionByRange(BUCKET, SERIES, TS)
-            .write.mode("overwrite").partitionBy(BUCKET).parquet(target))
-        return SeriesStore(self.spark, target, self.n_buckets)
+        """Write the current versions, with their write sequence, to the new store ``target`` (one row per key)."""
+        out = SeriesStore(self.spark, target, self.n_buckets)
+        (self._latest(self.raw())
+             .withColumn(BUCKET, bucket_of(F.col(SERIES), self.n_buckets))
+             .repartitionByRange(BUCKET, SERIES, TS).sortWithinPartitions(BUCKET, SERIES, TS)
+             .write.mode("append").partitionBy(BUCKET).parquet(out.root))
+        return out

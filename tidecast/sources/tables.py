@@ -26,7 +26,6 @@ LEVEL_FACTORS = {"total": "1.05", "region": "0.95", "nation": "1.00"}
 TOTAL_NODE = "total"
 SEASON_MONTHS = 12
 FORECAST_HORIZON = 12
-RESIDUAL_MONTHS = 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -157,16 +156,18 @@ def base_forecasts(spark: SparkSession, sf_dir: str, horizon: int = FORECAST_HOR
                     .cast("double").alias("forecast"))
 
 
-def base_residuals(spark: SparkSession, sf_dir: str, months: int = RESIDUAL_MONTHS) -> DataFrame:
-    """In-sample seasonal-naive residuals of every node over the last ``months``.
+def base_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In-sample seasonal-naive residuals of every node, over all months that have one 12 months earlier.
 
     ``residual(node, t) = y(node, m_t) - y(node, m_t - 12)`` on a dense node × t grid
     (missing observations count as 0).  Columns ``node STRING, t INT, residual DOUBLE``.
     """
     lv = _levels(spark, sf_dir)
-    t_last = lv.agg(F.max("ts")).scalar()
+    span = lv.agg(F.max("ts").alias("_last"),
+                  (F.months_between(F.max("ts"), F.min("ts")).cast("int") - SEASON_MONTHS + 1).alias("_months"))
+    t_last, months = span.select("_last").scalar(), span.select("_months").scalar()
     grid = (lv.select("node").distinct()
-              .withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(months))))
+              .withColumn("t", F.explode(F.when(months > 0, F.sequence(F.lit(1), months))))
               .withColumn("m", F.add_months(t_last, F.col("t") - months).cast("timestamp_ntz"))
               .withColumn("m12", F.add_months(F.col("m"), -SEASON_MONTHS).cast("timestamp_ntz")))
     cur = lv.select("node", F.col("ts").alias("m"), F.col("amount").alias("a_cur"))

@@ -2,14 +2,18 @@
 
 The stream form of the store's bulk append: new files in a source folder are
 read with ``readStream``, canonicalised and appended batch by batch with
-``foreachBatch``.  Each micro-batch is written with its batch id as the write
-sequence, so a batch replayed after a failure rewrites the same keys with the
-same sequence and last-write-wins resolution is unaffected (idempotent).
+``foreachBatch``.  A micro-batch takes its write sequence from the same clock as the
+store's other writes, and the sequence is recorded per (stream, batch) before the batch is
+written: a batch replayed after a failure rewrites the same keys with the same sequence,
+so last-write-wins resolution is unaffected (idempotent).
 Progress lives in a checkpoint below the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,12 +22,14 @@ from ..session import scratch_path
 from ..sources import store as st
 
 
-def _writer(store: st.SeriesStore, series_col, ts_col, value_col, metadata_col):
+def _writer(store: st.SeriesStore, stream: str, series_col, ts_col, value_col, metadata_col):
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = st.canonicalise(batch, series_col, ts_col, value_col, metadata_col)
-        out = (rows.withColumn(st.SEQ, F.lit(int(batch_id)).cast("long"))
+        seq = store.constant(f"_batches/{stream}/{batch_id}", int(time.time() * 1_000_000))
+        out = (rows.withColumn(st.SEQ, F.lit(seq).cast("long"))
                    .withColumn(st.BUCKET, st.bucket_of(F.col(st.SERIES), store.n_buckets)))
         (out.repartitionByRange(st.BUCKET, st.SERIES, st.TS)
+            .sortWithinPartitions(st.BUCKET, st.SERIES, st.TS)
             .write.mode("append").partitionBy(st.BUCKET).parquet(store.root))
     return write
 
@@ -39,7 +45,9 @@ def ingest(spark: SparkSession, source_dir: str, schema, store: st.SeriesStore,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_dir)
-    w = (src.writeStream.foreachBatch(_writer(store, series_col, ts_col, value_col, metadata_col))
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-ckpt")))
+    checkpoint = checkpoint or scratch_path(spark, "ingest-ckpt")
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    w = (src.writeStream.foreachBatch(_writer(store, stream, series_col, ts_col, value_col, metadata_col))
+            .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
