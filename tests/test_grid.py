@@ -35,3 +35,30 @@ def test_frequency_codes(spark):
         .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     f = {r.series_id: (r.freq, r.seasonal_period) for r in grid.infer_frequency(df).collect()}
     assert f == {"h": ("H", 24), "ms": ("MS", 12), "w": ("W", 52), "short": ("D", 7)}
+
+
+def _series(spark, rows):
+    return spark.createDataFrame(rows, "series_id string, timestamp string, value double") \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def test_values_between_steps_are_carried(spark):
+    df = _series(spark, [("a", "2024-01-01 00:00:00", 1.0), ("a", "2024-01-02 12:00:00", 5.0), ("a", "2024-01-02 09:00:00", 4.0),
+                         ("a", "2024-01-04 00:00:00", 7.0), ("one", "2024-01-01 10:00:00", 2.0)])
+    out = grid.regularise(df, "D").orderBy("series_id", "timestamp").collect()
+    assert [(r.series_id, r.value, r.filled) for r in out] == [
+        ("a", 1.0, 0), ("a", 1.0, 1), ("a", 5.0, 1), ("a", 7.0, 0), ("one", 2.0, 0)]
+    plain = grid.regularise(df.where("series_id = 'a'"), "D", fill="none").orderBy("timestamp").collect()
+    assert [r.value for r in plain] == [1.0, None, None, 7.0]
+
+
+def test_month_grids_have_anchors_and_times(spark):
+    df = _series(spark, [("a", "2024-01-30 10:30:00", 1.0), ("a", "2024-03-01 10:30:00", 3.0), ("a", "2024-04-02 10:30:00", 4.0),
+                         ("one", "2024-01-30 10:30:00", 9.0)])
+    starts = grid.regularise(df, "MS").orderBy("series_id", "timestamp").collect()
+    assert [(r.series_id, str(r.timestamp), r.value) for r in starts] == [
+        ("a", "2024-02-01 10:30:00", 1.0), ("a", "2024-03-01 10:30:00", 3.0), ("a", "2024-04-01 10:30:00", 3.0),
+        ("one", "2024-02-01 10:30:00", 9.0)]
+    one = df.where("series_id = 'one'")
+    assert [str(r.timestamp) for r in grid.future_spine(one, 2, freq="MS").orderBy("step").collect()] == ["2024-02-01 10:30:00", "2024-03-01 10:30:00"]
+    assert [str(r.timestamp) for r in grid.future_spine(one, 2, freq="M").orderBy("step").collect()] == ["2024-01-31 10:30:00", "2024-02-29 10:30:00"]

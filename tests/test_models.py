@@ -127,3 +127,12 @@ def test_null_forecast_and_missing_weight_take_no_part(spark):
     both = spark.createDataFrame([("a", "s", 1, 10.0), ("b", "s", 1, 20.0)], fc.schema)
     own = ensemble.normalise_weights(w.where("model = 'a'"), both)
     assert ensemble.combine(both, weights=own).first()["forecast"] == 10.0
+
+
+def test_one_observation_is_the_level(spark):
+    rows = [("a", f"2024-01-{d:02d}", float(d)) for d in range(1, 11)] + [("one", "2024-01-05", 42.0)]
+    df = spark.createDataFrame(rows, "series_id string, t string, value double").selectExpr(
+        "series_id", "cast(t as timestamp_ntz) as timestamp", "value")
+    for params in (hw.fixed(0.3, 0.1), None):
+        got = {(r.series_id, r.step): r.forecast for r in hw.forecast(hw.fit(df, 7, params), 2).collect()}
+        assert got[("one", 1)] == got[("one", 2)] == 42.0 and ("a", 2) in got

@@ -37,17 +37,48 @@ def parse_freq(freq: str) -> tuple[int, int, bool]:
 
 
 def shift(ts: Column, freq: str, steps: Column | int) -> Column:
-    """``ts + steps × freq`` (month steps clamp to month end for end-anchored codes)."""
+    """``ts + steps × freq``; the time of day stays.
+
+    Month codes lead to month starts (``MS``, ``QS``, ``AS``) or month ends (``M``, ``Q``, ``A``): from a day
+    off the anchor, step 1 is the next one for the monthly codes.  Quarter and year codes keep the month of ``ts``.
+    """
     months, seconds, month_end = parse_freq(freq)
     n = steps if isinstance(steps, Column) else F.lit(steps)
+    ts = ts.cast("timestamp_ntz")
     if months:
-        out = F.add_months(ts, n * months)
+        off = _off_anchor(ts, True).cast("int") if month_end else F.lit(0)
+        day = F.add_months(F.trunc(ts, "month"), (n * months - off).cast("int"))
         if month_end:
-            out = F.last_day(out)
-        return out.cast("timestamp_ntz")
+            day = F.last_day(day)
+        return (day.cast("timestamp_ntz") + (ts - F.to_date(ts).cast("timestamp_ntz"))).cast("timestamp_ntz")
     return (ts + F.make_dt_interval(secs=(n * seconds).cast("decimal(18,6)"))).cast("timestamp_ntz")
 
 
+def _off_anchor(ts: Column, month_end: bool) -> Column:
+    return F.to_date(ts) != (F.last_day(ts) if month_end else F.trunc(ts, "month"))
+
+
+def first_step(ts: Column, freq: str) -> Column:
+    """Where a grid from ``ts`` begins: ``ts`` itself, or the next month start or end for month codes."""
+    months, _, month_end = parse_freq(freq)
+    ts = ts.cast("timestamp_ntz")
+    if not months:
+        return ts
+    return F.when(_off_anchor(ts, month_end), shift(ts, "M" if month_end else "MS", 1)).otherwise(ts)
+
+
+def step_at_or_after(lo: Column, ts: Column, freq: str) -> Column:
+    """Number of the first step of the grid from ``lo`` (see :func:`first_step`) that is not before ``ts``."""
+    months, seconds, _ = parse_freq(freq)
+    if months:
+        apart = 12 * (F.year(ts) - F.year(lo)) + F.month(ts) - F.month(lo)
+        k = F.floor(apart / months).cast("long")
+        return F.when(shift(lo, freq, k) < ts, k + 1).otherwise(k)
+    apart, width = F.timestamp_diff("MICROSECOND", lo, ts), F.lit(seconds * 1_000_000)
+    over = F.pmod(apart, width)
+    return ((apart - over) / width).cast("long") + (over > 0).cast("long")
+
+
 # ---------------------------------------------------------------- G1 / X13
 def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool = True,
                     **kw) -> DataFrame:
@@ -109,20 +140,20 @@ def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
                with_position: bool = False) -> DataFrame:
     """Complete grid ``min..max`` per series at ``freq``; missing values forward-filled.
 
+    A value observed between two steps is carried to the later one; without filling it has no place.
+    A month grid begins at the first month start or end; a series that ends before has that one step.
+
     The grid is generated in blocks of ``block`` steps (one row per block is
     exploded twice, after a shuffle on ``(series, block)``), and the forward
     fill is a segmented scan: within a block by window, across blocks by the
     last non-null value of earlier blocks (a per-block table).  No series is
-    ever handled by a single task.  Adds ``filled`` (1 when the value was carried)
+    ever handled by a single task.  Adds ``filled`` (1 unless observed at that very step)
     and, with ``with_position``, ``pos``/``n_rows`` (the grid step index, for free).
     """
     s, t, v = cols.series, cols.ts, cols.value
-    months, seconds, _ = parse_freq(freq)
-    bounds = df.groupBy(s).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
-    if months:
-        n_steps = (F.months_between(F.col("_hi"), F.col("_lo")) / months).cast("long")
-    else:
-        n_steps = (F.timestamp_diff("SECOND", F.col("_lo"), F.col("_hi")) / seconds).cast("long")
+    bounds = df.groupBy(s).agg(first_step(F.min(t), freq).alias("_lo"), F.max(t).alias("_hi"))
+    up = step_at_or_after(F.col("_lo"), F.col("_hi"), freq)
+    n_steps = F.greatest(up - (shift(F.col("_lo"), freq, up) > F.col("_hi")).cast("long"), F.lit(0).cast("long"))
     blocks = (bounds.withColumn("_n", n_steps)
                     .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"),
                                                              (F.col("_n") / block).cast("long"))))
@@ -132,21 +163,26 @@ def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
     grid = (blocks.withColumn("_k", F.explode(F.sequence(lo_step, hi_step)))
                   .select(s, "_blk", "_lo", "_k", "_n"))
     # on a complete grid the row position is the step index: no extra pass needed
-    grid = grid.select(s, "_blk", shift(F.col("_lo"), freq, F.col("_k")).alias(t),
+    grid = grid.select(s, "_blk", "_k", shift(F.col("_lo"), freq, F.col("_k")).alias(t),
                        (F.col("_k") + 1).alias("_pos"), (F.col("_n") + 1).alias("_nrows"))
-    j = grid.join(df.select(s, t, v), [s, t], "left")
+    # every observation belongs to the first step not before it; the latest of a step counts
+    seen = (df.where(F.col(v).isNotNull()).select(s, F.col(t).alias("_t"), F.col(v).alias("_v"))
+              .join(bounds.select(s, "_lo"), s)
+              .withColumn("_k", step_at_or_after(F.col("_lo"), F.col("_t"), freq))
+              .groupBy(s, "_k").agg(F.max(F.struct("_t", "_v")).alias("_obs")))
+    exact = F.coalesce(F.col("_obs._t") == F.col(t), F.lit(False))
+    j = (grid.join(seen, [s, "_k"], "left")
+             .withColumn(v, F.col("_obs._v") if fill == "ffill" else F.when(exact, F.col("_obs._v")))
+             .withColumn("filled", (~exact).cast("int")).drop("_obs", "_k"))
     pos_cols = [F.col("_pos").alias(windows.POS), F.col("_nrows").alias(windows.N_ROWS)] \
         if with_position else []
     if fill != "ffill":
-        return j.select(s, t, v, F.col(v).isNull().cast("int").alias("filled"), *pos_cols)
+        return j.select(s, t, v, "filled", *pos_cols)
     # last non-null value of each block, then carried over earlier blocks
     last_in_block = (j.where(F.col(v).isNotNull()).groupBy(s, "_blk")
                       .agg(F.max_by(v, t).alias("_last")))
-    carry = last_in_block.withColumn(
-        "_carry", F.last("_last", ignorenulls=True).over(
-            Window.partitionBy(s).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
     blocks_all = j.select(s, "_blk").distinct()
-    carry_all = (blocks_all.join(carry.select(s, "_blk", "_last"), [s, "_blk"], "left")
+    carry_all = (blocks_all.join(last_in_block, [s, "_blk"], "left")
                  .withColumn("_carry", F.last("_last", ignorenulls=True).over(
                      Window.partitionBy(s).orderBy("_blk")
                            .rowsBetween(Window.unboundedPreceding, -1)))
@@ -155,7 +191,7 @@ def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
     filled = (j.withColumn("_ff", F.last(v, ignorenulls=True).over(w))
                .join(carry_all, [s, "_blk"], "left"))
     return filled.select(s, t, F.coalesce(F.col("_ff"), F.col("_carry")).alias(v),
-                         F.col(v).isNull().cast("int").alias("filled"), *pos_cols)
+                         "filled", *pos_cols)
 
 
 # ---------------------------------------------------------------- G3

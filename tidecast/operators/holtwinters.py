@@ -152,6 +152,10 @@ def _finish_fn(params: np.ndarray | None, m: int):
             rows = []
             for _, r in pdf.iterrows():
                 z = np.append(np.asarray(r["x0"], dtype=float), 1.0)
+                if r["M"] is None:  # nothing after the first rows: they are the state
+                    a, b, g = _params_for(params, r, m)[0]
+                    rows.append((r["series_id"], 0, float(a), float(b), float(g), float(z[0]), float(z[1]), list(map(float, z[2:-1])), 0.0))
+                    continue
                 M = np.asarray(r["M"]).reshape(k, k + 1)
                 Q = np.asarray(r["Q"]).reshape(k + 1, k + 1)
                 x = M @ z
@@ -171,7 +175,7 @@ def fit(df: DataFrame, m: int, params: np.ndarray | None = None, cols: SeriesCol
     Without fixed ``params``: the coarse grid, then (``refine``) a local grid
     around each series' coarse optimum; the least SSE over both wins.
 
-    Series shorter than ``2m`` (or ``m ≤ 1``) use Holt linear.  Output
+    Series shorter than ``2m`` (or ``m ≤ 1``) use Holt linear; one observation is the level, without a trend.  Output
     ``(series_id, model, m, alpha, beta, gamma, level, trend, season, sse, n_obs, last_ts)``.
     """
     if windows.POS in df.columns and windows.N_ROWS in df.columns:
@@ -248,7 +252,7 @@ def _fit_one(d: DataFrame, m: int, params: np.ndarray, block_rows: int, fanout:
     last = d.groupBy("series_id").agg(F.max("ts").alias("last_ts"), F.max("n_rows").alias("n_obs"))
     if params is None:
         x0 = x0.join(d.select("series_id", *centre).distinct(), "series_id")
-    fin = (summ.join(x0, "series_id").select("series_id", "cand", "x0", "M", "Q", *centre)
+    fin = (x0.join(summ, "series_id", "left").select("series_id", "cand", "x0", "M", "Q", *centre)
                .mapInPandas(_finish_fn(params, m),
                             "series_id string, cand int, alpha double, beta double, gamma double, "
                             "level double, trend double, season array<double>, sse double"))

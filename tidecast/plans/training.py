@@ -7,7 +7,7 @@ Every step is a Spark job over all series at once:
 * for the per-series models (Holt-Winters, trend + season) the fold is part of
   the series key, so one job fits every fold × series;
 * the boosted-tree model is global (one fit on all training rows);
-* forecasts are aligned to actuals by an inner join on ``(series, step)``.
+* forecasts are aligned to actuals by an inner join on ``(series, timestamp)``; ``step`` numbers the actual rows.
 """
 
 from __future__ import annotations
@@ -57,32 +57,39 @@ class TrainingResult:
 
 def _series_models(train_rows: DataFrame, horizon: int, cfg: TrainingConfig,
                    refine: bool = True) -> DataFrame:
-    """HW and trend+season forecasts ``(model, series_id, step, forecast)`` per series key."""
+    """HW and trend+season forecasts ``(model, series_id, timestamp, forecast)`` per series key."""
     reg = grid.regularise(train_rows.select(SERIES, TS, VALUE), cfg.freq,
                           with_position=True).drop("filled")
     h = hw.forecast(hw.fit(reg, cfg.season, refine=refine), horizon, cfg.freq).select(
-        F.lit("holt_winters").alias("model"), SERIES, "step", "forecast")
+        F.lit("holt_winters").alias("model"), SERIES, TS, "forecast")
     t = tsr.forecast(tsr.fit(train_rows.select(SERIES, TS, VALUE)), horizon, cfg.freq).select(
-        F.lit("trend_season").alias("model"), SERIES, "step", "forecast")
+        F.lit("trend_season").alias("model"), SERIES, TS, "forecast")
     return h.unionByName(t)
 
 
+def _horizon(train: DataFrame, later: DataFrame, freq: str) -> int:
+    """Steps of ``freq`` from the end of each series' train rows to the last of ``later``, the most of all series."""
+    ends = train.groupBy(SERIES).agg(F.max(TS).alias("_lo")).join(later.groupBy(SERIES).agg(F.max(TS).alias("_hi")), SERIES)
+    # one more, as the train rows need not end on the grid
+    return int(ends.agg(F.max(grid.step_at_or_after(F.col("_lo"), F.col("_hi"), freq))).first()[0] or 0) + 1
+
+
 def cross_validate(train: DataFrame, cfg: TrainingConfig) -> DataFrame:
     """Metrics per ``(model, series_id, fold)`` over expanding folds of the train part."""
     big = train.groupBy(SERIES).count().where(F.col("count") > MIN_TRAIN_FOR_CV).select(SERIES)
     folds = split.expanding_folds(train.join(big, SERIES, "left_semi").drop(
         windows.POS, windows.N_ROWS), cfg.n_folds)
-    key = F.concat_ws(_KEY_SEP, F.col(SERIES), F.col(split.FOLD).cast("string"))
+    # the fold comes first: it holds no separator, a series id may
+    key = F.concat_ws(_KEY_SEP, F.col(split.FOLD).cast("string"), F.col(SERIES))
     fold_train = folds.where(F.col(split.ROLE) == "train").select(key.alias(SERIES), TS, VALUE)
     val = folds.where(F.col(split.ROLE) == "val").select(
-        key.alias(SERIES), (F.col(windows.POS) - F.col("train_end")).cast("int").alias("step"),
+        key.alias(SERIES), TS, (F.col(windows.POS) - F.col("train_end")).cast("int").alias("step"),
         F.col(VALUE).alias("actual"))
-    horizon = val.agg(F.max("step")).first()[0] or 1
-    fc = _series_models(fold_train, int(horizon), cfg, refine=cfg.cv_refine)
-    j = fc.join(val, [SERIES, "step"])
-    parts = F.split(F.col(SERIES), r"\|")
-    j = j.select("model", F.element_at(parts, 1).alias(SERIES),
-                 F.element_at(parts, 2).cast("int").alias(split.FOLD), "step", "actual", "forecast")
+    fc = _series_models(fold_train, _horizon(fold_train, val, cfg.freq), cfg, refine=cfg.cv_refine)
+    j = fc.join(val, [SERIES, TS])
+    parts = F.split(F.col(SERIES), r"\|", 2)
+    j = j.select("model", F.element_at(parts, 2).alias(SERIES),
+                 F.element_at(parts, 1).cast("int").alias(split.FOLD), "step", "actual", "forecast")
     return ev.forecast_metrics(j, by=("model", SERIES, split.FOLD))
 
 
@@ -99,11 +106,11 @@ def run(raw: DataFrame, cfg: TrainingConfig = TrainingConfig(),
     cv = cross_validate(train, cfg) if cfg.run_cv else None
 
     model = gbt_model or gbt.fit(train, **cfg.gbt_params)
-    horizon = test.agg(F.max("step")).first()[0] or 1
-    per_series = _series_models(train, int(horizon), cfg)
-    g = model.predict(test).select(F.lit("gbt").alias("model"), SERIES, "step", "forecast")
+    per_series = _series_models(train, _horizon(train, test, cfg.freq), cfg)
+    g = model.predict(test).select(F.lit("gbt").alias("model"), SERIES, TS, "forecast")
     # member forecasts feed both the ensemble and the scoring: materialise once (small)
-    members = cut_lineage(per_series.unionByName(g))
+    at = test.select(SERIES, TS, "step")
+    members = cut_lineage(per_series.unionByName(g).join(at, [SERIES, TS]).select("model", SERIES, "step", "forecast"))
     weights = raw.sparkSession.createDataFrame(list(cfg.ensemble_weights),
                                                "model string, weight double")
     chosen = members.join(weights.select("model"), "model", "left_semi")
