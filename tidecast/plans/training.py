@@ -58,8 +58,9 @@ class TrainingResult:
 def _series_models(train_rows: DataFrame, horizon: int, cfg: TrainingConfig,
                    refine: bool = True) -> DataFrame:
     """HW and trend+season forecasts ``(model, series_id, timestamp, forecast)`` per series key."""
-    reg = grid.regularise(train_rows.select(SERIES, TS, VALUE), cfg.freq,
-                          with_position=True).drop("filled")
+    # the fits read the grid many times: written once, their plans stay small
+    reg = cut_lineage(grid.regularise(train_rows.select(SERIES, TS, VALUE), cfg.freq,
+                                      with_position=True).drop("filled"))
     h = hw.forecast(hw.fit(reg, cfg.season, refine=refine), horizon, cfg.freq).select(
         F.lit("holt_winters").alias("model"), SERIES, TS, "forecast")
     t = tsr.forecast(tsr.fit(train_rows.select(SERIES, TS, VALUE)), horizon, cfg.freq).select(
@@ -77,8 +78,8 @@ def _horizon(train: DataFrame, later: DataFrame, freq: str) -> int:
 def cross_validate(train: DataFrame, cfg: TrainingConfig) -> DataFrame:
     """Metrics per ``(model, series_id, fold)`` over expanding folds of the train part."""
     big = train.groupBy(SERIES).count().where(F.col("count") > MIN_TRAIN_FOR_CV).select(SERIES)
-    folds = split.expanding_folds(train.join(big, SERIES, "left_semi").drop(
-        windows.POS, windows.N_ROWS), cfg.n_folds)
+    folds = cut_lineage(split.expanding_folds(train.join(big, SERIES, "left_semi").select(
+        SERIES, TS, VALUE), cfg.n_folds))
     # the fold comes first: it holds no separator, a series id may
     key = F.concat_ws(_KEY_SEP, F.col(split.FOLD).cast("string"), F.col(SERIES))
     fold_train = folds.where(F.col(split.ROLE) == "train").select(key.alias(SERIES), TS, VALUE)
@@ -96,7 +97,7 @@ def cross_validate(train: DataFrame, cfg: TrainingConfig) -> DataFrame:
 def run(raw: DataFrame, cfg: TrainingConfig = TrainingConfig(),
         gbt_model: gbt.GBTForecaster | None = None) -> TrainingResult:
     features = cut_lineage(feat.all_features(raw, cfg.spec))
-    labelled = split.chrono_split(features, cfg.train_ratio)
+    labelled = cut_lineage(split.chrono_split(features, cfg.train_ratio))
     n_train = F.floor(F.col(windows.N_ROWS).cast("double") * F.lit(cfg.train_ratio))
     train = labelled.where(F.col(split.SPLIT) == "train").drop(split.SPLIT, windows.POS,
                                                                windows.N_ROWS)
