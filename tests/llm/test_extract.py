@@ -53,3 +53,35 @@ def test_odd_pages(spark):
     assert got[12] == ("word, " * 200_000).strip()
     assert all(isinstance(t, str) for t in got.values())
     assert rows.limit(0).select(extract.extract(F.col("html"))).count() == 0
+
+
+PROSE = "Long prose, of two sentences. It says what it has to say, and it goes on for a while, as prose does. " * 3
+LONG = PROSE.strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<html><body><div><p>{PROSE}</p><p>The end.</p></div><footer><p>Imprint</p></footer>", [LONG, "The end."]),
+    (f"<html><body><nav><ul><li>Home</ul></nav><div><h1>Title</h1><p>{PROSE}</p></div>", ["Title", LONG]),
+    (f"<html><body><nav><ul><li>Home</ul></nav><div><h1>Title</h1><div><p>{PROSE}</p></div></div>", ["Title", LONG]),
+    (f"<html><body><div><p>{PROSE}</p><div class=ad>Buy, buy, buy!</div><p>So it was.</p></div><footer>Imprint</footer>", [LONG, "So it was."]),
+    (f"<html><body><div><p>{PROSE}</p><div class=ad><p>Buy!</p></div><p>Yes.</p><div class=ad><p>Buy!</p></div></div>", [LONG, "Yes."]),
+    (f"<html><body><p>{PROSE}</p><p>The end.</p><footer>Imprint</footer>", [LONG, "The end."]),
+    (f"<html><body><div>Log in</div><div><p>{PROSE}</p></div><div>Imprint</div>", [LONG]),
+])
+def test_short_blocks_of_a_container_without_telling_names(page, text):
+    assert extract.main_text(page) == "\n\n".join(text)
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<html><body><form id=form1><nav>Home</nav><article><h1>Title</h1><p>{PROSE}</p></article></form>", ["Title", LONG]),
+    (f"<html><body><form><main><p>Short.</p></main><p>{PROSE}</p></form><div><p>{PROSE * 4}</p></div>", ["Short.", (PROSE * 4).strip()]),
+    (f"<html><body><form id=aspnetForm><nav>Home</nav><div><p>{PROSE}</p></div></form>", [LONG]),
+    (f"<html><body><div><p>{PROSE}</p></div><form><p>Your name, please, and your address.</p></form>", [LONG]),
+])
+def test_forms(page, text):
+    assert extract.main_text(page) == "\n\n".join(text)
+
+
+def test_many_undecided_blocks_in_one_container():
+    page = "<html><body><div>" + "".join(f"<p>{'Some words, and more. ' * (i % 7)}x</p>" for i in range(5_000)) + "</div></body></html>"
+    assert len(extract.main_text(page)) > 0

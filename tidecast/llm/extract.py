@@ -3,8 +3,13 @@
 A page is cut into blocks.  A linear classifier over a block's ancestors, links, length and
 punctuation gives the cost of calling it boilerplate (an edge from the source) and of calling it content (an
 edge to the sink).  Neighbouring blocks are tied by smoothness edges, the stronger the more of their DOM path
-they share.  The maximum flow from source to sink leaves the cheapest labelling as the minimum cut:
-blocks still reached from the source are content.
+they share.  Blocks of one container, neighbours or not, are tied to a node of that container, and a heading
+to the next block of its container; blocks marked as other parts of the page take no part in these.  The maximum
+flow from source to sink leaves the cheapest labelling as the minimum cut: blocks still reached from the source
+are content.
+
+A form is another part of the page, but for what an article inside it holds; a form around half of the
+page's text or more is no sign.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ search section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head title noscript template iframe object canvas audio video map datalist select button textarea svg math".split())
 CLOSES_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "caption", "option", "optgroup", "legend"}
-CHROME = frozenset("nav header footer aside form menu dialog search".split())
+CHROME = frozenset("nav header footer aside menu dialog search".split())
 ARTICLE = frozenset("article main".split())
 BAD_NAMES = frozenset("""ad ads advert advertisement advertisements adverts banner breadcrumb breadcrumbs comment comments commentlist
 consent cookie cookies copyright disqus footer form header login masthead menu modal nav navbar navigation newsletter notice
@@ -60,24 +65,26 @@ def _signs(tag: str, attrs: str) -> tuple[int, bool]:
                 names.update({"nav"} if v.lower() in BAD_ROLES else {"main"} if v.lower() in ("main", "article") else ())
             elif name == "hidden" or name == "aria-hidden" and v.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", v):
                 hidden = True
+        if tag == "form":  # its name says no more than its tag
+            names.discard("form")
         if names & BAD_NAMES and not (tag in ARTICLE and names & GOOD_NAMES):
             sign = -2 if names & STICKY_NAMES else -1
         elif names & GOOD_NAMES:
             sign = 1
-    return sign, hidden
+    return sign or -(tag == "form"), hidden
 
 
 class Block:
-    __slots__ = ("text", "link", "path", "sign", "chrome", "tag")
+    __slots__ = ("text", "link", "path", "sign", "chrome", "tag", "form")
 
-    def __init__(self, text, link, path, sign, chrome, tag):
-        self.text, self.link, self.path, self.sign, self.chrome, self.tag = text, link, path, sign, chrome, tag
+    def __init__(self, text, link, path, sign, chrome, tag, form):
+        self.text, self.link, self.path, self.sign, self.chrome, self.tag, self.form = text, link, path, sign, chrome, tag, form
 
 
 def blocks(page: str) -> list[Block]:
     """The shown text blocks of a page in order, white space folded, character references decoded."""
     out: list[Block] = []
-    stack: list[tuple] = []  # (tag, number, sign, chrome, hidden)
+    stack: list[tuple] = []  # (tag, number, sign, chrome, hidden, form: its number and the sign around it, where the sign is the form's)
     text: list[str] = []
     linked = number = 0
     links = 0
@@ -87,9 +94,9 @@ def blocks(page: str) -> list[Block]:
         if text:
             whole = _SPACE.sub(" ", "".join(text)).strip()
             if whole:
-                sign, chrome = (stack[-1][2], stack[-1][3]) if stack else (0, False)
+                sign, chrome, form = (stack[-1][2], stack[-1][3], stack[-1][5]) if stack else (0, False, None)
                 tag = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-                out.append(Block(whole, min(1.0, linked / len(whole)), tuple(s[1] for s in stack if s[0] in BLOCKS), sign, chrome, tag))
+                out.append(Block(whole, min(1.0, linked / len(whole)), tuple(s[1] for s in stack if s[0] in BLOCKS), sign, chrome, tag, form))
             text.clear()
         linked = 0
 
@@ -144,11 +151,21 @@ def blocks(page: str) -> list[Block]:
         attrs = m["attrs"] or m["attrs2"]
         sign, hidden = _signs(tag, attrs)
         number += 1
-        up = stack[-1] if stack else ("", 0, 0, False, False)
-        stack.append((tag, number, (-1 if sign < 0 else sign) if sign else up[2], up[3] or sign == -2, up[4] or hidden or tag in HIDDEN))
+        up = stack[-1] if stack else ("", 0, 0, False, False, None)
+        form = up[5] if not sign else (number, up[2]) if tag == "form" and sign == -1 else None
+        stack.append((tag, number, (-1 if sign < 0 else sign) if sign else up[2], up[3] or sign == -2, up[4] or hidden or tag in HIDDEN, form))
         links += tag == "a"
     add(page[at:])
     close()
+    if any(b.form for b in out):
+        size: dict[int, int] = {}
+        for b in out:
+            if b.form and not b.chrome:
+                size[b.form[0]] = size.get(b.form[0], 0) + len(b.text)
+        whole = sum(len(b.text) for b in out if not b.chrome)
+        for b in out:
+            if b.form and 2 * size.get(b.form[0], 0) >= whole:
+                b.sign = b.form[1]
     return out
 
 
@@ -156,6 +173,9 @@ def blocks(page: str) -> list[Block]:
 W_CHROME, W_SIGN, W_LINK, W_LONG, W_SENTENCE, W_HEADING, W_BIAS = -400, 200, -60, 40, 20, 10, -15
 #: Smoothness of neighbours: for being adjacent, and for each shared part of their path in the DOM.
 W_NEXT, W_NEAR = 2, 10
+#: Of a block and its container, or a heading and what follows it; that much more for a container's long block.
+W_KIN, W_HOLD = 14, 6
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 def evidence(b: Block) -> int:
@@ -165,6 +185,9 @@ def evidence(b: Block) -> int:
 
 
 def smoothness(a: Block, b: Block) -> int:
+    """Of neighbours; where only one is marked as another part of the page, that is a border."""
+    if (a.chrome or a.sign < 0) != (b.chrome or b.sign < 0):
+        return W_NEXT
     shared = 0
     for x, y in zip(a.path, b.path):
         if x != y:
@@ -173,11 +196,36 @@ def smoothness(a: Block, b: Block) -> int:
     return W_NEXT + W_NEAR * shared // max(len(a.path), len(b.path), 1)
 
 
+def graph(own: list[Block]) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """Excess and edges of the blocks, followed by a node for each container of several blocks that are not marked as another part."""
+    excess = [evidence(b) for b in own]
+    edges = [(i, i + 1, smoothness(a, b)) for i, (a, b) in enumerate(zip(own, own[1:]))]
+    inner = {number for b in own for number in b.path[:-1]}
+    # text beside blocks lies in its own element, other text in the element around its block
+    holder = [b.path[-1] if b.path and b.path[-1] in inner else b.path[-2] if len(b.path) > 1 else 0 for b in own]
+    held: dict[int, list[int]] = {}
+    for i, h in enumerate(holder):
+        if own[i].sign >= 0 and not own[i].chrome:
+            held.setdefault(h, []).append(i)
+    for of in held.values():
+        if len(of) > 1:
+            edges += [(i, len(excess), W_KIN + round(W_HOLD * min(1.0, len(own[i].text) / 200))) for i in of]
+            excess.append(0)
+    after = -1
+    for i in range(len(own) - 1, -1, -1):
+        if own[i].tag in HEADINGS and after >= 0 and (not holder[i] or holder[i] in own[after].path):
+            edges.append((i, after, W_KIN))
+        if own[i].sign >= 0 and not own[i].chrome:
+            after = i
+    return excess, edges
+
+
 def min_cut(excess: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
     """Which nodes stay on the source's side of a minimum cut.
 
     ``excess[v]`` is the capacity from the source (positive) or to the sink (negative); edges are
-    undirected ``(u, v, capacity)``.  Shortest augmenting paths.
+    undirected ``(u, v, capacity)``.  Nodes whose own capacity outweighs all their edges are decided first and
+    hand the capacities of their edges to their neighbours; the rest by blocking flows over shortest paths.
     """
     n = len(excess)
     left = list(excess)
@@ -185,30 +233,58 @@ def min_cut(excess: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
     for u, v, c in edges:
         near[u][v] = near[u].get(v, 0) + c
         near[v][u] = near[v].get(u, 0) + c
+    tied = [sum(x.values()) for x in near]
+    side: list[bool | None] = [None] * n
+    todo = deque(range(n))
+    while todo:
+        v = todo.popleft()
+        if side[v] is not None or -tied[v] < left[v] <= tied[v]:
+            continue
+        side[v] = left[v] > tied[v]
+        for u, c in near[v].items():
+            del near[u][v]
+            tied[u] -= c
+            left[u] += c if side[v] else -c
+            todo.append(u)
+        near[v] = {}
+    live = [v for v in range(n) if side[v] is None]
+    arcs = {v: list(near[v]) for v in live}
     while True:
-        parent = {v: -1 for v in range(n) if left[v] > 0}
-        queue, goal = deque(parent), -1
+        level = {v: 0 for v in live if left[v] > 0}
+        queue, goal = deque(level), n
         while queue:
             u = queue.popleft()
             if left[u] < 0:
-                goal = u
-                break
-            for v, c in near[u].items():
-                if c > 0 and v not in parent:
-                    parent[v] = u
-                    queue.append(v)
-        if goal < 0:
-            return [v in parent for v in range(n)]
-        path, v = [], goal
-        while parent[v] >= 0:
-            path.append((parent[v], v))
-            v = parent[v]
-        flow = min([left[v], -left[goal], *(near[a][b] for a, b in path)])
-        left[v] -= flow
-        left[goal] += flow
-        for a, b in path:
-            near[a][b] -= flow
-            near[b][a] += flow
+                goal = min(goal, level[u])
+            if level[u] < goal:
+                for v, c in near[u].items():
+                    if c > 0 and v not in level:
+                        level[v] = level[u] + 1
+                        queue.append(v)
+        if goal == n:
+            return [v in level if s is None else s for v, s in enumerate(side)]
+        turn = dict.fromkeys(live, 0)
+        for first in [v for v in live if left[v] > 0]:
+            path = [first]
+            while path and left[first] > 0:
+                u = path[-1]
+                if left[u] < 0:
+                    flow = min([left[first], -left[u], *(near[a][b] for a, b in zip(path, path[1:]))])
+                    left[first] -= flow
+                    left[u] += flow
+                    for a, b in zip(path, path[1:]):
+                        near[a][b] -= flow
+                        near[b][a] += flow
+                    path = [first]
+                    continue
+                while turn[u] < len(arcs[u]) and not (near[u][arcs[u][turn[u]]] > 0 and level.get(arcs[u][turn[u]]) == level[u] + 1):
+                    turn[u] += 1
+                if turn[u] < len(arcs[u]):
+                    path.append(arcs[u][turn[u]])
+                else:
+                    path.pop()
+                    if path:
+                        turn[path[-1]] += 1
 
 
 def main_text(page: str | None) -> str:
@@ -216,7 +292,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     own = blocks(page)
-    label = min_cut([evidence(b) for b in own], [(i, i + 1, smoothness(a, b)) for i, (a, b) in enumerate(zip(own, own[1:]))])
+    label = min_cut(*graph(own))
     return "\n\n".join(b.text for b, content in zip(own, label) if content)
 
 
