@@ -62,6 +62,23 @@ def test_records_round_trip(spark, odd, empty):
     assert records.read_records(spark, records.write_records(empty, path)).count() == 0
 
 
+def test_records_of_texts_with_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    tok, end = Tokenizer.from_file(path), "<|endoftext|>"
+    texts = [f"a {end} b", f"two spaces  {end}  and after", end, f"{end}{end} x", f"in{end}side a word", f"ends with {end}", f"<|endoftext {end[:-1]} |>"]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, dtype="<u2").tobytes() for t in texts]
+    assert records.WordEncoder(path, 2).encode(texts) == want
+    data = records.write_records(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path)
+    got, start = {r.id: r for r in records.read_records(spark, data).collect()}, 0
+    for i, t in enumerate(texts):
+        ids = np.array(tok.encode(t, add_special_tokens=False).ids + [2], dtype="<u4")
+        assert (50256 in ids) == (end in t)
+        assert tuple(got[i]) == (i, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def test_damage_is_found():
     import io
 

@@ -89,8 +89,9 @@ class WordEncoder:
     """Encodes with a byte-level BPE whose words never span "x y" before the space.
 
     Cutting a text before its spaces leaves the tokenizer's own words whole unless
-    white space comes in threes or at the end; such texts go to the tokenizer as
-    they are.  The tokenizer encodes each distinct word; its ids are remembered.
+    white space comes in threes or at the end; such texts, and those that hold an
+    added token of the vocabulary (it becomes its own id, wherever it stands), go to the
+    tokenizer as they are.  The tokenizer encodes each distinct word; its ids are remembered.
     """
 
     def __init__(self, path: str, width: int):
@@ -98,7 +99,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_LONG_SPACE.pattern, *map(re.escape, sorted(added))]))
         self.dtype, self.known = f"<u{width}", {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
@@ -109,7 +111,7 @@ class WordEncoder:
         known, cut = self.known, []
         new: dict = {}
         for t in texts:
-            if _LONG_SPACE.search(t):
+            if self.whole.search(t):
                 cut.append([t])
                 continue
             words = t.split(" ")
@@ -174,7 +176,7 @@ def write_records(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     """Encode ``df`` in ascending id order (null ids first, then by text) and write records and index.
 
     Returns the data set's folder: ``data/`` has the files, ``index/`` the offset index.
-    A null text is empty; every document ends with ``end_id``.  An empty table gives an empty index.
+    A null text is empty; an added token of the vocabulary in a text becomes its id; every document ends with ``end_id``.  An empty table gives an empty index.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "records")
