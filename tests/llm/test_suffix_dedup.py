@@ -66,3 +66,15 @@ def test_cut_repeats_keeps_clean_texts(docs_of):
     got = {r.doc_id: r.text for r in suffix_dedup.cut_repeats(docs).collect()}
     assert got == {0: "start one ", 1: " end é", 2: "clean text", 3: None}
     assert suffix_dedup.cut_repeats(docs).columns == docs.columns
+
+
+def test_texts_of_one_id_are_told_apart_where_a_short_hash_is_not(spark, docs_of):
+    passage = " ".join(f"passage{i}" for i in range(30))
+    texts = [passage + " 745", " ".join(f"clean{i}" for i in range(60)) + " 140750", "other start " + passage, "short"]
+    docs = docs_of([(None, texts[0]), (None, texts[1]), (1, texts[2]), (None, texts[3])])
+    hashes = [r[0] for r in docs.selectExpr("hash(text)").collect()]
+    assert hashes[0] == hashes[1]
+    got = {(r.doc_id, r.n_bytes): tuple(r[1:5]) + (bytes(r[5]),) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert sorted(got.values()) == sorted(brute(texts, 200))
+    assert {(r.doc_id, r.text) for r in suffix_dedup.cut_repeats(docs).collect()} == {
+        (None, " 745"), (None, texts[1]), (1, "other start "), (None, "short")}

@@ -24,7 +24,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -91,12 +91,12 @@ def window_runs(parts: list[bytes], min_len: int):
 
 
 def _runs_of(min_len: int):
-    columns = "doc long, th int, i0 int, n int, anchor long, run long"
+    columns = "doc long, th binary, i0 int, n int, anchor long, run long"
 
     def flush(ids, ths, offs, parts):
         part, i0, n, anchor, run = window_runs(parts, min_len)
         return pd.DataFrame({"doc": pd.array([ids[p] for p in part], dtype="Int64"),
-                             "th": np.array(ths, dtype=np.int32)[part] if len(part) else np.zeros(0, np.int32),
+                             "th": pd.Series([ths[p] for p in part], dtype=object),
                              "i0": (i0 + np.array(offs, dtype=np.int64)[part] if len(part) else i0).astype(np.int32),
                              "n": n.astype(np.int32), "anchor": anchor, "run": run})
 
@@ -113,7 +113,7 @@ def _runs_of(min_len: int):
                         yield flush(ids, ths, offs, parts)
                         ids, ths, offs, parts, size = [], [], [], [], 0
                     ids.append(doc)
-                    ths.append(th)
+                    ths.append(bytes(th))
                     offs.append(off)
                     parts.append(piece)
                     size += len(piece)
@@ -225,10 +225,15 @@ def _cut_out(min_len: int):
     return cut
 
 
+def text_digest(text_col: str) -> Column:
+    """128 bits of the text's SHA-256; a null text is empty.  Rows of one id are told apart by it."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text_col, F.lit("")), 256)), 1, 16)
+
+
 def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = CROWD) -> DataFrame:
     """Rows ``(doc, th, s, e)``: byte ranges covered by repeated windows; they may overlap.
 
-    ``docs`` has ``doc`` (long), ``th`` (int, tells rows of one id apart) and ``raw``.
+    ``docs`` has ``doc`` (long), ``th`` (:func:`text_digest`, tells rows of one id apart) and ``raw``.
     """
     find, columns = _runs_of(min_len)
     runs = staged(docs.mapInPandas(find, columns), "runs")
@@ -302,7 +307,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     if min_len <= GRAM:
         raise ValueError(f"min_len must be over {GRAM}")
-    docs = df.select(F.col(id_col).cast("long").alias("doc"), F.hash(F.coalesce(text_col, F.lit(""))).alias("th"),
+    docs = df.select(F.col(id_col).cast("long").alias("doc"), text_digest(text_col).alias("th"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
     spans = repeated_spans(docs, min_len, crowd).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     return docs.alias("x").join(
@@ -317,7 +322,7 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     Rows without a repeat keep their text as it is (null stays null).  Bytes of a character that a cut parts go too.
     """
-    th = F.hash(F.coalesce(text_col, F.lit("")))
+    th = text_digest(text_col)
     raw = df.select(F.col(id_col).cast("long").alias("doc"), th.alias("th"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
     spans = repeated_spans(raw, min_len, crowd).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("_spans"))
 
