@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidecast.operators import features as feat
 from tidecast.operators import windows
 from tidecast.sources import tables
-from conftest import SMALL
+from smalltables import SMALL
 
 
 def _pd(df):

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
-from conftest import SMALL  # noqa: E402
+from smalltables import SMALL  # noqa: E402
 
 NAMES = sorted(entry.oracle_sql())
 

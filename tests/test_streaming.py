@@ -4,7 +4,7 @@ from tidecast.session import scratch_path
 from tidecast.sources import tables
 from tidecast.sources.store import SeriesStore
 from tidecast.streaming import ingest
-from conftest import SMALL
+from smalltables import SMALL
 
 
 def test_stream_ingest_idempotent(spark):
