@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, fingerprints, language, packing, pieces, records, sharding, simhash, suffix_dedup, topk
+from . import extract, fingerprints, graphann, language, negatives, packing, pieces, records, sharding, simhash, suffix_dedup, topk
 from .common import table
 
 #: Place of the public vocabulary files; a parameter of the functions below.
@@ -76,6 +76,17 @@ def op10_piece_roundtrip(spark: SparkSession, sf_dir: str, model: str | None = N
     return table(spark, sf_dir, "documents").select("doc_id", pieces.digest(F.col("text"), path).alias("p")).select("doc_id", "p.*")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each fiftieth vector's five positives; each seventh row's label is moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each hundredth vector's ten nearest neighbours found by the graphs."""
+    return graphann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -85,17 +96,35 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_shard_by_differencing, op3_token_records, op4_main_text, op5_best_fit_packing, op6_simhash_components,
-    op7_language, op8_repeated_bytes, op9_minhash_fingerprints, op10_piece_roundtrip, pipeline)}
+    op7_language, op8_repeated_bytes, op9_minhash_fingerprints, op10_piece_roundtrip,
+    op12_hard_negatives, op13_nearest_neighbours, pipeline)}
 
 SQL = {
     "op1_exact_top_k": """
         with v as (
-            select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as e from embeddings
+            select vec_id, [floor(64 * x::double) for x in embedding] as e from embeddings
             where vec_id is not null and embedding is not null and len(embedding) > 0
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+              and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
         s as (
             select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
             from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
         r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20""",
+    "op12_hard_negatives": """
+        with v as (
+            select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   [floor(256 * x::double) for x in embedding] as e from embeddings
+            where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+              and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+        s as (
+            select a.rid as a, a.vec_id as anchor_id, c.rid as c, c.vec_id, a.label = c.label as same,
+                   cast(list_inner_product(a.e, c.e) as bigint) as score
+            from v a join v c on a.rid <> c.rid and len(a.e) = len(c.e) where a.vec_id % 50 = 0),
+        p as (
+            select * from (select *, row_number() over (partition by a order by score desc, vec_id, c) as slot from s where same) where slot <= 5),
+        n as (
+            select p.a, p.slot, p.anchor_id, p.vec_id as positive_id, p.score as positive_score, s.vec_id as negative_id, s.score as negative_score,
+                   row_number() over (partition by p.a, p.slot order by s.score desc, s.vec_id, s.c) as rank
+            from p join s on p.a = s.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+        select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3""",
 }
