@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, fingerprints, graphann, language, negatives, packing, pieces, records, sharding, simhash, suffix_dedup, topk
+from . import extract, fingerprints, graphann, importance, language, negatives, packing, pieces, records, sharding, simhash, suffix_dedup, topk
 from .common import table
 
 #: Place of the public vocabulary files; a parameter of the functions below.
@@ -76,6 +76,11 @@ def op10_piece_roundtrip(spark: SparkSession, sf_dir: str, model: str | None = N
     return table(spark, sf_dir, "documents").select("doc_id", pieces.digest(F.col("text"), path).alias("p")).select("doc_id", "p.*")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed against the benchmark texts; five in a hundred are drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of each fiftieth vector's five positives; each seventh row's label is moved on by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -97,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_shard_by_differencing, op3_token_records, op4_main_text, op5_best_fit_packing, op6_simhash_components,
     op7_language, op8_repeated_bytes, op9_minhash_fingerprints, op10_piece_roundtrip,
-    op12_hard_negatives, op13_nearest_neighbours, pipeline)}
+    op11_importance_resampling, op12_hard_negatives, op13_nearest_neighbours, pipeline)}
 
 SQL = {
     "op1_exact_top_k": """
@@ -110,6 +115,46 @@ SQL = {
             from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
         r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20""",
+    "op11_importance_resampling": r"""
+        with crc as (
+            select list(list_reduce([n] || range(8), lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as t
+            from (select unnest(range(256)) as n)),
+        texts as (
+            select 'd' as side, row_number() over () as row, doc_id, text from documents union all
+            select 'b', row_number() over (), null, text from benchmark),
+        words as (
+            select side, row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts),
+        runs as (
+            select side, row, w[i + 1] as a, w[i + 2] as b, w[i + 3] as c from (select side, row, w, unnest(range(len(w))) as i from words)),
+        features as (
+            select side, row, a as f from runs union all
+            select side, row, a || ' ' || b from runs where b is not null union all
+            select side, row, a || ' ' || b || ' ' || c from runs where c is not null),
+        hashed as (
+            select f, xor(list_reduce([4294967295] || [('0x' || substr(h, 2 * i + 1, 2))::bigint for i in range(len(h) // 2)],
+                                      lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295) % 10000 as bucket
+            from (select f, hex(f) as h from (select distinct f from features)), crc),
+        counted as (
+            select side, row, bucket, count(*) as n from features join hashed using (f) group by all),
+        totals as (
+            select bucket, sum(case when side = 'd' then n else 0 end) as s, sum(case when side = 'b' then n else 0 end) as t from counted group by bucket),
+        whole as (select sum(s)::double as s, sum(t)::double as t from totals),
+        gain as (
+            select bucket, floor(1000 * ln((totals.t + 1)::double * (whole.s + 10000) / ((totals.s + 1)::double * (whole.t + 10000)))) as g
+            from totals, whole),
+        weighed as (
+            select row, sum(n) as n_features, sum(n * g) as weight from counted join gain using (bucket) where side = 'd' group by row),
+        scored as (
+            select w.row, w.doc_id, len(w.w) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+                   ('0x' || sha256('42:' || coalesce(doc_id::varchar, ''))[1:8])::bigint as h
+            from words w left join weighed using (row) where w.side = 'd'),
+        final as (
+            select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296)))::bigint as score from scored),
+        drawn as (
+            select row, row_number() over (order by score desc, doc_id nulls last, n_features, row) as rank from final where n_words >= 20)
+        select doc_id, n_features, weight, score, case when rank <= (select 5 * count(*) // 100 from drawn) then rank end as rank
+        from final left join drawn using (row)""",
     "op12_hard_negatives": """
         with v as (
             select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
