@@ -34,17 +34,20 @@ class Graph:
     """Vectors of a shard and the directed edges between them; unused edge places hold -1."""
 
     def __init__(self, x: np.ndarray, links: np.ndarray | None = None, degree: int = DEGREE):
-        # components are scaled into [-1, 1], so that single precision holds the distances
-        self.unit = float(np.abs(x).max(initial=0)) or 1.0
-        self.x = (np.asarray(x, dtype=np.float64) / self.unit).astype(np.float32)
+        # scaled by the usual size of a vector, so that single precision holds the distances; far outliers are held at its ends
+        self.unit = float(np.median(np.abs(x).max(axis=1))) if len(x) else 1.0
+        self.x = self.scaled(x)
         self.norm = np.einsum("ij,ij->i", self.x, self.x)
         self.links = np.full((len(self.x), degree), -1, dtype=np.int32) if links is None else links
         # the node nearest to the mean is where all searches begin
         self.entry = int(((self.x - self.x.mean(axis=0)) ** 2).sum(axis=1).argmin()) if len(self.x) else -1
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return np.clip(np.asarray(x, dtype=np.float64) / self.unit, -1e15, 1e15).astype(np.float32)
+
     def beam(self, q: np.ndarray, width: int, expand: int = 1):
-        """Nodes and squared distances of the ``width`` best found for each query, nearest first (-1: none)."""
-        q = np.clip(np.asarray(q, dtype=np.float64) / self.unit, -1e15, 1e15).astype(np.float32)
+        """Nodes and squared distances of the ``width`` best found for each scaled query, nearest first (-1: none)."""
         m, n = len(q), len(self.x)
         q2 = np.einsum("ij,ij->i", q, q)
         node = np.full((m, width), -1, dtype=np.int32)
@@ -118,7 +121,7 @@ class Graph:
 
     def link(self, of: np.ndarray, beam: int, alpha: float) -> None:
         """Propose, prune and set the edges of ``of``, then offer them to their far ends."""
-        found, _ = self.beam(self.x[of] * self.unit, beam, 2)
+        found, _ = self.beam(self.x[of], beam, 2)
         kept = self.prune(of, np.concatenate([found, self.links[of]], axis=1), alpha)
         self.links[of] = kept
         a, k = np.nonzero(kept >= 0)
@@ -209,7 +212,7 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _search(k: int, width: int):
     def answer(s: dict, rows: pd.DataFrame) -> pd.DataFrame:
         q = _matrix(rows["data"].tolist())
-        node, _ = s["graph"].beam(q, max(width, k + 1), 2)
+        node, _ = s["graph"].beam(s["graph"].scaled(q), max(width, k + 1), 2)
         out = []
         for i, (rid, query) in enumerate(zip(rows["rid"], rows["id"])):
             found = node[i][node[i] >= 0]
