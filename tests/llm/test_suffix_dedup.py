@@ -39,13 +39,36 @@ def corpus(seed, n=60):
     return out + ["x" * 700, "xy" * 350, "", None, "short", out[0], out[0], "a" * 199, "a" * 200, "ab" * 100 + "c"]
 
 
-@pytest.mark.parametrize("k,crowd", [(200, 2000), (200, 2), (101, 2000), (50, 3)])
-def test_matches_brute_force(docs_of, k, crowd):
+@pytest.mark.parametrize("k,group", [(200, 2000), (200, 2), (200, 1), (101, 2000), (101, 7), (50, 3)])
+def test_matches_brute_force(docs_of, k, group):
     texts = corpus(k)
-    got = suffix_dedup.remove_repeats(docs_of(texts), min_len=k, crowd=crowd).orderBy("doc_id").collect()
+    got = suffix_dedup.remove_repeats(docs_of(texts), min_len=k, group=group).orderBy("doc_id").collect()
     assert [tuple(r[1:5]) + (bytes(r[5]),) for r in got] == brute(texts, k)
 
 
+@pytest.mark.parametrize("length", [260, 420])
+def test_rows_grow_with_the_documents_around_one_passage(docs_of, monkeypatch, length):
+    """No jump where an anchor becomes crowded: ranges stay a few for each document, and the result stays right."""
+    rng = random.Random(length)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(80))[:length]
+    texts = [" ".join([word() for _ in range(30)] + [passage] + [word() for _ in range(30)]) for _ in range(400)]
+    rows = {}
+    keep = suffix_dedup.staged
+
+    def counted(df, name):
+        out = keep(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "staged", counted)
+    for n in (100, 400):
+        rows.clear()
+        got = suffix_dedup.remove_repeats(docs_of(texts[:n]), group=16).orderBy("doc_id").collect()
+        assert [tuple(r[1:5]) + (bytes(r[5]),) for r in got] == brute(texts[:n], 200)
+        assert rows["found"] <= 12 * n and rows["pieces"] <= 40 * n, rows
+
+
 def test_long_texts_are_cut_with_an_overlap(docs_of, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 300)
     monkeypatch.setattr(suffix_dedup, "BATCH", 2000)

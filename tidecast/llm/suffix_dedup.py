@@ -2,24 +2,24 @@
 
 Every byte covered by a ``min_len``-byte string that also starts elsewhere goes.
 
-1. Routing.  Each window of ``min_len`` bytes is assigned to its minimiser: the
-   leftmost smallest hash of its 16-byte grams.  Equal windows have equal minimisers,
-   so no repeat ever crosses two anchors.  Consecutive windows with one minimiser
-   position make a run.  Anchors that occur once hold no repeat; where all runs of an
-   anchor are equal, all their windows repeat.  Only anchors with differing runs go on.
-2. Expansion, per anchor.  The windows start as one interval; each step extends all
-   intervals backwards by one symbol (four bytes): positions are stably ordered by
-   (preceding symbol, rank of their interval), which is the LF mapping of the
-   Burrows-Wheeler order, and an interval ends where neighbours differ.  Intervals of one
-   position are dropped; common prefixes thus come by increasing length, and the
-   expansion stops at ``min_len``.  What is left repeats.
-3. An anchor of more than ``CROWD`` runs (a passage that many documents share) is expanded in chunks
-   of about so many.  What repeats within a chunk is found there; of the rest every window, and of
-   each repeated class one, is counted by a 128-bit digest over all chunks.
+1. Routing.  Each window of ``min_len`` bytes is assigned to its minimiser: the leftmost smallest hash of its 16-byte
+   grams.  Equal windows have equal minimisers at equal offsets, so no repeat ever crosses two anchors.  Consecutive
+   windows with one minimiser position make a run.  Anchors that occur once hold no repeat.  Equal runs repeat as a whole;
+   of them one stays, so that other runs can be compared with it.
+2. Splitting.  An anchor with more than ``GROUP`` different runs (a passage that many documents share, between texts that
+   differ) is split by the offset of the anchor in the window, into four ranges of offsets.  The bytes that all
+   windows of a range share name its group: equal windows meet in one group.  A group of one run holds no repeat,
+   parts of runs that are equal repeat as a whole, and what is still crowded is split again, down to single offsets.
+   Each split makes rows by runs, not by windows.
+3. Expansion of each group.  The windows start as one interval; each step extends all intervals backwards by one symbol (four
+   bytes): positions are stably ordered by (preceding symbol, rank of their interval), which is the LF mapping of the
+   Burrows-Wheeler order, and an interval ends where neighbours differ.  Intervals of one position are dropped; common
+   prefixes thus come by increasing length, and the expansion stops at ``min_len``.  What is left repeats.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import staged
+from .common import discard, staged
 
-#: About so many runs of an anchor are expanded together.
-CROWD = 1000
+#: At most so many different runs are expanded together; more are split by offset, into so many ranges at a time.
+GROUP, FAN = 128, 4
 GRAM = 16
 #: Bytes of text hashed at once; longer texts are cut with an overlap.
 PIECE, BATCH = 1 << 20, 1 << 21
@@ -53,14 +53,14 @@ def _gram_hashes(buf: bytes, n: int) -> np.ndarray:
 
 
 def window_runs(parts: list[bytes], min_len: int):
-    """Runs of windows with one minimiser: (part, first window, windows, anchor, digest).
+    """Runs of windows with one minimiser: (part, first window, windows, anchor, its offset in the first window, digest).
 
     Each part has ``min_len`` bytes at least.
     """
     buf = b"".join(parts)
     n = len(buf)
     if n < min_len:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(6))
     grams = min_len - GRAM + 1
     h = _gram_hashes(buf + b"\0" * 8, n)
     m = (h & ~_POS) | np.arange(len(h), dtype=np.uint64)
@@ -87,18 +87,18 @@ def window_runs(parts: list[bytes], min_len: int):
     part = np.searchsorted(start, edge, side="right") - 1
     digest = np.fromiter((int.from_bytes(hashlib.blake2b(buf[a:b], digest_size=8).digest(), "little", signed=True)
                           for a, b in zip(edge.tolist(), (end + min_len - 1).tolist())), dtype=np.int64, count=len(edge))
-    return part, edge - start[part], end - edge, h[at[edge]].view(np.int64), digest
+    return part, edge - start[part], end - edge, h[at[edge]].view(np.int64), at[edge] - edge, digest
 
 
 def _runs_of(min_len: int):
-    columns = "doc long, th binary, i0 int, n int, anchor long, run long"
+    columns = "doc long, th binary, i0 int, n int, anchor long, top int, run long"
 
     def flush(ids, ths, offs, parts):
-        part, i0, n, anchor, run = window_runs(parts, min_len)
+        part, i0, n, anchor, top, run = window_runs(parts, min_len)
         return pd.DataFrame({"doc": pd.array([ids[p] for p in part], dtype="Int64"),
                              "th": pd.Series([ths[p] for p in part], dtype=object),
                              "i0": (i0 + np.array(offs, dtype=np.int64)[part] if len(part) else i0).astype(np.int32),
-                             "n": n.astype(np.int32), "anchor": anchor, "run": run})
+                             "n": n.astype(np.int32), "anchor": anchor, "top": top.astype(np.int32), "run": run})
 
     def runs(batches):
         for batch in batches:
@@ -124,7 +124,7 @@ def _runs_of(min_len: int):
 
 
 def repeated_windows(runs: list[bytes], weight: np.ndarray, min_len: int):
-    """Backward interval expansion: which windows of the runs repeat, each window's run, and one window of each class that repeats.
+    """Backward interval expansion: which windows of the runs repeat, and each window's run.
 
     ``weight`` says how many equal copies a run stands for.
     """
@@ -159,57 +159,36 @@ def repeated_windows(runs: list[bytes], weight: np.ndarray, min_len: int):
         rank = (np.cumsum(alive) - 1)[interval[keep]].astype(np.uint64)
     repeated = np.zeros(len(of), dtype=bool)
     repeated[active] = True
-    return repeated, of, active[np.unique(rank, return_index=True)[1]]
-
-
-def _digest(raw: bytes) -> tuple[int, int]:
-    d = hashlib.blake2b(raw, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+    return repeated, of
 
 
 def _expand(min_len: int):
-    """Of runs sorted by anchor and chunk, the ranges ``[a, b)`` of repeated windows; of anchors in several chunks also
-    the digests ``d1, d2`` of what other chunks must be asked about: single windows (1) and one of each class (2)."""
-    names = ["anchor", "run", "a", "b", "d1", "d2", "copies"]
-
-    def found(anchors, runs, data, copies, chunks):
-        repeated, of, one = repeated_windows(data, np.array(copies), min_len)
+    """Of parts of runs sorted by group, the ranges ``[a, b)`` of windows that repeat; parts already settled (``done``) only take part."""
+    def found(rows):
+        anchors, runs, first, data, copies, done = zip(*rows)
+        repeated, of = repeated_windows(list(data), np.array(copies), min_len)
+        repeated &= ~np.array(done, dtype=bool)[of]
         windows = np.bincount(of, minlength=len(data))
-        ahead = np.concatenate(([0], np.cumsum(windows)[:-1]))
+        ahead = np.concatenate(([0], np.cumsum(windows)[:-1])) - np.array(first, dtype=np.int64)
         inside = repeated[1:] & repeated[:-1] & (of[1:] == of[:-1])
         a = np.flatnonzero(repeated & ~np.concatenate(([False], inside)))
         b = np.flatnonzero(repeated & ~np.concatenate((inside, [False]))) + 1
-        anchors, runs = np.array(anchors, dtype=np.int64), np.array(runs, dtype=np.int64)
         run = of[a]
-        yield pd.DataFrame({"anchor": anchors[run], "run": runs[run], "a": (a - ahead[run]).astype(np.int32), "b": (b - ahead[run]).astype(np.int32),
-                            "d1": pd.array([None] * len(a), dtype="Int64"), "d2": pd.array([None] * len(a), dtype="Int64"), "copies": np.zeros(len(a), np.int64)})
-        split = np.array(chunks)[of] > 1
-        weight = np.where(repeated, 2, 1)
-        ask = ~repeated
-        ask[one] = True
-        at = np.flatnonzero(ask & split)
-        for lo in range(0, len(at), 100_000):
-            part = at[lo:lo + 100_000]
-            off = part - ahead[of[part]]
-            d = np.array([_digest(data[r][o:o + min_len]) for r, o in zip(of[part].tolist(), off.tolist())], dtype=np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"anchor": anchors[of[part]], "run": runs[of[part]], "a": off.astype(np.int32), "b": (off + 1).astype(np.int32),
-                                "d1": d[:, 0], "d2": d[:, 1], "copies": weight[part]})[names]
+        return pd.DataFrame({"anchor": np.array(anchors, dtype=np.int64)[run], "run": np.array(runs, dtype=np.int64)[run],
+                             "a": (a - ahead[run]).astype(np.int32), "b": (b - ahead[run]).astype(np.int32)})
 
     def expand(batches):
-        anchors, runs, data, copies, chunks, last, size = [], [], [], [], [], None, 0
+        rows, last, size = [], None, 0
         for batch in batches:
-            for anchor, chunk, of, run, raw, c in zip(*(batch[n] for n in ("anchor", "chunk", "chunks", "run", "data", "copies"))):
-                if size > 250_000 and (anchor, chunk) != last:
-                    yield from found(anchors, runs, data, copies, chunks)
-                    anchors, runs, data, copies, chunks, size = [], [], [], [], [], 0
-                anchors.append(anchor)
-                runs.append(run)
-                data.append(raw)
-                copies.append(c)
-                chunks.append(of)
-                last, size = (anchor, chunk), size + len(raw) - min_len + 1
-        if data:
-            yield from found(anchors, runs, data, copies, chunks)
+            core = [None if c is None else bytes(c) for c in batch["core"]]
+            for anchor, p, c, *row in zip(batch["anchor"], batch["p"], core, batch["run"], batch["first"], batch["data"], batch["copies"], batch["done"]):
+                if size > 250_000 and (anchor, p, c) != last:
+                    yield found(rows)
+                    rows, size = [], 0
+                rows.append((anchor, *row))
+                last, size = (anchor, p, c), size + len(row[2]) - min_len + 1
+        if rows:
+            yield found(rows)
 
     return expand
 
@@ -218,19 +197,67 @@ def _cut_out(min_len: int):
     """The bytes of the runs asked for."""
     def cut(batches):
         for batch in batches:
-            out = [(w["anchor"], w["run"], w["copies"], w["runs"], bytes(raw[w["i0"]:w["i0"] + w["n"] + min_len - 1]))
+            out = [(w["anchor"], w["run"], w["copies"], w["top"], w["n"], bytes(raw[w["i0"]:w["i0"] + w["n"] + min_len - 1]))
                    for raw, want in zip(batch["raw"], batch["want"]) for w in want]
-            yield pd.DataFrame(out, columns=["anchor", "run", "copies", "runs", "data"])
+            yield pd.DataFrame(out, columns=["anchor", "run", "copies", "top", "n", "data"])
 
     return cut
 
 
+def _digest(data: Column) -> Column:
+    return F.unhex(F.md5(data))
+
+
+def repeated_ranges(data: DataFrame, min_len: int, group: int = GROUP) -> DataFrame:
+    """Rows ``(anchor, run, a, b)``: ranges of windows of the different runs ``(anchor, run, copies, top, n, data)`` that repeat.
+
+    ``top`` is the anchor's offset in the first window.  A part covers the windows of offsets ``hi`` to ``lo`` of a run, in a
+    group that has the offsets ``p`` to ``q``.
+    """
+    found = [data.where("copies > 1").select("anchor", "run", F.lit(0).alias("a"), F.col("n").alias("b"))]
+    keys = ["anchor", "p", "core"]
+    parts = data.select("anchor", F.lit(0).alias("p"), F.lit(min_len - GRAM).alias("q"), F.lit(b"").alias("core"), "run", "top", F.col("top").alias("hi"),
+                        (F.col("top") - F.col("n") + 1).alias("lo"), "copies", (F.col("copies") > 1).alias("done"), "data")
+    gone, ranges, width = [], [], min_len - GRAM + 1
+    while True:
+        # where the copies add up to one nothing repeats; where all is settled nothing is asked
+        groups = parts.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum("copies").alias("_c"), F.count_if(~F.col("done")).alias("_open")).where(
+            "_c > 1 and _open > 0").drop("_c", "_open")
+        sized = staged(parts.join(groups, keys), "sized")
+        few = sized.where(F.col("rows") <= group).withColumn("first", F.col("top") - F.col("hi"))
+        ranges.append(staged(few.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "run", "first", "data", "copies", "done").mapInPandas(
+            _expand(min_len), "anchor long, run long, a int, b int"), "ranges"))
+        found.append(ranges[-1])
+        most = sized.agg(F.max("rows")).first()[0] or 0
+        if most <= group:
+            break
+        width = -(-width // FAN)
+        start = F.col("p") + F.col("_k") * width
+        pieces = sized.where(F.col("rows") > group).withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(FAN - 1)))).withColumn("_p", start).withColumn(
+            "_q", F.least("q", start + (width - 1))).withColumn("_hi", F.least("hi", "_q")).withColumn("_lo", F.greatest("lo", "_p")).where("_lo <= _hi")
+        cut = lambda a, n: F.substring("data", a + 1, n)
+        pieces = pieces.select(
+            "anchor", F.col("_p").alias("p"), F.col("_q").alias("q"), _digest(cut(F.col("hi") - F.col("_p"), F.col("_p") - F.col("_q") + min_len)).alias("core"),
+            "run", "top", F.col("_hi").alias("hi"), F.col("_lo").alias("lo"), "copies", "done",
+            cut(F.col("hi") - F.col("_hi"), F.col("_hi") - F.col("_lo") + min_len).alias("data")).withColumn("whole", _digest(F.col("data")))
+        same = ["anchor", "p", "hi", "lo", "whole"]
+        equal = pieces.groupBy(*same).agg(F.sum("copies").alias("_c"), F.min("run").alias("_one"))
+        both = staged(pieces.join(equal, same), "pieces")
+        found.append(both.where("_c > 1 and not done").select("anchor", "run", (F.col("top") - F.col("hi")).alias("a"), (F.col("top") - F.col("lo") + 1).alias("b")))
+        parts = both.where("_c = 1 or run = _one").withColumn("copies", F.col("_c")).withColumn("done", F.col("_c") > 1).drop("_c", "_one", "whole")
+        discard(sized)
+        gone.append(both)
+    out = staged(functools.reduce(DataFrame.union, found), "found")
+    discard(sized, *gone, *ranges)
+    return out
+
+
 def text_digest(text_col: str) -> Column:
     """128 bits of the text's SHA-256; a null text is empty.  Rows of one id are told apart by it."""
     return F.substring(F.unhex(F.sha2(F.coalesce(text_col, F.lit("")), 256)), 1, 16)
 
 
-def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = CROWD) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_len: int = 200, group: int = GROUP) -> DataFrame:
     """Rows ``(doc, th, s, e)``: byte ranges covered by repeated windows; they may overlap.
 
     ``docs`` has ``doc`` (long), ``th`` (:func:`text_digest`, tells rows of one id apart) and ``raw``.
@@ -239,28 +266,19 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, crowd: int = CROWD) -> D
     runs = staged(docs.mapInPandas(find, columns), "runs")
     # written, so that the join below is of two plain shuffles, whose hot anchors Spark may split
     anchors = staged(runs.groupBy("anchor").agg(F.count("*").alias("runs"), (F.min("run") == F.max("run")).alias("same")).where("runs > 1"), "anchors")
-    marked = staged(runs.join(anchors, "anchor"), "marked")
+    marked = staged(runs.join(anchors, "anchor").drop("runs"), "marked")
+    discard(runs, anchors)
     whole = marked.where("same").select("doc", "th", F.col("i0").alias("s"), (F.col("i0") + F.col("n") + (min_len - 1)).alias("e"))
     mixed = marked.where("not same")
     # one place where the bytes of each differing run can be had
-    reps = mixed.groupBy("anchor", "run").agg(
-        F.min(F.struct("doc", "th", "i0", "n")).alias("at"), F.count("*").alias("copies"), F.max("runs").alias("runs"))
+    reps = mixed.groupBy("anchor", "run").agg(F.min(F.struct("doc", "th", "i0", "n", "top")).alias("at"), F.count("*").alias("copies"))
     want = reps.groupBy(F.col("at.doc").alias("doc"), F.col("at.th").alias("th")).agg(
-        F.collect_list(F.struct("anchor", "run", "copies", "runs", F.col("at.i0").alias("i0"), F.col("at.n").alias("n"))).alias("want"))
+        F.collect_list(F.struct("anchor", "run", "copies", "at.top", "at.i0", "at.n")).alias("want"))
     some = docs.alias("x").join(want.alias("w"), F.col("x.doc").eqNullSafe(F.col("w.doc")) & (F.col("x.th") == F.col("w.th")))
     data = staged(some.select("raw", "want").mapInPandas(
-        _cut_out(min_len), "anchor long, run long, copies long, runs long, data binary"), "mixed")
-    chunks = F.ceil(F.col("runs") / crowd)
-    dealt = data.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("run"), F.col("chunks")))
-    ranges = staged(dealt.repartition("anchor", "chunk").sortWithinPartitions("anchor", "chunk").mapInPandas(
-        _expand(min_len), "anchor long, run long, a int, b int, d1 long, d2 long, copies long"), "ranges")
-    asked = ranges.where("d1 is not null")
-    twice = asked.groupBy("d1", "d2").agg(F.sum("copies").alias("c")).where("c > 1").select("d1", "d2")
-    # windows of a run that follow each other become one range
-    w = Window.partitionBy("anchor", "run").orderBy("a")
-    crossed = asked.where("copies = 1").join(twice, ["d1", "d2"]).withColumn("g", F.col("a") - F.row_number().over(w)).groupBy(
-        "anchor", "run", "g").agg(F.min("a").alias("a"), (F.max("a") + 1).alias("b")).drop("g")
-    found = ranges.where("d1 is null").select("anchor", "run", "a", "b").union(crossed)
+        _cut_out(min_len), "anchor long, run long, copies long, top int, n int, data binary"), "mixed")
+    found = repeated_ranges(data, min_len, group)
+    discard(data)
     part = mixed.join(found, ["anchor", "run"]).select(
         "doc", "th", (F.col("i0") + F.col("a")).alias("s"), (F.col("i0") + F.col("b") + (min_len - 1)).alias("e"))
     return whole.union(part)
@@ -297,7 +315,7 @@ def _result(batches):
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 200,
-                   crowd: int = CROWD) -> DataFrame:
+                   group: int = GROUP) -> DataFrame:
     """One row per row of ``df``: ``id_col, n_bytes, n_removed, n_spans, kept_sha256, kept`` (bytes).
 
     Every byte covered by a ``min_len``-byte string that starts at another place too, in the
@@ -309,7 +327,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError(f"min_len must be over {GRAM}")
     docs = df.select(F.col(id_col).cast("long").alias("doc"), text_digest(text_col).alias("th"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
-    spans = repeated_spans(docs, min_len, crowd).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    spans = repeated_spans(docs, min_len, group).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     return docs.alias("x").join(
         spans.alias("y"), F.col("x.doc").eqNullSafe(F.col("y.doc")) & (F.col("x.th") == F.col("y.th")), "left").select(
         F.col("x.doc").alias("rid"), "raw", "spans").mapInPandas(
@@ -317,14 +335,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ).withColumnRenamed("id", id_col)
 
 
-def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 200, crowd: int = CROWD) -> DataFrame:
+def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 200, group: int = GROUP) -> DataFrame:
     """``df`` with the repeated bytes cut out of its text, without the rows of which nothing is left.
 
     Rows without a repeat keep their text as it is (null stays null).  Bytes of a character that a cut parts go too.
     """
     th = text_digest(text_col)
     raw = df.select(F.col(id_col).cast("long").alias("doc"), th.alias("th"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
-    spans = repeated_spans(raw, min_len, crowd).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("_spans"))
+    spans = repeated_spans(raw, min_len, group).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("_spans"))
 
     @F.pandas_udf("string")
     def kept(text: pd.Series, spans: pd.Series) -> pd.Series:
