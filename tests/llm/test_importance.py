@@ -84,15 +84,14 @@ def test_ties_and_hot_ids(spark, docs_of):
 def test_slices_cut_anywhere(monkeypatch):
     """Texts longer than a slice, with words longer than a slice and than the tables: every feature once."""
     monkeypatch.setattr(importance, "SLICE", 50)
-    monkeypatch.setattr(importance, "VOCABULARY", 30)
     texts = texts_of(7, 80) + [None, "", "y" * 300 + " z " + "é" * 90, " . ", "a", "a b"]
     every = Counter(w.encode() for t in texts for w in features(t)[1] if " " not in w)
-    head = Head([w for w, _ in every.most_common(20) if len(w) <= importance.WORD_BYTES], [0, 1, 512, 1025])
+    head = Head([w for w, _ in every.most_common(20) if len(w) <= importance.HEAD_BYTES], [0, 1, 512, 1025])
     total, per = Counter(), Counter()
-    for words, of, place in slices(texts):
-        b, at = head.buckets(words, place, 10000)
+    for w in slices(texts):
+        b, at = head.buckets(w, 10000)
         total.update(b.tolist())
-        per.update(of[at].tolist())
+        per.update(w.of[at].tolist())
     assert total == Counter(bucket(f) for t in texts for f in features(t)[1])
     assert per == Counter({i: len(features(t)[1]) for i, t in enumerate(texts) if features(t)[1]})
 

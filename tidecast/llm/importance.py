@@ -4,8 +4,8 @@ Features are runs of one to three words; a feature's bucket is the CRC-32 of its
 The CRC of a run continues the CRC of its beginning: ``crc(a + b) = shift(crc(a), len(b)) ^ crc(b)``, where ``shift``
 is linear and comes from tables by length.
 
-* Head: the most frequent words of all documents, with the CRC states of the word and of the word behind a space, and
-  the states of the most frequent pairs of the first of them, both broadcast in tables of a stated size.
+* Head: the CRC states of the most frequent words of all documents (of ``HEAD_BYTES`` at most), and the states of the most
+  frequent pairs of the first of them, both broadcast in tables of a stated size.
 * Tail: words outside the head take a direct CRC of their bytes; runs that are no frequent pair are continued word by word.
 
 Both give the exact bucket of every feature, so the head changes the time and never the result.  Bucket totals are
@@ -15,8 +15,8 @@ counted in each task and added up; no feature is ever a row.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,39 +27,76 @@ from pyspark.sql.window import Window
 from .common import staged
 
 BUCKETS = 10_000
-#: Sizes of the broadcast head: words (of ``WORD_BYTES`` at most), those of them that form pairs, and pairs.
-HEAD_WORDS, PAIR_WORDS, HEAD_PAIRS, WORD_BYTES = 8192, 512, 65_536, 64
-#: Bytes of text taken at once, words counted or remembered before a table is passed on or begun anew.
-SLICE, VOCABULARY = 1 << 22, 400_000
+#: Sizes of the broadcast head: words, their bytes (two machine words), those of them that form pairs, and pairs.
+HEAD_WORDS, HEAD_BYTES, PAIR_WORDS, HEAD_PAIRS = 8192, 16, 512, 65_536
+#: Longest word that the shift tables know; longer ones are continued byte by byte.
+SHIFT_BYTES = 64
+#: Bytes of text taken at once, and different words counted before they are passed on.
+SLICE, VOCABULARY = 1 << 22, 1_000_000
 #: Lower-cases A-Z; bytes that are no digit, letter a-z or part of a longer character become a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+_SLOTS = 1 << 16
+_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
-def _shift_tables() -> np.ndarray:
-    """Entry ``(length, byte place, byte)``: what that byte of a CRC becomes when so many zero bytes follow."""
+def _crc_table() -> np.ndarray:
     one = np.arange(256, dtype=np.uint32)
     for _ in range(8):
         one = np.where(one & 1, (one >> 1) ^ np.uint32(0xEDB88320), one >> 1).astype(np.uint32)
-    out = np.empty((WORD_BYTES + 2, 4, 256), dtype=np.uint32)
+    return one
+
+
+_ONE = _crc_table()
+
+
+def _shift_tables() -> np.ndarray:
+    """Entry ``(length, byte place, byte)``: what that byte of a CRC becomes when so many zero bytes follow."""
+    out = np.empty((SHIFT_BYTES + 2, 4, 256), dtype=np.uint32)
     out[0] = np.arange(256, dtype=np.uint32)[None, :] << (8 * np.arange(4, dtype=np.uint32))[:, None]
     for n in range(1, len(out)):
-        out[n] = (out[n - 1] >> 8) ^ one[out[n - 1] & 255]
+        out[n] = (out[n - 1] >> 8) ^ _ONE[out[n - 1] & 255]
     return out
 
 
-def slices(texts) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
-    """Words of the texts in slices of about ``SLICE`` bytes: words, the text of each, and how many words of the same text stand
-    before it (2 at most).  A text that goes on in the next slice hands over its last two words; such words again are marked with -1."""
-    words: list[bytes] = []
-    spans: list[tuple[int, int, int]] = []  # text, words, words that were there before
+@dataclass
+class Words:
+    """Words of some texts: where each begins in ``raw``, its bytes, its text, and how many words of the text stand before
+    it (2 at most).  Words that the slice before has had already are there for the runs they begin, with place -1."""
+
+    raw: bytes
+    start: np.ndarray
+    size: np.ndarray
+    of: np.ndarray
+    place: np.ndarray
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first 16 bytes of each word as two numbers."""
+        every = np.ndarray((len(self.raw) - 7,), dtype="<u8", buffer=self.raw, strides=(1,))
+        return (every[self.start] & _LOW[np.minimum(self.size, 8)], every[self.start + 8] & _LOW[np.clip(self.size - 8, 0, 8)])
+
+    def word(self, i: int) -> bytes:
+        return self.raw[self.start[i]:self.start[i] + self.size[i]]
+
+
+def slices(texts) -> Iterator[Words]:
+    """Words of the texts in slices of about ``SLICE`` bytes.  A text that goes on in the next slice hands over its last two words."""
+    parts: list[tuple[int, bytes, int]] = []  # text, folded bytes, words that were there before
     size = 0
 
-    def flush():
-        of = np.repeat(np.array([s[0] for s in spans], dtype=np.int64), [s[1] for s in spans])
-        count = np.array([s[1] for s in spans], dtype=np.int64)
-        again = np.repeat(np.array([s[2] for s in spans], dtype=np.int64), count)
-        place = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-        return words, of, np.where(place < again, -1, np.minimum(place, 2))
+    def flush() -> Words:
+        raw = b" ".join(p[1] for p in parts) + b" " * 17
+        mask = np.frombuffer(raw, dtype=np.uint8) != 32
+        edge = np.flatnonzero(mask[1:] != mask[:-1]) + 1
+        if mask[0]:
+            edge = np.concatenate(([0], edge))
+        start, end = edge[0::2], edge[1::2]
+        length = np.array([len(p[1]) + 1 for p in parts], dtype=np.int64)
+        begin = np.cumsum(length) - length
+        part = np.searchsorted(begin, start, side="right") - 1
+        place = np.arange(len(start)) - np.searchsorted(start, begin)[part]
+        again = np.array([p[2] for p in parts], dtype=np.int64)[part]
+        return Words(raw, start, end - start, np.array([p[0] for p in parts], dtype=np.int64)[part], np.where(place < again, -1, np.minimum(place, 2)))
 
     for no, text in enumerate(texts):
         if text is None:
@@ -77,130 +114,151 @@ def slices(texts) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
                 if end < len(raw):
                     end = at + cut + 1
                     part = part[:cut]
-            own = part.split()
-            if own:
-                words += before + own
-                spans.append((no, len(before) + len(own), len(before)))
-                before = (before + own)[-2:]
-            size += end - at
+            parts.append((no, b" ".join([*before, part]), len(before)))
+            if end < len(raw):
+                before = (before + part.rsplit(None, 2)[-2:])[-2:]
+            size += len(part)
             at = end
             if size >= SLICE:
-                if words:
-                    yield flush()
-                words, spans, size = [], [], 0
-    if words:
+                yield flush()
+                parts, size = [], 0
+    if parts:
         yield flush()
 
 
 class Head:
-    """CRC states of the frequent words and pairs, and of the words met in this task."""
+    """CRC states of the frequent words and pairs; all else is computed from the bytes."""
 
     def __init__(self, words: list[bytes], pairs: list[int]):
-        self.words = words
         self.shift = _shift_tables().reshape(-1)
+        self.key = np.zeros((2, _SLOTS), dtype=np.uint64)
+        self.no = np.full(_SLOTS, -1, dtype=np.int64)
+        self.crc = np.array([zlib.crc32(w) for w in words] or [0], dtype=np.uint32)
+        self.probes = 0
+        for i, w in enumerate(words):
+            k = [np.uint64(int.from_bytes(w[a:a + 8], "little")) for a in (0, 8)]
+            slot, n = int(self._slot(*[np.array([x]) for x in k])[0]), 1
+            while self.no[slot] >= 0:
+                slot, n = (slot + 1) % _SLOTS, n + 1
+            self.key[:, slot], self.no[slot], self.probes = k, i, max(self.probes, n)
+        # a word behind a space: the space's CRC moved on by the word's length
+        space = np.full(SHIFT_BYTES + 1, zlib.crc32(b" "), dtype=np.uint32)
+        self.space = self._moved(space, np.arange(SHIFT_BYTES + 1))
         self.pairs = np.zeros(PAIR_WORDS * PAIR_WORDS, dtype=np.uint32)
         self.known = np.zeros(PAIR_WORDS * PAIR_WORDS, dtype=bool)
         for p in pairs:
             self.pairs[p] = zlib.crc32(words[p // PAIR_WORDS] + b" " + words[p % PAIR_WORDS])
             self.known[p] = True
-        self.restart()
-
-    def restart(self) -> None:
-        self.place = {w: i for i, w in enumerate(self.words)}
-        self.crc, self.gap, self.size = np.zeros((3, max(1024, 2 * len(self.words))), dtype=np.uint32)
-        self._learn(self.words, 0)
-
-    def _learn(self, words: list[bytes], first: int) -> None:
-        last = first + len(words)
-        while last > len(self.crc):
-            self.crc, self.gap, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.crc, self.gap, self.size))
-        self.crc[first:last] = [zlib.crc32(w) for w in words]
-        self.gap[first:last] = [zlib.crc32(b" " + w) for w in words]
-        self.size[first:last] = [min(len(w) + 1, WORD_BYTES + 2) for w in words]
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Places of the words in the tables; unknown ones are learned by a direct CRC."""
-        if len(self.place) > VOCABULARY + len(self.words):
-            self.restart()
-        place = self.place
-        out = np.fromiter(map(place.get, words, _minus_ones()), dtype=np.int64, count=len(words))
-        tail = np.flatnonzero(out < 0)
-        if len(tail):
-            new = []
-            for i in tail.tolist():
-                w = words[i]
-                at = place.get(w, -1)
-                if at < 0:
-                    at = place[w] = len(place)
-                    new.append(w)
-                out[i] = at
-            self._learn(new, len(place) - len(new))
+
+    @staticmethod
+    def _slot(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
+        return (((k1 * _MIX[0]) ^ (k2 * _MIX[1])) * _MIX[0] >> np.uint64(48)).astype(np.int64)
+
+    def _moved(self, state: np.ndarray, size: np.ndarray) -> np.ndarray:
+        base, t = size.astype(np.int64) * 1024, self.shift
+        return t[base + (state & 255)] ^ t[base + 256 + ((state >> 8) & 255)] ^ t[base + 512 + ((state >> 16) & 255)] ^ t[base + 768 + (state >> 24)]
+
+    def numbers(self, w: Words) -> np.ndarray:
+        """Place of each word in the head, -1 for the tail."""
+        out = np.full(len(w.start), -1, dtype=np.int64)
+        if not len(out):
+            return out
+        k1, k2 = w.keys()
+        rest = np.flatnonzero(w.size <= HEAD_BYTES)
+        slot = self._slot(k1[rest], k2[rest])
+        for _ in range(self.probes):
+            no = self.no[slot]
+            hit = (self.key[0, slot] == k1[rest]) & (self.key[1, slot] == k2[rest]) & (no >= 0)
+            out[rest[hit]] = no[hit]
+            on = ~hit & (no >= 0)
+            rest, slot = rest[on], (slot[on] + 1) % _SLOTS
         return out
 
-    def _continued(self, state: np.ndarray, ids: np.ndarray, words: list[bytes], at: np.ndarray) -> np.ndarray:
-        """CRC of what ``state`` stands for, a space and the word."""
-        size = self.size[ids]
-        base = size.astype(np.int64) * 1024
-        np.minimum(base, 1024 * (WORD_BYTES + 1), out=base)
-        t = self.shift
-        out = t[base + (state & 255)] ^ t[base + 256 + ((state >> 8) & 255)] ^ t[base + 512 + ((state >> 16) & 255)] ^ t[base + 768 + (state >> 24)]
-        out ^= self.gap[ids]
-        for i in np.flatnonzero(size > WORD_BYTES + 1).tolist():  # longer than the tables
-            out[i] = zlib.crc32(b" " + words[at[i]], int(state[i]))
+    def states(self, w: Words, no: np.ndarray) -> np.ndarray:
+        """CRC of every word: from the head, else from its bytes."""
+        out = self.crc[no]
+        at = np.flatnonzero(no < 0)
+        raw = np.frombuffer(w.raw, dtype=np.uint8)
+        for i in at[w.size[at] > SHIFT_BYTES].tolist():
+            out[i] = zlib.crc32(w.word(i))
+        at = at[w.size[at] <= SHIFT_BYTES]
+        at = at[np.argsort(-w.size[at], kind="stable")]
+        start, size = w.start[at], w.size[at]
+        state = np.full(len(at), 0xFFFFFFFF, dtype=np.uint32)
+        for j in range(int(size[0]) if len(size) else 0):
+            n = int(np.searchsorted(-size, -j, side="left"))  # words of more than j bytes come first
+            state[:n] = (state[:n] >> 8) ^ _ONE[(state[:n] ^ raw[start[:n] + j]) & 255]
+        out[at] = ~state
         return out
 
-    def buckets(self, words: list[bytes], place: np.ndarray, modulus: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket and word place of every feature, by the word that ends it."""
-        ids = self.ids(words)
-        one = np.flatnonzero(place >= 0)
-        single = self.crc[ids]
-        # a word handed over from the slice before (-1) may begin a run; it ends none
-        before = np.where(place == -1, 0, place)
-        two = np.flatnonzero(before >= 1)
-        pair = np.zeros(len(ids), dtype=np.uint32)
-        a, b = ids[two - 1], ids[two]
-        head = (a < min(PAIR_WORDS, len(self.words))) & (b < min(PAIR_WORDS, len(self.words)))
-        key = np.where(head, a * PAIR_WORDS + b, 0)
+    def _continued(self, state: np.ndarray, w: Words, at: np.ndarray, crc: np.ndarray) -> np.ndarray:
+        """CRC of what ``state`` stands for, a space and the word ``at``."""
+        size = w.size[at]
+        short = np.minimum(size, SHIFT_BYTES)
+        out = self._moved(state, short + 1) ^ self.space[short] ^ crc[at]
+        for i in np.flatnonzero(size > SHIFT_BYTES).tolist():
+            out[i] = zlib.crc32(b" " + w.word(at[i]), int(state[i]))
+        return out
+
+    def buckets(self, w: Words, modulus: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bucket of every feature, and the word that ends it."""
+        no, place = self.numbers(w), w.place
+        single = self.states(w, no)
+        one, two, three = (np.flatnonzero(place >= n) for n in (0, 1, 2))
+        pair = np.zeros(len(no), dtype=np.uint32)
+        head = (no[two - 1] >= 0) & (no[two - 1] < PAIR_WORDS) & (no[two] >= 0) & (no[two] < PAIR_WORDS)
+        key = np.where(head, no[two - 1] * PAIR_WORDS + no[two], 0)
         head &= self.known[key]
         pair[two[head]] = self.pairs[key[head]]
-        rest = two[~head]
-        pair[rest] = self._continued(single[rest - 1], ids[rest], words, rest)
-        again = np.flatnonzero((place[1:] == -1) & (place[:-1] == -1)) + 1  # the second handed-over word ends the first pair
-        if len(again):
-            pair[again] = self._continued(single[again - 1], ids[again], words, again)
-        three = np.flatnonzero(before >= 2)
-        triple = self._continued(pair[three - 1], ids[three], words, three)
+        # the two words handed over from the slice before form a pair that was counted there and goes on here
+        again = np.flatnonzero((place[1:] == -1) & (place[:-1] == -1) & (w.of[1:] == w.of[:-1])) + 1
+        rest = np.concatenate([two[~head], again])
+        pair[rest] = self._continued(single[rest - 1], w, rest, single)
+        triple = self._continued(pair[three - 1], w, three, single)
         return np.concatenate([single[one], pair[two], triple]) % np.uint32(modulus), np.concatenate([one, two, three])
 
 
-def _minus_ones() -> Iterator[int]:
-    while True:
-        yield -1
-
-
 def _count_words(batches):
-    counts: Counter = Counter()
+    held, size = [], 0
+
+    def merged(parts):
+        k1, k2, n = (np.concatenate(x) for x in zip(*parts))
+        # words of equal mixed keys are next to each other; a clash of two words only parts their counts
+        turn = np.argsort((k1 * _MIX[0]) ^ (k2 * _MIX[1]))
+        k1, k2, n = k1[turn], k2[turn], n[turn]
+        new = np.flatnonzero(np.concatenate(([True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))))
+        return k1[new], k2[new], np.add.reduceat(n, new)
 
-    def out():
-        return pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+    def out(parts):
+        k1, k2, n = merged(parts)
+        return pd.DataFrame({"k1": k1.view(np.int64), "k2": k2.view(np.int64), "n": n})
 
     for batch in batches:
-        for words, _, place in slices(batch["text"]):
-            counts.update(w for w, p in zip(words, place.tolist()) if p >= 0) if (place < 0).any() else counts.update(words)
-            if len(counts) > VOCABULARY:
-                yield out()
-                counts.clear()
-    yield out()
+        for w in slices(batch["text"]):
+            own = (w.place >= 0) & (w.size <= HEAD_BYTES)
+            if not own.any():
+                continue
+            k1, k2 = w.keys()
+            held.append(merged([(k1[own], k2[own], np.ones(int(own.sum()), dtype=np.int64))]))
+            size += len(held[-1][0])
+            if size > VOCABULARY:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > VOCABULARY // 2:
+                    yield out(held)
+                    held, size = [], 0
+    if held:
+        yield out(held)
 
 
 def _count_pairs(head: list[bytes]):
     def count(batches):
-        known, totals = {w: i for i, w in enumerate(head[:PAIR_WORDS])}, np.zeros(PAIR_WORDS * PAIR_WORDS, dtype=np.int64)
+        table, totals = Head(head[:PAIR_WORDS], []), np.zeros(PAIR_WORDS * PAIR_WORDS, dtype=np.int64)
         for batch in batches:
-            for words, _, place in slices(batch["text"]):
-                ids = np.fromiter(map(known.get, words, _minus_ones()), dtype=np.int64, count=len(words))
-                both = (ids[1:] >= 0) & (ids[:-1] >= 0) & (place[1:] >= 1)
-                totals += np.bincount(ids[:-1][both] * PAIR_WORDS + ids[1:][both], minlength=len(totals))
+            for w in slices(batch["text"]):
+                no = table.numbers(w)
+                both = (no[1:] >= 0) & (no[:-1] >= 0) & (w.place[1:] >= 1)
+                totals += np.bincount(no[:-1][both] * PAIR_WORDS + no[1:][both], minlength=len(totals))
         some = np.flatnonzero(totals)
         yield pd.DataFrame({"pair": some, "n": totals[some]})
 
@@ -210,8 +268,9 @@ def _count_pairs(head: list[bytes]):
 def vocabulary(docs: DataFrame, text_col: str) -> tuple[list[bytes], list[int]]:
     """The head: frequent words by count over all documents, and pairs ``first * PAIR_WORDS + second`` of the first of them."""
     texts = docs.select(F.col(text_col).alias("text"))
-    words = texts.mapInPandas(_count_words, "word binary, n long").where(F.octet_length("word") <= WORD_BYTES).groupBy("word").agg(F.sum("n").alias("n"))
-    head = [bytes(r.word) for r in words.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).collect()]
+    words = texts.mapInPandas(_count_words, "k1 long, k2 long, n long").groupBy("k1", "k2").agg(F.sum("n").alias("n"))
+    rows = words.orderBy(F.col("n").desc(), "k1", "k2").limit(HEAD_WORDS).collect()
+    head = [b"".join((k % (1 << 64)).to_bytes(8, "little") for k in (r.k1, r.k2)).rstrip(b"\0") for r in rows]
     pairs = texts.mapInPandas(_count_pairs(head), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return head, [r.pair for r in pairs.orderBy(F.col("n").desc(), "pair").limit(HEAD_PAIRS).collect()]
 
@@ -221,8 +280,8 @@ def bucket_totals(docs: DataFrame, text_col: str, head: list[bytes], pairs: list
     def count(batches):
         table, totals = Head(head, pairs), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for words, _, place in slices(batch["text"]):
-                totals += np.bincount(table.buckets(words, place, buckets)[0], minlength=buckets)
+            for w in slices(batch["text"]):
+                totals += np.bincount(table.buckets(w, buckets)[0], minlength=buckets)
         some = np.flatnonzero(totals)
         yield pd.DataFrame({"bucket": some, "n": totals[some]})
 
@@ -247,11 +306,11 @@ def _weigh(head: list[bytes], pairs: list[int], gain: np.ndarray):
         table = Head(head, pairs)
         for texts in batches:
             total = np.zeros((3, len(texts)), dtype=np.int64)
-            for words, of, place in slices(texts):
-                bucket, at = table.buckets(words, place, len(gain))
-                total[0] += np.bincount(of[place >= 0], minlength=len(texts))
-                total[1] += np.bincount(of[at], minlength=len(texts))
-                total[2] += np.bincount(of[at], weights=gain[bucket], minlength=len(texts)).astype(np.int64)
+            for w in slices(texts):
+                bucket, at = table.buckets(w, len(gain))
+                total[0] += np.bincount(w.of[w.place >= 0], minlength=len(texts))
+                total[1] += np.bincount(w.of[at], minlength=len(texts))
+                total[2] += np.bincount(w.of[at], weights=gain[bucket], minlength=len(texts)).astype(np.int64)
             yield pd.DataFrame({"n_words": total[0], "n_features": total[1], "weight": total[2]})
 
     return F.pandas_udf(weigh, "n_words long, n_features long, weight long")
