@@ -60,6 +60,109 @@ def test_bottom_up_keeps_leaves(spark, tree_edges):
     assert rec[("total", 2)] == pytest.approx(b[("store_1", 2)] + b[("store_2", 2)] + b[("store_3", 2)])
 
 
+def _dense_mint(edges, base, residuals, cov, horizon):
+    """``S (Sᵀ W⁺ S)⁺ Sᵀ W⁺ ŷ`` with numpy, for small trees."""
+    parents = {}
+    for p, c in edges:
+        parents.setdefault(c, set()).add(p)
+    nodes = sorted({n for e in edges for n in e})
+    bottom = [n for n in nodes if n not in {p for p, _ in edges}]
+
+    def above(n):
+        return {n}.union(*(above(p) for p in parents.get(n, ())))
+
+    s = np.array([[float(n in above(b)) for b in bottom] for n in nodes])
+    y = np.array([[base.get((n, h), 0.0) for h in range(1, horizon + 1)] for n in nodes])
+    t = max((k for _, k in residuals), default=1)
+    r = np.array([[residuals.get((n, k), 0.0) for k in range(1, t + 1)] for n in nodes])
+    if cov == "ols":
+        w = np.eye(len(nodes))
+    elif cov == "diag":
+        w = np.diag(np.var(r, axis=1, ddof=1) + 1e-8)
+    elif cov == "shrink":
+        c = np.cov(r)
+        w = np.diag(np.var(r, axis=1) + 1e-8) if t < 3 else 0.5 * c + 0.5 * np.diag(np.diag(c))
+    else:
+        w = np.cov(r) + 1e-8 * np.eye(len(nodes))
+    wi = np.linalg.pinv(w)
+    out = s @ np.linalg.pinv(s.T @ wi @ s) @ s.T @ wi @ y
+    return {(n, h + 1): out[i, h] for i, n in enumerate(nodes) for h in range(horizon)}
+
+
+def _random_tree(rng, n):
+    names = [f"n{i:02d}" for i in range(n)]
+    return [(names[rng.integers(max(0, i - 6), i)], names[i]) for i in range(1, n)]
+
+
+@pytest.mark.parametrize("cov", ["ols", "diag", "shrink", "sample", "short", "still", "two parents"])
+def test_mint_equals_the_dense_formula(spark, cov):
+    rng = np.random.default_rng(17)
+    edges = _random_tree(rng, 24)
+    if cov == "two parents":
+        edges += [("n00", "x"), ("n01", "x"), ("x", "y"), ("x", "z")]
+    nodes = sorted({n for e in edges for n in e})
+    base = {(n, h): float(rng.uniform(50, 150)) for n in nodes for h in range(1, 15) if n != "n05"}
+    common = rng.normal(size=40)
+    t = 2 if cov == "short" else 40
+    residuals = {(n, k): float(common[k - 1] * 3 + rng.normal() * (1 + i % 5)) for i, n in enumerate(nodes) for k in range(1, t + 1)}
+    if cov == "still":  # inner nodes, leaves and the root without any variance
+        parents = {p for p, _ in edges}
+        inner = [n for n in nodes if n in parents][1:6:2]
+        bottom = [n for n in nodes if n not in parents][::4]
+        residuals = {k: v for k, v in residuals.items() if k[0] not in {*inner, *bottom, "n00"}}
+    method = {"short": "shrink", "still": "shrink", "two parents": "shrink"}.get(cov, cov)
+    want = _dense_mint(edges, base, residuals, method, 14)
+    rec = rc.mint(spark.createDataFrame(edges, "parent string, child string"),
+                  spark.createDataFrame([(n, h, v) for (n, h), v in base.items()], "node string, step int, forecast double"),
+                  spark.createDataFrame([(n, k, v) for (n, k), v in residuals.items()], "node string, t int, residual double"), cov=method)
+    got = {(r.node, r.step): r.forecast for r in rec.collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=1e-6, abs=1e-6), k
+
+
+def test_mint_sample_of_coherent_residuals_is_the_plain_projection(spark):
+    edges = [("r", "a"), ("r", "b"), ("a", "c"), ("a", "d"), ("b", "e"), ("b", "f")]
+    rng = np.random.default_rng(4)
+    leaf = {n: np.round(rng.normal(size=30) * 1e6, 2) for n in "cdef"}
+    every = leaf | {"a": leaf["c"] + leaf["d"], "b": leaf["e"] + leaf["f"]}
+    every["r"] = every["a"] + every["b"]
+    base = {(n, 1): float(rng.uniform(1e6, 2e6)) for n in every}
+    frame = spark.createDataFrame([(n, h, v) for (n, h), v in base.items()], "node string, step int, forecast double")
+    res = spark.createDataFrame([(n, k + 1, float(x)) for n, v in every.items() for k, x in enumerate(v)], "node string, t int, residual double")
+    got = {(r.node, r.step): r.forecast for r in rc.mint(spark.createDataFrame(edges, "parent string, child string"), frame, res, cov="sample").collect()}
+    want = _dense_mint(edges, base, {}, "ols", 1)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=1e-9)
+
+
+def test_mint_of_a_large_tree(spark):
+    """20,000 nodes, five levels: more than any matrix of nodes by nodes could hold on a driver."""
+    n = 20_000
+    e = spark.range(1, n).selectExpr("concat('n', cast((id - 1) div 8 as string)) as parent", "concat('n', cast(id as string)) as child")
+    nodes = spark.range(n).selectExpr("concat('n', cast(id as string)) as node", "id")
+    base = nodes.selectExpr("node", "1 as step", "100.0D + pmod(xxhash64(id), 1000) / 10 as forecast")
+    res = nodes.selectExpr("node", "explode(sequence(1, 12)) as t", "id").selectExpr("node", "t", "pmod(xxhash64(id, t), 2001) / 100 - 10.0D as residual")
+    rec = rc.materialise(rc.mint(e, base, res, cov="shrink"))
+    assert rec.count() == n
+    # the solution's condition: W⁻¹(ŷ - ỹ) sums to nothing over the path of every leaf; and the sums hold
+    _check_coherent(e, rec, 1e-5)
+    before, after = (dict(zip(*[list(x) for x in zip(*d.select("node", "forecast").collect())])) for d in (base, rec))
+    r = np.zeros((n, 12))
+    for row in res.collect():
+        r[int(row.node[1:]), row.t - 1] = row.residual
+    r -= r.mean(axis=1, keepdims=True)
+    gap = np.array([before[f"n{i}"] - after[f"n{i}"] for i in range(n)])
+    d, a = 0.5 * (r ** 2).sum(axis=1) / 11, 0.5 / 11
+    inner = np.linalg.solve(np.eye(12) / a + r.T @ (r / d[:, None]), r.T @ (gap / d))
+    pull = gap / d - (r / d[:, None]) @ inner  # W⁻¹ gap
+    total = pull.copy()
+    for i in range(1, n):
+        total[i] += total[(i - 1) // 8]
+    bottom = np.arange((n - 2) // 8 + 1, n)
+    assert np.abs(total[bottom]).max() < 1e-6 * np.abs(pull).max()
+
+
 def test_mint_ols_two_level_closed_form_matches_general(spark):
     edges = spark.createDataFrame([("r", "a"), ("r", "b"), ("r", "c")], "parent string, child string")
     base = spark.createDataFrame([("r", 1, 10.0), ("a", 1, 2.0), ("b", 1, 3.0), ("c", 1, 4.0)],

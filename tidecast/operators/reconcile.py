@@ -6,28 +6,35 @@ Inputs are long frames: hierarchy edges ``(parent, child)``, base forecasts
 * Structure (closure, leaves, roots, order, summing matrix S as ``(node, leaf)``)
   comes from joining the known pairs with themselves until nothing changes.
 * Bottom-up / top-down are joins with S plus ``groupBy(node, step)``.
-* MinT has two forms.  For a forest of two-level trees (a root over leaves)
-  with a diagonal W the solution has a closed form that is evaluated as plain
-  aggregations, with no driver step:
+* MinT for a forest of two-level trees (a root over leaves) with a diagonal W has a closed form that is
+  evaluated as plain aggregations:
   ``b̃_j = b̂_j + w_j / (w_root + Σ_i w_i) · (ŷ_root − Σ_i b̂_i)``.
-  For a general hierarchy ``G = (SᵀW⁻¹S)⁺SᵀW⁻¹`` is computed with numpy on the
-  driver from the hierarchy-sized S and W (size checked, ``max_nodes``), shipped
-  back as a long ``(leaf, node, g)`` frame and applied by a join + aggregation.
+* MinT for any hierarchy moves the base forecasts onto the constraints ``C y = 0`` ("a parent is the sum of its
+  children"): ``ỹ = ŷ − W Cᵀ (C W Cᵀ)⁻¹ C ŷ``.  The multipliers come from preconditioned conjugate gradients.  W is a diagonal
+  plus the residual matrix times its transpose and is never formed: a product with C, with W or with the residuals is a
+  join and a ``groupBy``; only a few sums for each forecast step reach the driver.
 """
 
 from __future__ import annotations
 
-import numpy as np
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, discard, written
 
 METHODS = ("bottom_up", "top_down", "mint")
 COV_METHODS = ("ols", "shrink", "sample", "diag")
 SHRINK_ALPHA = 0.5  # fixed shrinkage toward the diagonal
 DIAG_EPS = 1e-8
-MAX_NODES = 2000
+#: Variances below this share of the largest count as none, as in a pseudo-inverse.
+VARIANCE_CUT = 1e-15
+#: Conjugate gradients: share of the first residual at which a step is solved, the share that must be reached where
+#: rounding stops the descent, and the rounds without half the residual that show it (below and above that share).
+SOLVED, ACCEPTED, PATIENCE, MAX_ROUNDS = 1e-13, 1e-8, (5, 200), 2000
+#: Forecast steps that are solved together, each in a column of its own.
+STEP_BLOCK = 12
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -269,73 +276,179 @@ def mint_two_level(edges: DataFrame, base: DataFrame, residuals: DataFrame | Non
     return rec_leaf.select("node", "step", "forecast").unionByName(rec_root)
 
 
-def _collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what} exceeds {max_rows} rows; use bottom_up, top_down or the "
-                         f"two-level closed-form MinT for hierarchies of this size")
-    return rows
+def _constraints(edges: DataFrame) -> tuple[DataFrame, bool]:
+    """Entries ``(p, node, c)`` of C, and whether the hierarchy is a forest.
+
+    In a forest the row of a parent has 1 for itself and -1 for its children; where a node has
+    two parents, -1 for every leaf below, each counted once.
+    """
+    e = edges.select("parent", "child").distinct()
+    tree = e.groupBy("child").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty()
+    below = e if tree else closure(edges).toDF("parent", "child")
+    own = e.select(F.col("parent").alias("p"), F.col("parent").alias("node"), F.lit(1.0).alias("c")).distinct()
+    return own.unionByName(below.select(F.col("parent").alias("p"), F.col("child").alias("node"), F.lit(-1.0).alias("c"))), tree
 
 
-def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
-         cov: str = "shrink", max_nodes: int = MAX_NODES) -> DataFrame:
-    """General MinT: ``ỹ = S (SᵀW⁻¹S)⁺ SᵀW⁻¹ ŷ``.
+def _contracted(edges: DataFrame, free: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Constraints of a forest without the ``free`` nodes, and ``(leaf, p)``: the constraint that a free leaf is left to.
 
-    Only hierarchy-sized matrices (S, W, G) touch the driver, after a size check.
-    ``cov``: 'ols' (W = I, also used when residuals are absent), 'shrink' (off-
-    diagonal × 0.5; fewer than 3 residuals → diag(var_pop) + 1e-8), 'sample'
-    (+1e-8 I), 'diag' (diag(var_samp) + 1e-8).
+    A free parent is passed over: its children go to the next ancestor that is not free.  A constraint with a free
+    leaf binds nothing, since the leaf takes what is left.
+    """
+    e = edges.select("parent", "child").distinct()
+    over = e.join(free.select(F.col("node").alias("child")), "child").select(F.col("child").alias("parent"), F.col("parent").alias("_next")).unionByName(
+        roots(edges).join(free, "node").select(F.col("node").alias("parent"), F.lit(None).cast("string").alias("_next")))
+    over = materialise(over)
+    up = e
+    while not up.join(over, "parent", "left_semi").isEmpty():
+        up = materialise(up.join(over.withColumn("_free", F.lit(True)), "parent", "left").select(
+            F.when(F.col("_free"), F.col("_next")).otherwise(F.col("parent")).alias("parent"), "child"))
+    marked = up.join(free.select(F.col("node").alias("child"), F.lit(True).alias("free")), "child", "left").join(
+        leaves(edges).select(F.col("node").alias("child"), F.lit(True).alias("leaf")), "child", "left")
+    left = materialise(marked.where("free and leaf").select(F.col("child").alias("leaf"), F.col("parent").alias("p")))
+    below = marked.where("parent is not null and free is null").select(F.col("parent").alias("p"), F.col("child").alias("node"), F.lit(-1.0).alias("c"))
+    own = below.select("p").unionByName(left.where("p is not null").select("p")).distinct().select("p", F.col("p").alias("node"), F.lit(1.0).alias("c"))
+    return own.unionByName(below), left
+
+
+def _products(entries: DataFrame, weights: DataFrame, factors: DataFrame | None, alpha: float, v: DataFrame, k: int) -> DataFrame:
+    """``C W Cᵀ v`` for the ``k`` columns of ``v (p, v0, v1, ...)``: ``(p, q0, q1, ...)``."""
+    up = entries.join(v, "p").groupBy("node").agg(*[F.sum(F.col("c") * F.col(f"v{i}")).alias(f"z{i}") for i in range(k)])
+    own = entries.join(up.join(weights, "node"), "node").groupBy("p").agg(
+        *[F.sum(F.col("c") * F.col("w") * F.col(f"z{i}")).alias(f"q{i}") for i in range(k)])
+    if factors is None:
+        return own
+    by_time = factors.join(v, "p").groupBy("t").agg(*[F.sum(F.col("u") * F.col(f"v{i}")).alias(f"s{i}") for i in range(k)])
+    common = factors.join(by_time, "t").groupBy("p").agg(*[F.sum(F.col("u") * F.col(f"s{i}")).alias(f"_q{i}") for i in range(k)])
+    return own.join(common, "p", "left").select(
+        "p", *[(F.col(f"q{i}") + alpha * F.coalesce(F.col(f"_q{i}"), F.lit(0.0))).alias(f"q{i}") for i in range(k)])
+
+
+def _multipliers(entries: DataFrame, weights: DataFrame, factors: DataFrame | None, alpha: float, gaps: DataFrame, k: int) -> DataFrame:
+    """``(p, v0, v1, ...)``: solutions of ``C W Cᵀ v = gap`` by conjugate gradients, scaled by the matrix's diagonal.
+
+    Every forecast step is a right-hand side of its own.  One round is one written table with the state and the
+    product, and four sums for each step.  Raises where the descent ends above ``ACCEPTED``.
+    """
+    size = entries.join(weights, "node").groupBy("p").agg(F.sum(F.col("c") * F.col("c") * F.col("w")).alias("m"))
+    if factors is not None:
+        common = factors.groupBy("p").agg((alpha * F.sum(F.col("u") * F.col("u"))).alias("_m"))
+        size = size.join(common, "p", "left").select("p", (F.col("m") + F.coalesce("_m", F.lit(0.0))).alias("m"))
+    each = range(k)
+    state = gaps.join(size, "p").select("p", "m", *[F.lit(0.0).alias(f"x{i}") for i in each], *[F.col(f"g{i}").alias(f"r{i}") for i in each],
+                                        *[(F.col(f"g{i}") / F.col("m")).alias(f"d{i}") for i in each])
+    first, best, since, last = None, math.inf, 0, None
+    state = written(state, "mint")
+    for _ in range(MAX_ROUNDS):
+        v = state.select("p", *[F.col(f"d{i}").alias(f"v{i}") for i in each])
+        now = written(state.join(_products(entries, weights, factors, alpha, v, k), "p"), "mint")
+        discard(last if last is not None else state)
+        last = now
+        sums = now.agg(*[F.sum(x).alias(f"{n}{i}") for i in each for n, x in (
+            ("dq", F.col(f"d{i}") * F.col(f"q{i}")), ("rr", F.col(f"r{i}") * F.col(f"r{i}") / F.col("m")),
+            ("rq", F.col(f"r{i}") * F.col(f"q{i}") / F.col("m")), ("qq", F.col(f"q{i}") * F.col(f"q{i}") / F.col("m")))]).first()
+        rr = [sums[f"rr{i}"] or 0.0 for i in each]
+        first = first or rr
+        share = max((math.sqrt(a / b) for a, b in zip(rr, first) if b > 0), default=0.0)
+        best, since = (share, 0) if share < 0.5 * best else (best, since + 1)
+        if share <= SOLVED or since >= PATIENCE[best > ACCEPTED]:
+            break
+        a, b = [0.0] * k, [0.0] * k
+        for i in each:
+            if rr[i] > 0 and (sums[f"dq{i}"] or 0.0) > 0:
+                a[i] = rr[i] / sums[f"dq{i}"]
+                b[i] = max(rr[i] - 2 * a[i] * sums[f"rq{i}"] + a[i] ** 2 * sums[f"qq{i}"], 0.0) / rr[i]
+        rest = [F.col(f"r{i}") - F.lit(a[i]) * F.col(f"q{i}") for i in each]
+        state = now.select("p", "m", *[(F.col(f"x{i}") + F.lit(a[i]) * F.col(f"d{i}")).alias(f"x{i}") for i in each],
+                           *[rest[i].alias(f"r{i}") for i in each], *[(rest[i] / F.col("m") + F.lit(b[i]) * F.col(f"d{i}")).alias(f"d{i}") for i in each])
+    if share > ACCEPTED:
+        raise ArithmeticError(f"conjugate gradients ended at {share:.1e} of the first residual")
+    return last.select("p", *[F.col(f"x{i}").alias(f"v{i}") for i in each])
+
+
+def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None, cov: str = "shrink") -> DataFrame:
+    """MinT for any hierarchy: the coherent forecasts nearest to ``base`` in the metric of W (see the module).
+
+    ``cov``: 'ols' (W = I, also used when residuals are absent), 'shrink' (covariance of the residuals, off-diagonal × 0.5;
+    fewer than 3 residuals → diag(var_pop) + 1e-8), 'sample' (covariance + 1e-8 I), 'diag' (diag(var_samp) + 1e-8).
+    Missing forecasts and residuals count as 0.  With 'shrink' a node whose residuals never vary has no say: its
+    forecast is what the others leave it; several such leaves below one parent share the rest equally, and one
+    below no other node gets 0 (where a node has two parents, such nodes get a million times the largest variance).
+    Differences between a parent's residual and its children's that are within rounding are none.
     """
     if cov not in COV_METHODS:
         raise ValueError(f"unknown covariance method {cov!r}")
-    spark = edges.sparkSession
     s = materialise(summing_matrix(edges))
-    order = materialise(node_order(edges))
     base = materialise(base)
-    residuals = materialise(residuals) if residuals is not None else None
-    names = [r.node for r in sorted(_collect_bounded(order, max_nodes, "hierarchy"),
-                                    key=lambda r: r.node_order)]
-    leaf_names = [r.node for r in sorted(_collect_bounded(order.where("is_leaf"), max_nodes,
-                                                          "hierarchy"), key=lambda r: r.node_order)]
-    idx = {n: i for i, n in enumerate(names)}
-    lidx = {n: i for i, n in enumerate(leaf_names)}
-    S = np.zeros((len(names), len(leaf_names)))
-    for r in _collect_bounded(s, max_nodes * max_nodes, "summing matrix"):
-        if r.node in idx and r.leaf in lidx:
-            S[idx[r.node], lidx[r.leaf]] = 1.0
-    n = len(names)
+    nodes = s.select("node").distinct()
+    h = base.groupBy("node").agg(F.max("step").alias("_n")).agg(F.min("_n")).first()[0] or 1
+    entries, tree = _constraints(edges)
+    left, factors, alpha, centred = None, None, 0.0, None
     if residuals is None or cov == "ols":
-        W = np.eye(n)
+        weights = materialise(nodes.withColumn("w", F.lit(1.0)))
     else:
-        nodes = order.select("node")
-        dense = dense_residuals(nodes, residuals)
-        t_len = residuals.agg(F.max("t")).first()[0] or 1
-        if cov == "diag":
-            var = {r.node: r.var for r in _collect_bounded(node_variance(dense), max_nodes, "W")}
-            W = np.diag([(var.get(x) or 0.0) + DIAG_EPS for x in names])
-        elif cov == "shrink" and t_len < 3:
-            var = {r.node: r.var for r in _collect_bounded(node_variance(dense, population=True),
-                                                           max_nodes, "W")}
-            W = np.diag([(var.get(x) or 0.0) + DIAG_EPS for x in names])
+        dense = materialise(dense_residuals(nodes, materialise(residuals)))
+        times = dense.agg(F.max("t")).first()[0] or 0
+        short = cov == "shrink" and times < 3
+        var = materialise(nodes.join(node_variance(dense, population=short), "node", "left").select("node", F.coalesce("var", F.lit(0.0)).alias("var")))
+        weights = var.select("node", (F.col("var") + DIAG_EPS).alias("w"))
+        if not short and cov != "diag":
+            alpha = (SHRINK_ALPHA if cov == "shrink" else 1.0) / max(times - 1, 1)
+            means = dense.groupBy("node").agg(F.avg("residual").alias("_mean"))
+            centred = materialise(dense.join(means, "node").select("node", "t", (F.col("residual") - F.col("_mean")).alias("x"), F.abs("residual").alias("_abs")))
+            weights = var.select("node", F.lit(DIAG_EPS).alias("w"))
+        if not short and cov == "shrink":
+            top = var.agg(F.max("var")).first()[0] or 0.0
+            free = materialise(var.where(F.col("var") <= VARIANCE_CUT * top).select("node"))
+            weights = var.select("node", ((1 - SHRINK_ALPHA) * F.col("var")).alias("w"))
+            if not free.isEmpty():
+                if tree:
+                    entries, left = _contracted(edges, free)
+                    # constraints with a free leaf are no part of the system
+                    entries = materialise(entries)
+                    bound = entries.join(left.where("p is not null").select("p").distinct(), "p", "left_anti")
+                else:
+                    weights = var.select("node", F.when(F.col("var") > VARIANCE_CUT * top, (1 - SHRINK_ALPHA) * F.col("var")).otherwise(1e6 * (top or 1.0)).alias("w"))
+        weights = materialise(weights)
+    entries = materialise(entries)
+    bound = entries if left is None else materialise(bound)
+    if centred is not None:
+        # sums that cancel but for rounding are zero
+        u = bound.join(centred, "node").groupBy("p", "t").agg(F.sum(F.col("c") * F.col("x")).alias("u"), F.sum("_abs").alias("_abs"))
+        factors = materialise(u.where(F.abs("u") > 1e-12 * F.col("_abs")).select("p", "t", "u"))
+    forecasts = materialise(_grid(nodes, F.lit(h)).join(base, ["node", "step"], "left").select(
+        "node", "step", F.coalesce("forecast", F.lit(0.0)).alias("forecast")))
+    moved = None
+    for lo in range(1, h + 1, STEP_BLOCK):
+        steps = range(lo, min(lo + STEP_BLOCK, h + 1))
+        k = len(steps)
+        wide = materialise(forecasts.groupBy("node").agg(*[F.max(F.when(F.col("step") == x, F.col("forecast"))).alias(f"f{i}") for i, x in enumerate(steps)]))
+        gaps = bound.join(wide, "node").groupBy("p").agg(*[F.sum(F.col("c") * F.col(f"f{i}")).alias(f"g{i}") for i in range(k)])
+        if bound.isEmpty():
+            parts = wide.select("node", *[F.col(f"f{i}").alias(f"y{i}") for i in range(k)])
         else:
-            C = np.zeros((n, n))
-            for r in _collect_bounded(residual_covariance(dense), max_nodes * max_nodes, "W"):
-                C[idx[r.node_i], idx[r.node_j]] = r.cov or 0.0
-            if cov == "shrink":
-                W = (1 - SHRINK_ALPHA) * C + SHRINK_ALPHA * np.diag(np.diag(C))
-            else:
-                W = C + DIAG_EPS * np.eye(n)
-    Winv = np.linalg.pinv(W)
-    StW = S.T @ Winv
-    G = np.linalg.pinv(StW @ S) @ StW  # (n_leaves, n_nodes)
-    g_rows = [(leaf_names[i], names[j], float(G[i, j]))
-              for i in range(G.shape[0]) for j in range(G.shape[1]) if G[i, j] != 0.0]
-    g = spark.createDataFrame(g_rows, "leaf string, node string, g double")
-    h = common_horizon(base)
-    bt = (base.where(F.col("step") <= h).join(F.broadcast(g), "node")
-              .groupBy("leaf", "step").agg(F.sum(F.col("g") * F.col("forecast")).alias("forecast"))
-              .withColumnRenamed("leaf", "node"))
-    return _aggregate_up(s, bt, h)
+            v = _multipliers(bound, weights, factors, alpha, gaps, k)
+            up = bound.join(v, "p").groupBy("node").agg(*[F.sum(F.col("c") * F.col(f"v{i}")).alias(f"z{i}") for i in range(k)])
+            parts = wide.join(weights, "node").join(up, "node", "left")
+            pull = [F.col("w") * F.coalesce(F.col(f"z{i}"), F.lit(0.0)) for i in range(k)]
+            if factors is not None:
+                by_time = factors.join(v, "p").groupBy("t").agg(*[F.sum(F.col("u") * F.col(f"v{i}")).alias(f"s{i}") for i in range(k)])
+                common = centred.join(by_time, "t").groupBy("node").agg(*[F.sum(F.col("x") * F.col(f"s{i}")).alias(f"c{i}") for i in range(k)])
+                parts = parts.join(common, "node", "left")
+                pull = [p + alpha * F.coalesce(F.col(f"c{i}"), F.lit(0.0)) for i, p in enumerate(pull)]
+            parts = parts.select("node", *[(F.col(f"f{i}") - pull[i]).alias(f"y{i}") for i in range(k)])
+        long = parts.select("node", F.explode(F.arrays_zip(F.array(*[F.lit(x) for x in steps]).alias("step"), F.array(*[F.col(f"y{i}") for i in range(k)]).alias(
+            "forecast"))).alias("_s")).select("node", F.col("_s.step").alias("step"), F.col("_s.forecast").alias("forecast"))
+        moved = long if moved is None else moved.unionByName(long)
+    moved = materialise(moved)
+    bottom = moved.join(leaves(edges), "node")
+    if left is not None:
+        rest = entries.join(moved, "node").groupBy("p", "step").agg(F.sum(F.col("c") * F.col("forecast")).alias("_rest"))
+        shares = left.groupBy("p").agg(F.count(F.lit(1)).alias("_n"))
+        given = left.join(shares, "p").join(rest, "p").select(F.col("leaf").alias("node"), "step", (F.col("_rest") / F.col("_n")).alias("forecast"))
+        # a free leaf below no other node is missing here and counts 0 in the sums
+        bottom = bottom.join(left.select(F.col("leaf").alias("node")), "node", "left_anti").unionByName(given)
+    return _aggregate_up(s, bottom, F.lit(h))
 
 
 # ---------------------------------------------------------------- post-processing
@@ -377,7 +490,7 @@ def reconcile(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = N
     elif method == "mint":
         rec = mint(edges, base, residuals, cov if residuals is not None else "ols")
     else:
-        raise ValueError(f"Unknown reconciliation method: {method}")
+        raise ValueError(f"method must be one of {METHODS}, not {method!r}")
     if not non_negative:
         return rec
     return clamp_leaves(edges, rec) if clamp == "leaves" else clamp_non_negative(rec)

@@ -91,3 +91,20 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: cuts the lineage, and the planner knows the size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
