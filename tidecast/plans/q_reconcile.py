@@ -195,18 +195,63 @@ def q_mint_diag_two_level(spark, d):
                                       exact_scale=2))
 
 
-@register("mint_shrink", note="general MinT, shrink covariance (driver G, hierarchy-sized)")
+def _mint_sql(cov: str) -> str:
+    """The normal equations of the constraints, solved directly by elimination over nested lists."""
+    weight, alpha = {"shrink": ("0.5 * v.var", "0.5"), "sample": ("CAST('1e-08' AS DOUBLE)", "1.0")}[cov]
+    return _with(*BASE, ov.BASE_RESIDUALS) + f""",
+bf AS (SELECT * FROM base_forecasts),
+{HZ},
+nodes AS (SELECT DISTINCT node FROM S),
+y AS (SELECT n.node, CAST(g.range AS INTEGER) AS step, coalesce(f.forecast, 0.0) AS f
+      FROM nodes n CROSS JOIN range(1, (SELECT h FROM hz) + 1) g LEFT JOIN bf f ON f.node = n.node AND f.step = g.range),
+C AS (SELECT DISTINCT parent AS p, parent AS node, 1 AS c FROM geo_edges UNION ALL SELECT parent, child, -1 FROM geo_edges),
+rr AS (SELECT n.node, g.range AS t, coalesce(b.residual, 0.0) AS r
+       FROM nodes n CROSS JOIN range(1, (SELECT max(t) FROM base_residuals) + 1) g
+       LEFT JOIN base_residuals b ON b.node = n.node AND b.t = g.range),
+v AS (SELECT node, avg(r) AS mean, var_samp(r) AS var FROM rr GROUP BY node),
+w AS (SELECT v.node, {weight} AS w FROM v),
+a AS (SELECT {alpha} / (max(t) - 1) AS a FROM rr),
+ue AS (SELECT p, t, CAST(sum(c * CAST(r AS DECIMAL(18,2))) AS DOUBLE) AS u FROM C JOIN rr ON rr.node = C.node GROUP BY p, t),
+u AS (SELECT p, t, u - avg(u) OVER (PARTITION BY p) AS u FROM ue),
+num AS (SELECT p, row_number() OVER (ORDER BY p) AS i FROM (SELECT DISTINCT p FROM C)),
+K AS (SELECT p, q, sum(k) AS k FROM (
+        SELECT a.p, b.p AS q, sum(a.c * b.c * w.w) AS k FROM C a JOIN C b ON a.node = b.node JOIN w ON w.node = a.node GROUP BY 1, 2
+        UNION ALL SELECT a.p, b.p, (SELECT a FROM a) * sum(a.u * b.u) FROM u a JOIN u b ON a.t = b.t GROUP BY 1, 2) GROUP BY p, q),
+g AS (SELECT C.p, y.step, sum(c * f) AS g FROM C JOIN y ON y.node = C.node GROUP BY 1, 2),
+cells AS (SELECT a.i, b.i AS j, coalesce(K.k, 0.0) AS x FROM num a CROSS JOIN num b LEFT JOIN K ON K.p = a.p AND K.q = b.p
+          UNION ALL SELECT num.i, (SELECT count(*) FROM num) + g.step, g.g FROM g JOIN num ON num.p = g.p),
+rows_ AS (SELECT i, list(x ORDER BY j) AS x FROM cells GROUP BY i),
+gauss(k, m) AS (
+  SELECT 0, list(x ORDER BY i) FROM rows_
+  UNION ALL
+  SELECT k + 1, [CASE WHEN i = k + 1 THEN pr ELSE [m[i][j] - m[i][k + 1] * pr[j] FOR j IN range(1, len(pr) + 1)] END FOR i IN range(1, len(m) + 1)]
+  FROM (SELECT k, m, [x / m[k + 1][k + 1] FOR x IN m[k + 1]] AS pr FROM gauss WHERE k < len(m))),
+l AS (SELECT num.p, h.range AS step, m[num.i][len(m) + h.range] AS l
+      FROM gauss CROSS JOIN num CROSS JOIN range(1, (SELECT h FROM hz) + 1) h WHERE k = len(m)),
+z AS (SELECT C.node, l.step, sum(c * l) AS z FROM C JOIN l ON l.p = C.p GROUP BY 1, 2),
+st AS (SELECT u.t, l.step, sum(u * l) AS s FROM u JOIN l ON l.p = u.p GROUP BY 1, 2),
+com AS (SELECT rr.node, st.step, (SELECT a FROM a) * sum((r - mean) * s) AS x
+        FROM rr JOIN v ON v.node = rr.node JOIN st ON st.t = rr.t GROUP BY 1, 2),
+lf AS (SELECT y.node, y.step, f - w * z - x AS forecast FROM y JOIN leaves USING (node) JOIN w USING (node) JOIN z USING (node, step) JOIN com USING (node, step)),
+rec AS (SELECT S.node, step, sum(forecast) AS forecast FROM S JOIN lf ON lf.node = S.leaf GROUP BY 1, 2)
+"""
+
+
+REC_OUT2 = f"SELECT node, step, {sql_round('forecast', 2)} AS forecast FROM rec"
+
+
+@register("mint_shrink", sql=_mint_sql("shrink") + REC_OUT2)
 def q_mint_shrink(spark, d):
     e = tables.geo_edges(spark, d)
     rec = rc.mint(e, tables.base_forecasts(spark, d), tables.base_residuals(spark, d), cov="shrink")
-    return _rec_out(rec)
+    return _rec_out(rec, 2)
 
 
-@register("mint_sample", note="general MinT, sample covariance (driver G, hierarchy-sized)")
+@register("mint_sample", sql=_mint_sql("sample") + REC_OUT2)
 def q_mint_sample(spark, d):
     e = tables.geo_edges(spark, d)
     rec = rc.mint(e, tables.base_forecasts(spark, d), tables.base_residuals(spark, d), cov="sample")
-    return _rec_out(rec)
+    return _rec_out(rec, 2)
 
 
 @register("clamp_non_negative", sql=_with(ov.GEO_EDGES, ov.LEVELS, ov.BASE_RESIDUALS, STRUCT_SQL)
@@ -237,9 +282,9 @@ def q_coherence_check(spark, d):
     return rc.coherence(e, rec).select("node", r4("max_abs_gap").alias("max_abs_gap"))
 
 
-@register("reconcile_dispatch", note="reconcile() defaults: MinT with shrink covariance, clamped")
+@register("reconcile_dispatch", sql=_mint_sql("shrink") + f"SELECT node, step, {sql_round('greatest(forecast, 0.0)', 2)} AS forecast FROM rec")
 def q_reconcile_dispatch(spark, d):
     e = tables.geo_edges(spark, d)
     rec = rc.reconcile(e, tables.base_forecasts(spark, d), tables.base_residuals(spark, d),
                        method="mint", non_negative=True)
-    return _rec_out(rec)
+    return _rec_out(rec, 2)
