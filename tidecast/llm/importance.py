@@ -269,7 +269,11 @@ def vocabulary(docs: DataFrame, text_col: str) -> tuple[list[bytes], list[int]]:
     """The head: frequent words by count over all documents, and pairs ``first * PAIR_WORDS + second`` of the first of them."""
     texts = docs.select(F.col(text_col).alias("text"))
     words = texts.mapInPandas(_count_words, "k1 long, k2 long, n long").groupBy("k1", "k2").agg(F.sum("n").alias("n"))
-    rows = words.orderBy(F.col("n").desc(), "k1", "k2").limit(HEAD_WORDS).collect()
+    # the best of each share first, so that what reaches the driver does not grow with the partitions
+    order = [F.col("n").desc(), F.col("k1"), F.col("k2")]
+    best = words.withColumn("_no", F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("k1", "k2"), F.lit(16))).orderBy(*order))).where(
+        F.col("_no") <= HEAD_WORDS)
+    rows = best.orderBy(*order).limit(HEAD_WORDS).collect()
     head = [b"".join((k % (1 << 64)).to_bytes(8, "little") for k in (r.k1, r.k2)).rstrip(b"\0") for r in rows]
     pairs = texts.mapInPandas(_count_pairs(head), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return head, [r.pair for r in pairs.orderBy(F.col("n").desc(), "pair").limit(HEAD_PAIRS).collect()]
