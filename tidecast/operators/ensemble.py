@@ -58,7 +58,7 @@ def combine(fc: DataFrame, method: str = "weighted_average", weights: DataFrame
     """Combine model forecasts per ``(keys, step)``.
 
     NULL and NaN forecasts count as absent.
-    ``weighted_average``: missing weight = ``1/k`` (k = models in the frame),
+    ``weighted_average``: missing weight = ``1/k`` (k = models that have forecasts in the group of ``keys``),
     renormalised over the models present at each step; weights may be global
     ``(model, weight)`` or per group ``(keys…, model, weight)``.
     ``simple_average``: mean.  ``median``: exact, even count → mean of the middle two.
@@ -74,11 +74,11 @@ def combine(fc: DataFrame, method: str = "weighted_average", weights: DataFrame
         return d.groupBy(*group).agg(F.avg(f).alias(forecast))
     if method == "median":
         return d.groupBy(*group).agg(F.median(f).alias(forecast))
-    n_models = fc.agg(F.count_distinct(model)).scalar()  # scalar subquery, no driver action
     if weights is None:
-        d = d.withColumn("_w", F.lit(1.0) / n_models)
+        d = d.withColumn("_w", F.lit(1.0))  # equal weights; the average below divides by their sum
     else:
         wkeys = [c for c in keys if c in weights.columns] + [model]
-        d = (d.join(weights.select(*wkeys, F.col("weight").alias("_w0")), wkeys, "left")
-              .withColumn("_w", F.coalesce(F.col("_w0"), 1.0 / n_models)))
+        members = fc.groupBy(*keys).agg(F.count_distinct(model).alias("_k"))
+        d = (d.join(weights.select(*wkeys, F.col("weight").alias("_w0")), wkeys, "left").join(members, keys)
+              .withColumn("_w", F.coalesce(F.col("_w0"), 1.0 / F.col("_k"))))
     return d.groupBy(*group).agg((F.sum(F.col("_w") * f) / F.sum("_w")).alias(forecast))

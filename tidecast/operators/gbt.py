@@ -2,7 +2,11 @@
 
 Spark ML ``GBTRegressor`` trains distributed over all rows; the reference's
 defaults map to ``maxIter = n_estimators``, ``stepSize = learning_rate``,
-``maxDepth = 5`` when unlimited (-1).  ``num_leaves`` has no counterpart.
+``maxDepth = unlimited_depth`` when unlimited (-1), ``subsamplingRate = row_fraction`` and
+``featureSubsetStrategy = feature_fraction``.  ``num_leaves`` has no counterpart.
+
+A round of boosting is a handful of jobs, so the rows are packed into as few partitions as
+``ROWS_PER_PARTITION`` allows: small frames would spend their time on starting tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_COLS, SeriesCols
+from ..session import discard, written
 from . import features as feat
 from . import grid
 
@@ -24,7 +29,9 @@ N_ESTIMATORS = 500
 LEARNING_RATE = 0.05
 MAX_DEPTH = -1
 DEPTH_WHEN_UNLIMITED = 5
-ROWS_PER_PARTITION = 1_000_000
+ROWS_PER_PARTITION = 50_000
+#: Least relative gain on the validation rows that keeps the boosting going.
+VALIDATION_TOLERANCE = 1e-4
 
 
 @dataclass
@@ -42,7 +49,7 @@ class GBTForecaster:
         missing = [c for c in self.feature_columns if c not in future.columns]
         if missing:
             raise ValueError(f"future frame lacks feature columns {missing}")
-        out = self.model.transform(future).withColumnRenamed("prediction", "forecast")
+        out = self.model.transform(_filled(future, self.feature_columns)).withColumnRenamed("prediction", "forecast")
         out = out.drop("_features")
         if horizon is not None:
             from . import windows
@@ -50,6 +57,24 @@ class GBTForecaster:
             out = d.where(F.col(windows.POS) <= horizon).drop(windows.POS)
         return out
 
+    def forecast(self, spine: DataFrame, future: DataFrame | None = None, cols: SeriesCols = DEFAULT_COLS) -> DataFrame:
+        """``spine`` with ``forecast``: the features of ``future`` meet the horizon on (series, timestamp).
+
+        Steps without features get the prediction at the zero vector (``naive`` is 1 there), as does every step without ``future``.
+        """
+        if future is None:
+            return self.predict_zero(spine.sparkSession, spine).withColumn("naive", F.lit(1))
+        missing = [c for c in self.feature_columns if c not in future.columns]
+        if missing:
+            raise ValueError(f"future frame lacks feature columns {missing}")
+        keys = [cols.series, cols.ts]
+        given = future.select(*keys, *[F.col(c).alias(f"_f{i}") for i, c in enumerate(self.feature_columns)], F.lit(0).alias("_given"))
+        rows = spine.join(given, keys, "left")
+        named = rows.select(F.struct(*spine.columns).alias("_row"), F.coalesce("_given", F.lit(1)).alias("naive"),
+                            *[F.col(f"_f{i}").alias(c) for i, c in enumerate(self.feature_columns)])
+        out = self.model.transform(_filled(named, self.feature_columns))
+        return out.select("_row.*", F.col("prediction").alias("forecast"), "naive")
+
     def predict_zero(self, spark: SparkSession, spine: DataFrame) -> DataFrame:
         """Fallback without future features: the prediction at the zero vector, repeated."""
         zero = spark.range(1).select(*[F.lit(0.0).alias(c) for c in self.feature_columns])
@@ -65,21 +90,42 @@ class GBTForecaster:
                 .orderBy(F.col("importance").desc(), F.col("feature")))
 
 
+def _filled(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A feature that is not known counts 0 (``step`` tells which lags cannot be)."""
+    return df.withColumns({c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0)) for c in columns})
+
+
 def fit(train: DataFrame, feature_columns: list[str] | None = None, target: str = "value",
         n_estimators: int = N_ESTIMATORS, learning_rate: float = LEARNING_RATE,
-        max_depth: int = MAX_DEPTH, seed: int = 42, cols: SeriesCols = DEFAULT_COLS
-        ) -> GBTForecaster:
-    """Train one boosted-tree model on all rows of ``train``."""
+        max_depth: int = MAX_DEPTH, seed: int = 42, cols: SeriesCols = DEFAULT_COLS, row_fraction: float = 1.0,
+        feature_fraction: float = 1.0, unlimited_depth: int = DEPTH_WHEN_UNLIMITED, validation_share: float = 0.0) -> GBTForecaster:
+    """Train one boosted-tree model on all rows of ``train``.
+
+    With ``validation_share`` the latest share of the rows does not teach but ends the boosting once its error stops falling.
+    """
     fc = feature_columns if feature_columns is not None else \
         feat.numeric_feature_columns(train, target, cols)
-    depth = DEPTH_WHEN_UNLIMITED if max_depth in (-1, None) else max_depth
+    depth = unlimited_depth if max_depth in (-1, None) else max_depth
     assembler = VectorAssembler(inputCols=fc, outputCol="_features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
-                       maxIter=n_estimators, stepSize=learning_rate,
+                       maxIter=n_estimators, stepSize=learning_rate, subsamplingRate=row_fraction,
+                       featureSubsetStrategy="all" if feature_fraction >= 1 else str(feature_fraction),
                        maxDepth=depth, seed=seed, checkpointInterval=10, cacheNodeIds=True)
+    rows = _filled(train.where(F.col(target).isNotNull()), fc)
+    keep = ["_features", target]
+    if validation_share > 0:
+        cut = rows.agg(F.percentile_approx(F.unix_micros(F.col(cols.ts).cast("timestamp")), 1 - validation_share, 10_000)).first()[0]
+        rows = rows.withColumn("_late", F.unix_micros(F.col(cols.ts).cast("timestamp")) > F.lit(cut))
+        gbt = gbt.setParams(validationIndicatorCol="_late", validationTol=VALIDATION_TOLERANCE)
+        keep.append("_late")
     # MLlib persists the assembled instances itself (the input is not cached here) and
     # scans them once per boosting iteration.
-    fitted = gbt.fit(assembler.transform(train).select("_features", target))
+    vectors = written(assembler.transform(rows).select(*keep), "gbt")
+    n = vectors.count()
+    if n == 0:
+        raise ValueError("no rows to train on")
+    fitted = gbt.fit(vectors.coalesce(max(1, -(-n // ROWS_PER_PARTITION))))
+    discard(vectors)
     return GBTForecaster(PipelineModel(stages=[assembler, fitted]), fc, target)
 
 

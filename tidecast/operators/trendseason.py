@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..schema import DEFAULT_COLS, SeriesCols
+from ..session import cut_lineage
 from . import grid
 
 # Model defaults (changepoints, prior scales, seasonalities).
@@ -37,6 +38,8 @@ CHANGEPOINT_PRIOR_SCALE = 0.05
 SEASONALITY_PRIOR_SCALE = 10.0
 YEARLY = (365.25, 10)
 WEEKLY = (7.0, 3)
+#: Periods that a series must span for a season to take part.
+MIN_CYCLES = 2.0
 
 
 def _trend_cols(t: Column, n_cp: int) -> list[Column]:
@@ -108,8 +111,11 @@ def _scaled(cols: SeriesCols, ts: Column) -> tuple[Column, Column]:
 
 def fit(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, mode: str = "multiplicative",
         n_changepoints: int = N_CHANGEPOINTS, cps: float = CHANGEPOINT_PRIOR_SCALE,
-        sps: float = SEASONALITY_PRIOR_SCALE, seasonalities=(YEARLY, WEEKLY)) -> DataFrame:
-    """Per-series parameters: ``(series_id, t_min, t_max, y_scale, beta_trend, beta_season, mode)``."""
+        sps: float = SEASONALITY_PRIOR_SCALE, seasonalities=(YEARLY, WEEKLY), min_cycles: float = MIN_CYCLES) -> DataFrame:
+    """Per-series parameters: ``(series_id, t_min, t_max, y_scale, beta_trend, beta_season, mode)``.
+
+    A season takes part in a series that spans ``min_cycles`` of its periods; its coefficients are 0 in all others.
+    """
     s, t, v = cols.series, cols.ts, cols.value
     stats = df.groupBy(s).agg(F.min(t).alias("t_min"), F.max(t).alias("t_max"),
                               F.max(F.abs(v)).alias("y_scale"))
@@ -119,7 +125,8 @@ def fit(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, mode: str = "multiplicat
                        .otherwise(F.lit(1.0))))
     ts_scaled, days = _scaled(cols, F.col("ts"))
     trend = F.array(*_trend_cols(ts_scaled, n_changepoints))
-    season = F.array(*_season_cols(days, seasonalities))
+    span = F.timestamp_diff("MICROSECOND", F.col("t_min"), F.col("t_max")) / F.lit(cal.MICROS_PER_DAY)
+    season = F.array(*[x * (span >= min_cycles * one[0]).cast("double") for one in seasonalities for x in _season_cols(days, (one,))])
     p_t = n_changepoints + 2
     p_s = sum(2 * o for _, o in seasonalities)
     base = d.select("series_id", "ts", "y", trend.alias("xt"), season.alias("xs"))
@@ -133,15 +140,14 @@ def fit(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, mode: str = "multiplicat
         return out.join(stats.withColumnRenamed(s, "series_id"), "series_id")
     # multiplicative: trend first, then relative seasonal deviation
     # per-series coefficients (one row per series) are reused by three branches
-    bt = _fit_ridge(base.select("series_id", F.col("xt").alias("x"), "y"), p_t,
-                    pen_all[:p_t]).cache()
+    bt = cut_lineage(_fit_ridge(base.select("series_id", F.col("xt").alias("x"), "y"), p_t, pen_all[:p_t]))
     g = base.join(bt, "series_id").withColumn("g", _dot(F.col("xt"), F.col("beta")))
     ok = g.groupBy("series_id").agg(F.min("g").alias("g_min"))
     rel = g.where(F.col("g") > 0).select("series_id", F.col("xs").alias("x"),
                                          (F.col("y") / F.col("g") - 1.0).alias("y"))
     bs = _fit_ridge(rel, p_s, pen_all[p_t:])
     # additive fallback only for series whose trend is not positive everywhere
-    ok = ok.cache()
+    ok = cut_lineage(ok)
     bad = ok.where(F.col("g_min") <= 0).select("series_id")
     if bad.limit(1).count():
         add = _fit_ridge(base.join(bad, "series_id", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..operators import features as feat
 from ..operators import split
+from ..session import cut_lineage
 from ..sources import tables
 from . import fixtures
 from . import oracle_views as ov
@@ -153,6 +154,36 @@ def q_expanding_folds(spark, d):
         F.max("timestamp").alias("last_ts"))
 
 
+@register("train_folds", sql=f"""
+WITH tr AS (
+  SELECT series_id, "timestamp", value, lag_7, rolling_max_30 FROM (
+    SELECT series_id, "timestamp", value, lag_7, rolling_max_30,
+           row_number() OVER (PARTITION BY series_id ORDER BY "timestamp", value) AS pos,
+           count(*) OVER (PARTITION BY series_id) AS n
+    FROM {FEATURES_SUB} f) WHERE pos <= floor(CAST(n AS DOUBLE) * CAST('0.8' AS DOUBLE))),
+p AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY "timestamp", value) AS pos,
+             count(*) OVER (PARTITION BY series_id) AS n FROM tr),
+nf AS (SELECT *, CASE WHEN n // 4 < 10 THEN greatest(1, n // 10 - 1) ELSE 3 END AS folds FROM p),
+nz AS (SELECT *, n // (folds + 1) AS z FROM nf),
+fo AS (SELECT nz.*, CAST(f.range AS INTEGER) AS fold, z * f.range AS te FROM nz, range(1, 100) f
+       WHERE f.range <= folds AND z > 0),
+r AS (SELECT *, CASE WHEN pos <= te THEN 'train' WHEN pos <= least(te + z, n) THEN 'val' END AS role FROM fo)
+SELECT series_id, fold, role, count(*) AS n_rows, min("timestamp") AS first_ts, max("timestamp") AS last_ts,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value, CAST(sum(CAST(lag_7 AS DECIMAL(18,2))) AS DOUBLE) AS sum_lag_7,
+       CAST(sum(CAST(rolling_max_30 AS DECIMAL(18,2))) AS DOUBLE) AS sum_max_30
+FROM r WHERE role IS NOT NULL AND n > 50 GROUP BY series_id, fold, role""")
+def q_train_folds(spark, d):
+    """The rows and features that every member is trained and validated on in each fold."""
+    from . import training
+    f = cut_lineage(feat.all_features(tables.daily_orders(spark, d), DAILY_SPEC))
+    train = cut_lineage(split.chrono_split(f, 0.8).where(F.col("split") == "train").drop("pos", "n_rows", "split"))
+    folds = training.cv_frame(train, training.TrainingConfig(spec=DAILY_SPEC))
+    cents = lambda c: F.sum(F.col(c).cast("decimal(18,2)")).cast("double")
+    return folds.groupBy("series_id", "fold", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"),
+        cents("value").alias("sum_value"), cents("lag_7").alias("sum_lag_7"), cents("rolling_max_30").alias("sum_max_30"))
+
+
 # ---------------------------------------------------------------- metrics / ranking
 
 @register("forecast_metrics", sql=HOLDOUT + ",\n" + METRICS_HOLDOUT + "\nSELECT * FROM metrics")

@@ -107,62 +107,102 @@ def q_trend_season(spark, d):
                      r4("forecast", 2).alias("forecast"))
 
 
-def _gbt_data(spark, d):
-    from ..operators import features as feat
-    from ..operators import split
+# The demo's boosted-tree settings (300 trees, learning rate 0.05, unlimited depth).  Here the
+# boosting may end sooner: once the latest tenth of the rows gains nothing.
+GBT_DEMO = dict(n_estimators=300, learning_rate=0.05, max_depth=-1, validation_share=0.1)
+
+
+def _horizon_sql(kind: str) -> str:
+    from . import q_features as qf
+    lags, sizes = qf.LAGS, qf.WINDOWS
+    rolled = [f"rolling_{x}_{n}" for n in sizes for x in ("mean", "std", "min", "max")]
+    views = ov.with_views(ov.DAILY_ORDERS, f"""
+r AS (SELECT series_id, "timestamp", value, {', '.join(qf._rolling_sql())},
+             row_number() OVER (PARTITION BY series_id ORDER BY "timestamp") AS pos, count(*) OVER (PARTITION BY series_id) AS n
+      FROM daily_orders)""")
+    joins = " ".join(f"LEFT JOIN r l{k} ON l{k}.series_id = b.series_id AND l{k}.pos = b.target - {k} AND {k} >= b.step" for k in lags)
+    if kind == "future":
+        base = f"""SELECT r.series_id, CAST(r."timestamp" + to_days(CAST(k.range AS INTEGER)) AS TIMESTAMP) AS "timestamp",
+                          CAST(k.range AS INTEGER) AS step, r.n + k.range AS target, {', '.join(rolled)}
+                   FROM r, range(1, {HORIZON + 1}) k WHERE r.pos = r.n"""
+        value = ""
+    else:
+        base = f"""SELECT t.series_id, t."timestamp", t.value, CAST((t.pos - 1) % {HORIZON} + 1 AS INTEGER) AS step, t.pos AS target,
+                          {', '.join('r.' + x for x in rolled)}
+                   FROM r t JOIN r ON r.series_id = t.series_id AND r.pos = t.pos - ((t.pos - 1) % {HORIZON} + 1)"""
+        value = "b.value, "
+    return views + f"""SELECT x.*, {', '.join(qf.CAL_SQL)}, {', '.join(qf._fourier_sql())}
+FROM (SELECT b.series_id, b."timestamp", {value}b.step, {', '.join(f'l{k}.value AS lag_{k}' for k in lags)}, {', '.join('b.' + x for x in rolled)}
+      FROM ({base}) b {joins}) x, (SELECT min("timestamp") AS t0 FROM daily_orders) t0"""
+
+
+def _daily(spark, d):
     from .q_features import DAILY_SPEC
-    from ..session import cut_lineage
-    # features feed the split, the fit and the scoring: materialise them once
-    f = cut_lineage(feat.all_features(tables.daily_orders(spark, d), DAILY_SPEC))
-    s = split.chrono_split(f, 0.8).drop("pos", "n_rows")
-    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
+    return tables.daily_orders(spark, d), DAILY_SPEC
 
 
-# The demo's boosted-tree settings (300 trees, learning rate 0.05, unlimited depth).
-GBT_DEMO = dict(n_estimators=300, learning_rate=0.05, max_depth=-1)
+@register("gbt_future_features", sql=_horizon_sql("future"))
+def q_gbt_future_features(spark, d):
+    from ..operators import horizon
+    from .q_features import _rolling_round
+    daily, spec = _daily(spark, d)
+    return _rolling_round(horizon.future_frame(daily, HORIZON, spec, "D"))
 
 
-_FITTED: dict = {}
+@register("gbt_training_features", sql=_horizon_sql("training"))
+def q_gbt_training_features(spark, d):
+    from ..operators import horizon
+    from .q_features import _rolling_round
+    daily, spec = _daily(spark, d)
+    return _rolling_round(horizon.training_frame(daily, HORIZON, spec))
 
 
 def _gbt_model(spark, d):
-    """One fit per (session, data directory): forecast, importance and the zero-vector
-    fallback are three views of the same trained model."""
-    from ..operators import gbt
-    key = (id(spark), d)
-    if key not in _FITTED:
-        train, test = _gbt_data(spark, d)
-        _FITTED[key] = (gbt.fit(train, **GBT_DEMO), test)
-    return _FITTED[key]
+    """The boosted trees for the next ``HORIZON`` days, and the days."""
+    from ..operators import gbt, horizon
+    daily, spec = _daily(spark, d)
+    seen = horizon.training_frame(daily, HORIZON, spec)
+    return gbt.fit(seen, **GBT_DEMO), grid.future_spine(daily, HORIZON, freq="D")
 
 
-@register("gbt_forecast", note="global GBTRegressor on lag/rolling/calendar/Fourier features")
+@register("gbt_forecast", note="boosted trees on the features known at the origin, for the days after the last one")
 def q_gbt_forecast(spark, d):
-    model, test = _gbt_model(spark, d)
-    out = model.predict(test)
-    return out.select("series_id", "timestamp", F.col("value").alias("actual"),
-                      r4("forecast", 2).alias("forecast"))
+    from ..operators import horizon
+    daily, spec = _daily(spark, d)
+    model, spine = _gbt_model(spark, d)
+    out = model.forecast(spine, horizon.future_frame(daily, HORIZON, spec, "D"))
+    return out.select("series_id", "step", "timestamp", "naive", r4("forecast", 2).alias("forecast"))
 
 
-@register("gbt_importance", note="feature importances of the global GBT model")
+@register("gbt_importance", note="feature importances of the boosted trees")
 def q_gbt_importance(spark, d):
     model, _ = _gbt_model(spark, d)
     return model.importance(spark).select("feature", r4("importance", 6).alias("importance"))
 
 
-@register("naive_zero_vector", note="GBT prediction at the zero feature vector over a 14-step spine")
+@register("naive_zero_vector", note="boosted trees' prediction at the zero feature vector over a 14-step spine")
 def q_naive_zero_vector(spark, d):
-    model, _ = _gbt_model(spark, d)
-    spine = grid.future_spine(tables.daily_orders(spark, d), HORIZON, freq="D")
-    return model.predict_zero(spark, spine).select(
-        "series_id", "step", "timestamp", r4("forecast", 2).alias("forecast"))
+    model, spine = _gbt_model(spark, d)
+    return model.forecast(spine).select("series_id", "step", "timestamp", r4("forecast", 2).alias("forecast"))
+
 
+def _training(spark, d):
+    from . import training
+    daily, spec = _daily(spark, d)
+    cfg = training.TrainingConfig(spec=spec, gbt_params=GBT_DEMO)
+    return daily, cfg, training.run(daily, cfg)
 
-@register("train_and_score", note="features → split → CV (HW, trend+season) → final fit → test metrics")
+
+@register("train_and_score", note="features → split → CV of all members → final fit → test metrics")
 def q_train_and_score(spark, d):
     from . import training
-    from .q_features import DAILY_SPEC
-    model, _ = _gbt_model(spark, d)
-    cfg = training.TrainingConfig(spec=DAILY_SPEC, gbt_params=GBT_DEMO)
-    res = training.run(tables.daily_orders(spark, d), cfg, gbt_model=model)
-    return training.summary(res)
+    return training.summary(_training(spark, d)[2])
+
+
+@register("best_trained_forecast", note="the 14 days after the last one by each series' best trained model")
+def q_best_trained_forecast(spark, d):
+    from . import training
+    daily, spec = _daily(spark, d)
+    cfg = training.TrainingConfig(spec=spec, gbt_params=GBT_DEMO, run_cv=False)
+    out = training.best_forecast(daily, training.run(daily, cfg).final_metrics, HORIZON, cfg)
+    return out.select("series_id", F.col("step").cast("int").alias("step"), "timestamp", "model", r4("forecast", 2).alias("forecast"))
