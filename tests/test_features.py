@@ -61,7 +61,7 @@ def test_halo_blocks_equal_plain_window(spark):
     d = tables.daily_orders(spark, SMALL)
     spec = feat.FeatureSpec(lags=(1, 7, 28), windows=(7, 30), fourier_order=0, calendar=False,
                             exact_scale=2)
-    blocked = feat.all_features(d, spec, drop_na=False, block_rows=40, block_days=3)
+    blocked = feat.all_features(d, spec, drop_na=False, block_rows=40)
     plain = feat.all_features(d, spec, drop_na=False, block_rows=None)
     cols = sorted(blocked.columns)
     a = blocked.select(cols).exceptAll(plain.select(cols)).count()
@@ -71,8 +71,8 @@ def test_halo_blocks_equal_plain_window(spark):
 
 def test_positions_match_row_number(spark):
     d = tables.daily_orders(spark, SMALL)
-    p1 = windows.with_position(d, block_days=5, with_count=True)
-    p2 = windows.with_position(d, block_days=None, with_count=True)
+    p1 = windows.with_position(d, with_count=True)
+    p2 = windows.with_position(d, scan=False, with_count=True)
     assert p1.exceptAll(p2.select(p1.columns)).count() == 0
 
 
@@ -83,14 +83,23 @@ def test_last_n(spark):
 
 
 def test_plan_evaluates_fourier_origin_once(spark):
-    """The scalar subquery must not be re-planned per sin/cos term or per NULL check."""
+    """The scalar subquery must not be re-planned per sin/cos term or per NULL check; besides it the orders are not read again."""
     import re
     import __spark_entry__ as entry
     df = entry.queries()["all_features"](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
-    # column pruning: the orders scan reads only the three columns it needs
-    assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
+    assert len(re.findall(r"orders\.parquet", plan)) == 1
+    # column pruning: only the order date is read for the origin
+    assert "o_totalprice" not in plan
+
+
+def test_global_positions_split_a_hot_time_and_number_all_rows(spark):
+    d = spark.range(4000).selectExpr("concat('s', cast(id % 5 as string)) as series_id",
+                                     "cast(timestamp_seconds(least(id, 3000) * 3600) as timestamp_ntz) as timestamp", "cast(id as double) as value")
+    got = windows.with_position(d.repartition(16), over_all=True, with_count=True, tie_break=["series_id", "value"])
+    want = windows.with_position(d, over_all=True, with_count=True, tie_break=["series_id", "value"], scan=False)
+    assert got.exceptAll(want.select(got.columns)).count() == 0
+    assert windows.with_position(d.limit(0), with_count=True).count() == 0
 
 
 def test_infer_frequency_non_strict_uses_most_common_gap(spark):
@@ -116,12 +125,12 @@ def test_hot_series_is_split_and_exact(spark):
                                    F.col("id").cast("double").alias("value"))
     d = hot.unionByName(cold)
     spec = feat.FeatureSpec(lags=(1, 24), windows=(24, 48), fourier_order=0, calendar=False)
-    blocked = feat.all_features(d, spec, drop_na=False, block_rows=200, block_days=2)
+    blocked = feat.all_features(d, spec, drop_na=False, block_rows=200)
     plain = feat.all_features(d, spec, drop_na=False, block_rows=None)
     cols = sorted(blocked.columns)
     assert blocked.select(cols).exceptAll(plain.select(cols)).count() == 0
     assert plain.select(cols).exceptAll(blocked.select(cols)).count() == 0
-    pos = windows.with_position(d, block_days=2)
+    pos = windows.with_position(d)
     groups = (pos.where("series_id = 'hot'")
                  .select(((F.col("pos") - 1) / F.lit(200)).cast("long").alias("b")).distinct().count())
     assert groups == 15

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.metrics import INF, METRICS, metric_aggs, round_half_away
+from ..session import written
 
 STEP = "step"
 
@@ -36,7 +37,9 @@ def forecast_metrics(fc: DataFrame, by=("model", "series_id"), actual: str = "ac
                      digits: int | None = 4) -> DataFrame:
     """RMSE, MAE, MAPE %, SMAPE %, R², directional accuracy % per group (+ ``n``)."""
     by = list(by)
-    d = attach_previous(fc.select(*by, step, actual, forecast), by, actual, forecast, step)
+    # the step before is looked up in the same rows: what leads to them runs once
+    rows = written(fc.select(*by, step, actual, forecast), "forecasts")
+    d = attach_previous(rows, by, actual, forecast, step)
     aggs = metric_aggs(actual, forecast)
     out = d.groupBy(*by).agg(*[v.alias(k) for k, v in aggs.items()])
     if digits is not None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import seasonal_period
 from ..schema import DEFAULT_COLS, SeriesCols
+from ..session import written
 from . import windows
 
 # Frequency codes and their step (months or seconds).
@@ -143,55 +144,44 @@ def regularise(df: DataFrame, freq: str, cols: SeriesCols = DEFAULT_COLS,
     A value observed between two steps is carried to the later one; without filling it has no place.
     A month grid begins at the first month start or end; a series that ends before has that one step.
 
-    The grid is generated in blocks of ``block`` steps (one row per block is
-    exploded twice, after a shuffle on ``(series, block)``), and the forward
-    fill is a segmented scan: within a block by window, across blocks by the
-    last non-null value of earlier blocks (a per-block table).  No series is
-    ever handled by a single task.  Adds ``filled`` (1 unless observed at that very step)
+    Every observation is spread over the steps since the one before it: neither a grid nor a join with one is needed.
+    The observation before is found inside blocks of ``block`` steps by window, and across blocks in a table with
+    one row a block.  No series is ever handled by a single task.  Adds ``filled`` (1 unless observed at that very step)
     and, with ``with_position``, ``pos``/``n_rows`` (the grid step index, for free).
     """
     s, t, v = cols.series, cols.ts, cols.value
-    bounds = df.groupBy(s).agg(first_step(F.min(t), freq).alias("_lo"), F.max(t).alias("_hi"))
+    rows = written(df.select(s, t, v), "regularise")
+    bounds = rows.groupBy(s).agg(first_step(F.min(t), freq).alias("_lo"), F.max(t).alias("_hi"))
     up = step_at_or_after(F.col("_lo"), F.col("_hi"), freq)
     n_steps = F.greatest(up - (shift(F.col("_lo"), freq, up) > F.col("_hi")).cast("long"), F.lit(0).cast("long"))
-    blocks = (bounds.withColumn("_n", n_steps)
-                    .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                             (F.col("_n") / block).cast("long"))))
-                    .repartition(s, "_blk"))
-    lo_step = F.col("_blk") * block
-    hi_step = F.least(lo_step + block - 1, F.col("_n"))
-    grid = (blocks.withColumn("_k", F.explode(F.sequence(lo_step, hi_step)))
-                  .select(s, "_blk", "_lo", "_k", "_n"))
-    # on a complete grid the row position is the step index: no extra pass needed
-    grid = grid.select(s, "_blk", "_k", shift(F.col("_lo"), freq, F.col("_k")).alias(t),
-                       (F.col("_k") + 1).alias("_pos"), (F.col("_n") + 1).alias("_nrows"))
+    bounds = bounds.select(s, "_lo", n_steps.alias("_last"))
+    obs = F.struct(F.col(t).alias("_t"), F.col(v).alias("_v"))
+    seen = rows.where(F.col(v).isNotNull()).join(bounds, s).select(s, "_lo", "_last", step_at_or_after(F.col("_lo"), F.col(t), freq).alias("_k"), obs.alias("_obs"))
+    # the first and the last step are there even if nothing was observed
+    ends = bounds.select(s, "_lo", "_last", F.explode(F.array_distinct(F.array(F.lit(0).cast("long"), "_last"))).alias("_k")).withColumn(
+        "_obs", F.lit(None).cast(seen.schema["_obs"].dataType))
     # every observation belongs to the first step not before it; the latest of a step counts
-    seen = (df.where(F.col(v).isNotNull()).select(s, F.col(t).alias("_t"), F.col(v).alias("_v"))
-              .join(bounds.select(s, "_lo"), s)
-              .withColumn("_k", step_at_or_after(F.col("_lo"), F.col("_t"), freq))
-              .groupBy(s, "_k").agg(F.max(F.struct("_t", "_v")).alias("_obs")))
-    exact = F.coalesce(F.col("_obs._t") == F.col(t), F.lit(False))
-    j = (grid.join(seen, [s, "_k"], "left")
-             .withColumn(v, F.col("_obs._v") if fill == "ffill" else F.when(exact, F.col("_obs._v")))
-             .withColumn("filled", (~exact).cast("int")).drop("_obs", "_k"))
-    pos_cols = [F.col("_pos").alias(windows.POS), F.col("_nrows").alias(windows.N_ROWS)] \
-        if with_position else []
-    if fill != "ffill":
-        return j.select(s, t, v, "filled", *pos_cols)
-    # last non-null value of each block, then carried over earlier blocks
-    last_in_block = (j.where(F.col(v).isNotNull()).groupBy(s, "_blk")
-                      .agg(F.max_by(v, t).alias("_last")))
-    blocks_all = j.select(s, "_blk").distinct()
-    carry_all = (blocks_all.join(last_in_block, [s, "_blk"], "left")
-                 .withColumn("_carry", F.last("_last", ignorenulls=True).over(
-                     Window.partitionBy(s).orderBy("_blk")
-                           .rowsBetween(Window.unboundedPreceding, -1)))
-                 .select(s, "_blk", "_carry"))
-    w = Window.partitionBy(s, "_blk").orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
-    filled = (j.withColumn("_ff", F.last(v, ignorenulls=True).over(w))
-               .join(carry_all, [s, "_blk"], "left"))
-    return filled.select(s, t, F.coalesce(F.col("_ff"), F.col("_carry")).alias(v),
-                         "filled", *pos_cols)
+    steps = seen.where("_k <= _last").unionByName(ends).groupBy(s, "_k").agg(F.first("_lo").alias("_lo"), F.first("_last").alias("_last"), F.max("_obs").alias("_obs"))
+    steps = steps.withColumn("_blk", F.floor(F.col("_k") / block))
+    at = F.struct(F.col("_k").alias("k"), F.col("_obs._v").alias("v"))
+    by_block = Window.partitionBy(s).orderBy("_blk")
+    before = steps.groupBy(s, "_blk").agg(F.max_by(at, "_k").alias("_end")).select(s, "_blk", F.lag("_end").over(by_block).alias("_carry"))
+    inside = steps.withColumn("_prev", F.lag(at).over(Window.partitionBy(s, "_blk").orderBy("_k")))
+    d = inside.join(before, [s, "_blk"]).withColumn("_prev", F.coalesce("_prev", "_carry"))
+    # long gaps are spread in two turns, so that no array is longer than a block
+    d = d.withColumn("_from", F.coalesce(F.col("_prev.k") + 1, F.col("_k"))).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_k") - F.col("_from")) / block))))
+    start = F.col("_from") + F.col("_part") * block
+    d = d.withColumn("_j", F.explode(F.sequence(start, F.least(start + (block - 1), F.col("_k")))))
+    when = shift(F.col("_lo"), freq, F.col("_j"))
+    here = F.col("_j") == F.col("_k")
+    exact = F.coalesce(here & (F.col("_obs._t") == when), F.lit(False))
+    if fill == "ffill":
+        value = F.when(here & F.col("_obs").isNotNull(), F.col("_obs._v")).otherwise(F.col("_prev.v"))
+    else:
+        value = F.when(exact, F.col("_obs._v"))
+    pos_cols = [(F.col("_j") + 1).alias(windows.POS), (F.col("_last") + 1).alias(windows.N_ROWS)] if with_position else []
+    return d.select(s, when.alias(t), value.alias(v), (~exact).cast("int").alias("filled"), *pos_cols)
 
 
 # ---------------------------------------------------------------- G3

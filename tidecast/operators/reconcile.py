@@ -385,7 +385,7 @@ def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
     entries, tree = _constraints(edges)
     left, factors, alpha, centred = None, None, 0.0, None
     if residuals is None or cov == "ols":
-        weights = materialise(nodes.withColumn("w", F.lit(1.0)))
+        weights = nodes.withColumn("w", F.lit(1.0))
     else:
         dense = materialise(dense_residuals(nodes, materialise(residuals)))
         times = dense.agg(F.max("t")).first()[0] or 0
@@ -395,7 +395,7 @@ def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
         if not short and cov != "diag":
             alpha = (SHRINK_ALPHA if cov == "shrink" else 1.0) / max(times - 1, 1)
             means = dense.groupBy("node").agg(F.avg("residual").alias("_mean"))
-            centred = materialise(dense.join(means, "node").select("node", "t", (F.col("residual") - F.col("_mean")).alias("x"), F.abs("residual").alias("_abs")))
+            centred = written(dense.join(means, "node").select("node", "t", (F.col("residual") - F.col("_mean")).alias("x"), F.abs("residual").alias("_abs")), "residuals")
             weights = var.select("node", F.lit(DIAG_EPS).alias("w"))
         if not short and cov == "shrink":
             top = var.agg(F.max("var")).first()[0] or 0.0
@@ -409,20 +409,21 @@ def mint(edges: DataFrame, base: DataFrame, residuals: DataFrame | None = None,
                     bound = entries.join(left.where("p is not null").select("p").distinct(), "p", "left_anti")
                 else:
                     weights = var.select("node", F.when(F.col("var") > VARIANCE_CUT * top, (1 - SHRINK_ALPHA) * F.col("var")).otherwise(1e6 * (top or 1.0)).alias("w"))
-        weights = materialise(weights)
-    entries = materialise(entries)
-    bound = entries if left is None else materialise(bound)
+    # written, so that small tables are known to be small
+    weights = written(weights, "weights")
+    entries = written(entries, "constraints")
+    bound = entries if left is None else written(bound, "constraints")
     if centred is not None:
         # sums that cancel but for rounding are zero
         u = bound.join(centred, "node").groupBy("p", "t").agg(F.sum(F.col("c") * F.col("x")).alias("u"), F.sum("_abs").alias("_abs"))
-        factors = materialise(u.where(F.abs("u") > 1e-12 * F.col("_abs")).select("p", "t", "u"))
+        factors = written(u.where(F.abs("u") > 1e-12 * F.col("_abs")).select("p", "t", "u"), "factors")
     forecasts = materialise(_grid(nodes, F.lit(h)).join(base, ["node", "step"], "left").select(
         "node", "step", F.coalesce("forecast", F.lit(0.0)).alias("forecast")))
     moved = None
     for lo in range(1, h + 1, STEP_BLOCK):
         steps = range(lo, min(lo + STEP_BLOCK, h + 1))
         k = len(steps)
-        wide = materialise(forecasts.groupBy("node").agg(*[F.max(F.when(F.col("step") == x, F.col("forecast"))).alias(f"f{i}") for i, x in enumerate(steps)]))
+        wide = written(forecasts.groupBy("node").agg(*[F.max(F.when(F.col("step") == x, F.col("forecast"))).alias(f"f{i}") for i, x in enumerate(steps)]), "base")
         gaps = bound.join(wide, "node").groupBy("p").agg(*[F.sum(F.col("c") * F.col(f"f{i}")).alias(f"g{i}") for i in range(k)])
         if bound.isEmpty():
             parts = wide.select("node", *[F.col(f"f{i}").alias(f"y{i}") for i in range(k)])

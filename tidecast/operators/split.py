@@ -11,7 +11,6 @@ from . import windows
 SPLIT = "split"
 FOLD = "fold"
 ROLE = "role"
-_ALL = "_all_rows"
 
 
 def chrono_split(df: DataFrame, train_ratio: float = 0.8, cols: SeriesCols = DEFAULT_COLS,
@@ -20,17 +19,14 @@ def chrono_split(df: DataFrame, train_ratio: float = 0.8, cols: SeriesCols = DEF
 
     ``scope='series'`` cuts every series on its own (default).  ``scope='global'``
     cuts the whole frame at one position (the reference's behaviour on a stacked
-    frame), ties in time broken by series id.  The global position is computed
-    with time blocks over a constant key: counts per block, running sum over the
-    (small) block table, row numbers inside blocks, so no single task sees all rows.
+    cuts the whole frame at one position (the reference's behaviour on a stacked
+    frame), ties in time broken by series id: range partitions over (time, series), so no single task sees all rows.
     Adds ``pos`` and ``n_rows`` (per series or global) and ``split``.
     """
     if scope == "series":
         d = windows.with_position(df, cols, with_count=True, **kw)
     elif scope == "global":
-        g = SeriesCols(ts=cols.ts, value=cols.value, series=_ALL)
-        d = windows.with_position(df.withColumn(_ALL, F.lit(0)), g, with_count=True,
-                                  tie_break=[cols.series], **kw).drop(_ALL)
+        d = windows.with_position(df, cols, with_count=True, over_all=True, tie_break=[cols.series], **kw)
     else:
         raise ValueError(f"scope must be 'series' or 'global', not {scope!r}")
     cut = F.floor(F.col(windows.N_ROWS).cast("double") * F.lit(float(train_ratio)))
