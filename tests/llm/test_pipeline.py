@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_simhash import brute_components, brute_fp
 from test_suffix_dedup import brute
 
@@ -89,3 +90,21 @@ def test_run_reads_the_whole_table(spark, docs_of, tmp_path):
     docs_of([f"some words of text number {i}" for i in range(20)]).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() > 0
     assert language.identify(spark.read.parquet(str(tmp_path / "documents.parquet"))).count() == 20
+
+
+def test_a_table_without_labels_keeps_its_texts(spark, docs_of):
+    docs = docs_of(["some words", "12 34", None, "é", "other words here", ""]).withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.identify_language(spark, docs, "unused").collect()
+    assert {(r.doc_id, r.lang) for r in got} == {(0, None), (3, None), (4, None)}
+
+
+def test_a_label_that_is_und_is_a_label(spark, docs_of):
+    docs = docs_of(["some words"] * 9).withColumn("lang", F.lit("und"))
+    assert corpus_pipeline.identify_language(spark, docs, "unused").count() == 9
+
+
+def test_identify_keeps_columns_of_its_own_names_apart(docs_of):
+    docs = docs_of(["some words", "", "more words"]).withColumn("_p", F.lit("mine")).withColumn("_score", F.lit("old")).withColumn("found", F.lit(1))
+    got = language.identify(docs)
+    assert got.columns == [*docs.columns[:5], "_p", "found", "_held_out", "_lang_pred", "_score", "_letter"]
+    assert {(r.doc_id, r._p, r.found, r._letter) for r in got.collect()} == {(0, "mine", 1, True), (1, "mine", 1, False), (2, "mine", 1, True)}

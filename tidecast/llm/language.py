@@ -23,6 +23,8 @@ DIMENSIONS = 1024
 TRAIN_ROWS = 20_000
 #: Letters share this many vectors: a to z have their own, others are dealt by code point.
 SYMBOLS = 128
+#: Texts whose vectors are held at once.
+CHUNK = 512
 
 
 def _tables(dimensions: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -91,7 +93,7 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
     def bundle(batches):
         sums: dict = {}
-        for pdf in batches:
+        for pdf in (b.iloc[at:at + CHUNK] for b in batches for at in range(0, len(b), CHUNK)):
             v, some = vectors(pdf["text"].tolist(), dimensions)
             for lang in pdf["lang"].unique():
                 own = (pdf["lang"] == lang).values & some
@@ -130,11 +132,17 @@ def classify(texts: list[str | None], model: dict[str, np.ndarray]) -> tuple[lis
 
 
 def predict(text: Column, model: dict[str, np.ndarray]) -> Column:
-    """Struct ``(lang, score)``; a null or letterless text is ``und`` with score 0."""
-    @F.pandas_udf("lang string, score double")
+    """Struct ``(lang, score, letter)``; a null or letterless text is ``und`` with score 0 and no letter."""
+    @F.pandas_udf("lang string, score double, letter boolean")
     def language(t: pd.Series) -> pd.DataFrame:
-        lang, score = classify([None if x is None else x for x in t], model)
-        return pd.DataFrame({"lang": lang, "score": score})
+        out = []
+        symbol = _tables(DIMENSIONS)[0]
+        for at in range(0, len(t), CHUNK):
+            texts = [None if x is None else x for x in t.iloc[at:at + CHUNK]]
+            lang, score = classify(texts, model)
+            letter = [len(trigrams(x or "", symbol)) > 0 for x in texts] if not model else [n != "und" or s > 0 for n, s in zip(lang, score)]
+            out.append(pd.DataFrame({"lang": lang, "score": score, "letter": letter}))
+        return pd.concat(out) if out else pd.DataFrame({"lang": [], "score": [], "letter": []})
 
     return language(text)
 
@@ -146,8 +154,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              dimensions: int = DIMENSIONS, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """All columns of ``df`` with ``_held_out, _lang_pred, _score``; learned from the rows not held out."""
+    """All columns of ``df`` with ``_held_out, _lang_pred, _score, _letter``; learned from the rows not held out.
+
+    Columns of ``df`` that have one of these names are replaced; all others stay.  Where nothing could be learned all rows
+    are ``und``; ``_letter`` still tells texts from what has no letter.
+    """
     model = learn(df.where(~held_out(id_col)), text_col, lang_col, id_col, dimensions, train_rows)
-    p = predict(F.col(text_col), model)
-    return df.withColumn("_held_out", held_out(id_col)).withColumn("_p", p).withColumn(
-        "_lang_pred", F.col("_p.lang")).withColumn("_score", F.col("_p.score")).drop("_p")
+    new = {"_held_out": held_out(id_col), "_lang_pred": "lang", "_score": "score", "_letter": "letter"}
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in new]
+    both = df.select(F.struct(*kept).alias("row"), held_out(id_col).alias("held"), predict(F.col(text_col), model).alias("found"))
+    return both.select("row.*", F.col("held").alias("_held_out"), *[F.col(f"found.{v}").alias(k) for k, v in new.items() if isinstance(v, str)])

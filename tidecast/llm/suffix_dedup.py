@@ -34,7 +34,7 @@ from .common import discard, staged
 GROUP, FAN = 128, 4
 GRAM = 16
 #: Bytes of text hashed at once; longer texts are cut with an overlap.
-PIECE, BATCH = 1 << 20, 1 << 21
+PIECE, BATCH = 1 << 19, 1 << 20
 _POS = np.uint64((1 << 24) - 1)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
