@@ -20,9 +20,13 @@ def _shaped(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language go on, with the predicted one as ``lang``; texts without a letter go."""
-    found = language.identify(_shaped(docs))
-    return found.where("_lang_pred <> 'und'").withColumn("lang", F.col("_lang_pred")).select(*COLUMNS)
+    """Documents that have a language go on, with the predicted one as ``lang``; texts without a letter go.
+
+    Where the table has no label to learn from, all texts with a letter go on as they are.
+    """
+    found = language.identify(_shaped(docs)).where("_letter")
+    known = F.when((F.col("_lang_pred") == "und") & (F.col("_score") == 0), F.col("lang")).otherwise(F.col("_lang_pred"))
+    return found.withColumn("lang", known).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
