@@ -82,6 +82,45 @@ def test_forms(page, text):
     assert extract.main_text(page) == "\n\n".join(text)
 
 
+ARTICLE = f"<article><h1>Title</h1><p>{PROSE}</p></article>"
+COMMENT = "Great post, thanks, I learned a lot from it, and so on; I will tell all my friends, of whom there are many. " * 2
+
+
+@pytest.mark.parametrize("page,text", [
+    # words in the names of wrappers, of whole articles, of elements around the only text
+    (f'<div class="layout has-sidebar"><p>{PROSE}</p></div><footer>Imprint</footer>', [LONG]),
+    (f'<main class="comments-open"><p>{PROSE}</p></main>', [LONG]),
+    (f'<div class="social-history"><p>{PROSE}</p></div>', [LONG]),
+    (f'<div class="hentry comments-open">{ARTICLE}</div>', ["Title", LONG]),
+    (f'<div class="related-posts-enabled">{ARTICLE}</div>', ["Title", LONG]),
+    (f'<div id="ad-free-site">{ARTICLE}<p class="ad">Buy!</p></div>', ["Title", LONG]),
+    (f'<div class="widget"><nav>Home</nav>{ARTICLE}</div>', ["Title", LONG]),
+    (f'<div class="popup"><p>{PROSE}</p></div>', [LONG]),
+    (f'<article class="post has-sidebar"><p>{PROSE}</p></article><aside>About us.</aside>', [LONG]),
+    (f'<div class="content has-sidebar"><p>{PROSE}</p><p>The end.</p></div><div class="sidebar"><p>{PROSE}</p></div>', [LONG, "The end."]),
+    # what these names say of the parts themselves
+    (f'{ARTICLE}<div class="sidebar"><p>{PROSE}</p></div>', ["Title", LONG]),
+    (f'{ARTICLE}<div class="page-sidebar"><h2>News</h2><p>{PROSE}</p></div>', ["Title", LONG]),
+    (f'{ARTICLE}<div class="comments"><p>{COMMENT}</p><p>{COMMENT}</p></div>', ["Title", LONG]),
+    (f'{ARTICLE}<ol class="comment-list">' + f'<li class="comment"><article class="comment-body"><p>{COMMENT}</p></article></li>' * 9 + "</ol>", ["Title", LONG]),
+    (f'{ARTICLE}<div class="user-comments"><p>{COMMENT * 4}</p></div>', ["Title", LONG]),
+    (f'{ARTICLE}<div class="related-posts"><article><h2>Other</h2><p>{PROSE[:90]}</p></article><article><p>{PROSE[:80]}</p></article></div>', ["Title", LONG]),
+    (f'<div class="content"><p>{PROSE * 2}</p></div><div class="related"><article><p>{PROSE}</p></article></div>', [(PROSE * 2).strip()]),
+    (f'<div class="cookie-notice"><p>{PROSE}</p></div>{ARTICLE}<div class="site-footer"><p>{PROSE}</p></div>', ["Title", LONG]),
+    (f'<article><p>{PROSE}</p><div class="share-buttons"><p>Share this, if you like.</p></div><p>The end.</p></article>', [LONG, "The end."]),
+    # an article's own header, and text that is hidden from screen readers only
+    (f'<header><h1>The Site</h1></header><article><header><h1>Title</h1><p>By someone, today.</p></header><p>{PROSE}</p></article>', ["Title", LONG]),
+    (f'<article><p aria-hidden="true">{PROSE}</p><p hidden>Not shown.</p></article>', [LONG]),
+])
+def test_names_are_weighed_by_what_the_element_holds(page, text):
+    assert extract.main_text("<html><body>" + page) == "\n\n".join(text)
+
+
+def test_deep_signed_elements_take_no_square_time():
+    page = '<div class="has-sidebar x">' * 20_000 + PROSE + "</div>" * 20_000
+    assert extract.main_text(page) == LONG
+
+
 def test_many_undecided_blocks_in_one_container():
     page = "<html><body><div>" + "".join(f"<p>{'Some words, and more. ' * (i % 7)}x</p>" for i in range(5_000)) + "</div></body></html>"
     assert len(extract.main_text(page)) > 0

@@ -8,8 +8,11 @@ to the next block of its container; blocks marked as other parts of the page tak
 flow from source to sink leaves the cheapest labelling as the minimum cut: blocks still reached from the source
 are content.
 
-A form is another part of the page, but for what an article inside it holds; a form around half of the
-page's text or more is no sign.
+Names of classes and ids are signs, never verdicts.  A whole name, or one of listed words only ("comments",
+"cookie-notice"), weighs more than a word that is part of a longer name ("has-sidebar", "comments-open"); names of
+adverts and comments also hold for what is inside.  No name (nor role) counts where the element holds the page's article or
+main text: see :func:`_settle`.  A form is another part of the page unless it is around half of the text or more.
+Of a header inside an article only the headings are content.  Text under ``aria-hidden`` is shown and so is text.
 """
 
 from __future__ import annotations
@@ -43,48 +46,130 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|xmp|noembed|noframes)\b.*?(?:</(?P=raw)\b[^>]*(?:>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_NAMES = re.compile(r"""(?<![\w-])(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 _SENTENCE = re.compile(r"[.!?,;:]")
 
 
-def _signs(tag: str, attrs: str) -> tuple[int, bool]:
-    """Of an element: +1 article, -1 another part, -2 one that no article inside takes back, 0 no sign; whether it is not shown."""
+#: Kinds of signed elements.  Never taken back: part of the page by tag.  Taken back by :func:`_settle`: ads and comments by a
+#: whole name, other parts by a whole name or role, by a part of a name, forms, articles with such a part in their name.
+TAGGED, STICKY, WHOLE, PART, FORM, MIXED, GOOD = range(7)
+#: An article counts as one from so many characters on; shares of the page's text, in percent, that take back signs.
+ARTICLE_CHARS, MOST, HALF, SOME = 200, 90, 50, 30
+#: Sign of a part of a name, where a whole one is -1.
+PART_SIGN = -0.45
+
+
+def _kind(tag: str, attrs: str) -> tuple[int | None, bool]:
+    """Kind of an element (none: no sign), and whether it is not shown."""
     if tag in CHROME:
-        return -2, False
-    sign = 1 if tag in ARTICLE else 0
-    hidden = False
+        return TAGGED, False
+    bad = part = good = some = sticky = hidden = False
     if attrs and tag not in ("html", "body"):
-        names: set[str] = set()
         for m in _NAMES.finditer(attrs):
             name, v = m[1].lower(), (m[2] or "").strip("\"'")
             if name in ("class", "id"):
-                names.update(p.lower() for p in _PART.findall(v))
+                for token in v.split():
+                    words = [w.lower() for w in _PART.findall(token)]
+                    if tag == "form":  # its name says no more than its tag
+                        words = [w for w in words if w != "form"]
+                    if words and all(w in BAD_NAMES for w in words):
+                        bad, sticky = True, sticky or any(w in STICKY_NAMES for w in words)
+                    elif any(w in BAD_NAMES for w in words):
+                        part = True
+                    elif words and all(w in GOOD_NAMES for w in words):
+                        good = True
+                    else:
+                        some |= any(w in GOOD_NAMES for w in words)
             elif name == "role":
-                names.update({"nav"} if v.lower() in BAD_ROLES else {"main"} if v.lower() in ("main", "article") else ())
-            elif name == "hidden" or name == "aria-hidden" and v.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", v):
+                bad |= v.lower() in BAD_ROLES
+                good |= v.lower() in ("main", "article")
+            elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", v):
                 hidden = True
-        if tag == "form":  # its name says no more than its tag
-            names.discard("form")
-        if names & BAD_NAMES and not (tag in ARTICLE and names & GOOD_NAMES):
-            sign = -2 if names & STICKY_NAMES else -1
-        elif names & GOOD_NAMES:
-            sign = 1
-    return sign or -(tag == "form"), hidden
+    if bad and not (tag in ARTICLE and (good or some)):
+        return STICKY if sticky else WHOLE, hidden
+    if tag in ARTICLE:
+        return MIXED if bad or part else GOOD, hidden
+    kind = GOOD if good else PART if part else GOOD if some else FORM if tag == "form" else None
+    return kind, hidden
+
+
+class Node:
+    """A signed element: what it holds, and what it means in the end."""
+
+    __slots__ = ("up", "kind", "tag", "size", "articles", "best", "sign", "chrome")
+
+    def __init__(self, up, kind, tag):
+        self.up, self.kind, self.tag = up, kind, tag
+        self.size = self.articles = self.best = 0
+
+
+def _settle(nodes: list[Node], blocks: list[Block]) -> None:
+    """Sign and chrome of every node and block (nodes come before those inside them).
+
+    ``best`` is the size of the largest article (by tag, without a listed word in its name) inside.  A whole name is taken back
+    where that is the page's largest article and half of its text, or where nearly all text lies inside and no article
+    outside; a part of a name where it is the page's largest article and a good part of its text, or half of
+    the text lies inside and no article outside; a form where half of the text lies inside.  A good name inside a part that
+    stays one counts only where it holds the page's largest article or half of its text.
+    """
+    below = [False] * len(nodes)  # inside a part by tag
+    for i, n in enumerate(nodes):
+        below[i] = n.kind == TAGGED or n.up >= 0 and below[n.up]
+    total = 0
+    for b in blocks:
+        if b.node < 0 or not below[b.node]:
+            total += len(b.text)
+            if b.node >= 0:
+                nodes[b.node].size += len(b.text)
+    every = largest = 0
+    for i in range(len(nodes) - 1, -1, -1):
+        n = nodes[i]
+        if n.kind == GOOD and n.tag in ARTICLE and not below[i]:
+            n.best = max(n.best, n.size)
+            n.articles += n.size >= ARTICLE_CHARS
+            largest, every = max(largest, n.size), every + (n.size >= ARTICLE_CHARS)
+        if n.up >= 0:
+            up = nodes[n.up]
+            up.size, up.articles, up.best = up.size + n.size, up.articles + n.articles, max(up.best, n.best)
+    for n in nodes:
+        sign, chrome = (nodes[n.up].sign, nodes[n.up].chrome) if n.up >= 0 else (0, False)
+        share, alone = 100 * n.size, n.articles == every
+        holds = 0 < n.best == largest
+        least = HALF if n.kind in (STICKY, WHOLE) else SOME
+        void = holds and 100 * largest >= least * total or alone and share >= (MOST if n.kind in (STICKY, WHOLE) else HALF) * total
+        if n.kind == FORM:
+            void = share >= HALF * total
+        if n.kind == TAGGED or n.kind == STICKY and not void:
+            sign, chrome = -1, True
+        elif n.kind == GOOD or n.kind == MIXED and void:
+            # inside another part only the page's article or half of the text is content, no teaser
+            sign = 1 if sign >= 0 or holds or share >= HALF * total else sign
+        elif n.kind == PART and not void:
+            sign = PART_SIGN
+        elif n.kind in (WHOLE, FORM) and not void:
+            sign = -1
+        n.sign, n.chrome = sign, chrome
+    for b in blocks:
+        at = b.node
+        if at >= 0 and nodes[at].tag == "header" and b.tag in HEADINGS and nodes[at].up >= 0 and nodes[nodes[at].up].sign > 0:
+            at = nodes[at].up  # the heading in an article's own header
+        b.sign, b.chrome = (nodes[at].sign, nodes[at].chrome) if at >= 0 else (0, False)
 
 
 class Block:
-    __slots__ = ("text", "link", "path", "sign", "chrome", "tag", "form")
+    __slots__ = ("text", "link", "path", "tag", "node", "sign", "chrome")
 
-    def __init__(self, text, link, path, sign, chrome, tag, form):
-        self.text, self.link, self.path, self.sign, self.chrome, self.tag, self.form = text, link, path, sign, chrome, tag, form
+    def __init__(self, text, link, path, tag, node):
+        self.text, self.link, self.path, self.tag, self.node = text, link, path, tag, node
 
 
 def blocks(page: str) -> list[Block]:
     """The shown text blocks of a page in order, white space folded, character references decoded."""
     out: list[Block] = []
-    stack: list[tuple] = []  # (tag, number, sign, chrome, hidden, form: its number and the sign around it, where the sign is the form's)
+    nodes: list[Node] = []
+    stack: list[tuple] = []  # (tag, number, innermost node, hidden)
     text: list[str] = []
     linked = number = 0
     links = 0
@@ -94,9 +179,8 @@ def blocks(page: str) -> list[Block]:
         if text:
             whole = _SPACE.sub(" ", "".join(text)).strip()
             if whole:
-                sign, chrome, form = (stack[-1][2], stack[-1][3], stack[-1][5]) if stack else (0, False, None)
                 tag = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-                out.append(Block(whole, min(1.0, linked / len(whole)), tuple(s[1] for s in stack if s[0] in BLOCKS), sign, chrome, tag, form))
+                out.append(Block(whole, min(1.0, linked / len(whole)), tuple(s[1] for s in stack if s[0] in BLOCKS), tag, stack[-1][2] if stack else -1))
             text.clear()
         linked = 0
 
@@ -107,7 +191,7 @@ def blocks(page: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw and not (stack and stack[-1][4]):
+        if raw and not (stack and stack[-1][3]):
             if "&" in raw:
                 raw = _html.unescape(raw)
             text.append(raw)
@@ -149,23 +233,17 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         attrs = m["attrs"] or m["attrs2"]
-        sign, hidden = _signs(tag, attrs)
+        kind, hidden = _kind(tag, attrs)
         number += 1
-        up = stack[-1] if stack else ("", 0, 0, False, False, None)
-        form = up[5] if not sign else (number, up[2]) if tag == "form" and sign == -1 else None
-        stack.append((tag, number, (-1 if sign < 0 else sign) if sign else up[2], up[3] or sign == -2, up[4] or hidden or tag in HIDDEN, form))
+        _, _, node, covered = stack[-1] if stack else ("", 0, -1, False)
+        if kind is not None:
+            nodes.append(Node(node, kind, tag))
+            node = len(nodes) - 1
+        stack.append((tag, number, node, covered or hidden or tag in HIDDEN))
         links += tag == "a"
     add(page[at:])
     close()
-    if any(b.form for b in out):
-        size: dict[int, int] = {}
-        for b in out:
-            if b.form and not b.chrome:
-                size[b.form[0]] = size.get(b.form[0], 0) + len(b.text)
-        whole = sum(len(b.text) for b in out if not b.chrome)
-        for b in out:
-            if b.form and 2 * size.get(b.form[0], 0) >= whole:
-                b.sign = b.form[1]
+    _settle(nodes, out)
     return out
 
 
