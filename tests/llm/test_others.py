@@ -25,6 +25,26 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_repeated_ids_lengths_and_clashing_columns(spark, tmp_path):
+    """Operator and SQL agree where rows repeat ids or differ in length; own rows alone are left out."""
+    import duckdb
+
+    rng = random.Random(4)
+    rows = [(rng.randrange(0, 60), [rng.choice([-0.5, 0.25, 1.0]) for _ in range(rng.choice([3, 3, 3, 5]))]) for _ in range(200)]
+    rows += [(0, [1.0, 1.0]), (7, [0.5, 0.5]), (7, [3.0, 3.0]), (8, [2.0, 2.0]), (20, [1e6] * 3), (21, [1e6] * 3), (None, [1.0, 1.0]), (40, None), (40, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    path = str(tmp_path / "embeddings.parquet")
+    df.toPandas().to_parquet(path)
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select cast(vec_id as bigint) as vec_id, embedding from read_parquet('{path}')")
+    want = con.execute(queries.SQL["op1_exact_top_k"].replace("vec_id % 20", "vec_id % 20")).fetchall()
+    for name in ("id", "rid", "v", "shard", "data", "kth", "part", "dim"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=20).collect()]
+    assert sorted(got) == sorted(want)
+    assert (0, 1, 7, 24576) in got
+
+
 def test_shards(spark, odd, empty, monkeypatch):
     monkeypatch.setattr(sharding, "BLOCK_GROUPS", 20)
     monkeypatch.setattr(sharding, "BLOCK_PARTS", 3)

@@ -107,13 +107,13 @@ QUERIES = {f.__name__: f for f in (
 SQL = {
     "op1_exact_top_k": """
         with v as (
-            select vec_id, [floor(64 * x::double) for x in embedding] as e from embeddings
+            select row_number() over () as rid, vec_id, [floor(64 * x::double) for x in embedding] as e from embeddings
             where vec_id is not null and embedding is not null and len(embedding) > 0
               and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
         s as (
-            select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
-            from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
-        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+            select q.rid as q, q.vec_id as query_id, c.rid, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+            from v q join v c on c.rid <> q.rid and len(c.e) = len(q.e) where q.vec_id % 20 = 0),
+        r as (select *, row_number() over (partition by q order by score desc, vec_id, rid) as rank from s)
         select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20""",
     "op11_importance_resampling": r"""
         with crc as (
