@@ -219,3 +219,18 @@ def test_a_cycle_is_an_error(spark):
     for f in (rc.closure, rc.node_order):
         with pytest.raises(ValueError, match="cycle"):
             f(edges)
+
+
+def test_siblings_follow_their_ordinal(spark):
+    edges = spark.createDataFrame([("r", "b", 1), ("r", "a", 2), ("r", "z", 0), ("b", "y", 1), ("b", "x", 0), ("a", "q", 0), ("y", "y2", 0), ("x", "x2", 0)],
+                                  "parent string, child string, ordinal int")
+    order = [r.node for r in rc.node_order(edges).orderBy("node_order").collect()]
+    assert order == ["r", "b", "x", "y", "a", "q", "x2", "y2", "z"]
+
+
+def test_covariance_of_siblings_only(spark, tree_edges):
+    res = _residuals(spark)
+    every = {(r.node_i, r.node_j): r.cov for r in rc.residual_covariance(res).collect()}
+    some = {(r.node_i, r.node_j): r.cov for r in rc.residual_covariance(res, pairs=rc.sibling_pairs(tree_edges)).collect()}
+    assert some.keys() == {(n, n) for n in ("total", "region_A", "region_B", "store_1", "store_2", "store_3")} | {("region_A", "region_B"), ("store_1", "store_2")}
+    assert all(some[k] == pytest.approx(every[k]) for k in some)

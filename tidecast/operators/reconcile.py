@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, discard, written
+from . import windows
 
 METHODS = ("bottom_up", "top_down", "mint")
 COV_METHODS = ("ols", "shrink", "sample", "diag")
@@ -64,12 +65,14 @@ def _descend(edges: DataFrame, paths: bool = False) -> DataFrame:
     """``(ancestor, node)``: every node below every parent, at any depth.
 
     Known pairs are joined with themselves until nothing changes, which doubles the depth
-    reached by each round.  ``paths`` adds the first path below the ancestor and the least
-    depth.  A cycle is an error.
+    reached by each round.  ``paths`` adds the first path below the ancestor (siblings by ``ordinal``, where the
+    edges have one, then by name) and the least depth.  A cycle is an error.
     """
     now = edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("node")).distinct()
     if paths:
-        now = now.withColumn("path", F.array("node")).withColumn("depth", F.lit(1))
+        place = F.col("ordinal").cast("long") if "ordinal" in edges.columns else F.lit(0).cast("long")
+        now = edges.groupBy(F.col("parent").alias("ancestor"), F.col("child").alias("node")).agg(
+            F.min(F.array(F.struct(place.alias("ordinal"), F.col("child").alias("node")))).alias("path")).withColumn("depth", F.lit(1))
     mark = None
     while True:
         now = materialise(now)
@@ -106,22 +109,25 @@ def summing_matrix(edges: DataFrame) -> DataFrame:
 
 
 def node_order(edges: DataFrame) -> DataFrame:
-    """``(node, node_order, is_leaf, depth)``: parents in depth-first pre-order
-    (roots and siblings alphabetical), then leaves alphabetically."""
+    """``(node, node_order, is_leaf, depth)``: parents in depth-first pre-order, then leaves alphabetically.
+
+    Roots are alphabetical; siblings follow the ``ordinal`` of their edge where ``edges`` has that column, else their names.
+    A node below several parents stands at its first path.  The numbering is by range partitions of the paths.
+    """
+    own = F.struct(F.lit(0).cast("long").alias("ordinal"), F.col("node").alias("node"))
     top = roots(edges)
     below = (_descend(edges, paths=True).join(top.select(F.col("node").alias("ancestor")), "ancestor")
-             .select("node", F.concat(F.array("ancestor"), "path").alias("path"), "depth"))
-    start = top.select("node", F.array("node").alias("path"), F.lit(0).alias("depth"))
+             .select("node", F.concat(F.array(F.struct(F.lit(0).cast("long").alias("ordinal"), F.col("ancestor").alias("node"))), "path").alias("path"), "depth"))
+    start = top.select("node", F.array(own).alias("path"), F.lit(0).alias("depth"))
     paths = start.unionByName(below).groupBy("node").agg(F.min("path").alias("path"),
                                                          F.min("depth").alias("depth"))
     lv = leaves(edges).withColumn("is_leaf", F.lit(True))
     p = (paths.join(lv, "node", "left")
               .withColumn("is_leaf", F.coalesce("is_leaf", F.lit(False))))
-    # parents by path, leaves by name; the order table is hierarchy-sized
-    key = F.when(F.col("is_leaf"), F.array(F.col("node"))).otherwise(F.col("path"))
-    w = Window.orderBy(F.col("is_leaf"), key)
-    return p.select("node", F.row_number().over(w).alias("node_order"), "is_leaf",
-                    F.col("depth").cast("int").alias("depth"))
+    key = F.when(F.col("is_leaf"), F.array(own)).otherwise(F.col("path"))
+    placed = windows.numbered(p.select("node", "is_leaf", F.col("depth").cast("int").alias("depth"), key.alias("_key")),
+                              [F.col("is_leaf"), F.col("_key")], "node_order")
+    return placed.select("node", "node_order", "is_leaf", "depth")
 
 
 # ---------------------------------------------------------------- helpers
@@ -201,15 +207,29 @@ def dense_residuals(nodes: DataFrame, residuals: DataFrame) -> DataFrame:
                 .select("node", "t", F.coalesce("residual", F.lit(0.0)).alias("residual")))
 
 
-def residual_covariance(residuals: DataFrame, exact_scale: int | None = None) -> DataFrame:
-    """Sample covariance ``(node_i, node_j, cov)`` of residual vectors (self-join on t).
+def sibling_pairs(edges: DataFrame) -> DataFrame:
+    """``(node_i, node_j)``: nodes of one parent, each pair once and every node with itself."""
+    e = edges.select("parent", "child").distinct()
+    pairs = e.withColumnRenamed("child", "node_i").join(e.withColumnRenamed("child", "node_j"), "parent").where("node_i <= node_j")
+    own = _all_nodes(edges).select(F.col("node").alias("node_i"), F.col("node").alias("node_j"))
+    return pairs.select("node_i", "node_j").unionByName(own).distinct()
+
+
+def _all_nodes(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("parent").alias("node")).unionByName(edges.select(F.col("child").alias("node"))).distinct()
+
+
+def residual_covariance(residuals: DataFrame, exact_scale: int | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """Sample covariance ``(node_i, node_j, cov)`` of residual vectors.
 
+    ``pairs (node_i, node_j)`` names the pairs that are wanted, e.g. :func:`sibling_pairs`: only their rows are joined.  Without
+    it all pairs are returned (a self-join on t, as large as the square of the nodes).
     ``exact_scale``: residuals carry that many decimals; moments are exact
     DECIMAL sums so the result does not depend on evaluation order.
     """
     a = residuals.select(F.col("node").alias("node_i"), "t", F.col("residual").alias("x"))
     b = residuals.select(F.col("node").alias("node_j"), "t", F.col("residual").alias("y"))
-    j = a.join(b, "t")
+    j = a.join(b, "t") if pairs is None else pairs.join(a, "node_i").join(b, ["node_j", "t"])
     if exact_scale is None:
         return j.groupBy("node_i", "node_j").agg(F.covar_samp("x", "y").alias("cov"))
     dec = f"decimal(18,{exact_scale})"

@@ -52,6 +52,15 @@ def ordered_scan(df: DataFrame, order: list[Column]) -> DataFrame:
     return out.withColumn(_PART, F.shiftright(_AT, 33)).withColumn(_AT, F.col(_AT).bitwiseAND(F.lit((1 << 33) - 1)))
 
 
+def numbered(df: DataFrame, order: list[Column], col: str) -> DataFrame:
+    """``df`` with the 1-based place ``col`` of each row in ``order``; offsets come from one count a partition."""
+    rows = ordered_scan(df, order)
+    parts = rows.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(_PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return rows.join(offsets, _PART).select(*df.columns, (F.col("_off") + F.col(_AT) + 1).cast("long").alias(col))
+
+
 def with_position(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, *, scan: bool = True,
                   with_count: bool = False, pos_col: str = POS,
                   count_col: str = N_ROWS, tie_break: list[str] | None = None, over_all: bool = False) -> DataFrame:

@@ -85,6 +85,28 @@ def q_hierarchy_order(spark, d):
     return o.withColumn("node_order", F.col("node_order").cast("int"))
 
 
+@register("hierarchy_order_given", sql=_with(ov.GEO_EDGES, """
+o AS (SELECT parent, child, CASE WHEN parent = 'total' THEN r_regionkey ELSE n_nationkey END AS ordinal
+      FROM geo_edges LEFT JOIN region ON r_name = child LEFT JOIN nation ON n_name = child AND parent <> 'total'),
+walk(node, path, depth) AS (
+  SELECT r.parent, [{'ordinal': CAST(0 AS BIGINT), 'node': r.parent}], 0 FROM (SELECT DISTINCT parent FROM o) r WHERE r.parent NOT IN (SELECT child FROM o)
+  UNION ALL
+  SELECT x.child, list_concat(w.path, [{'ordinal': CAST(-x.ordinal AS BIGINT), 'node': x.child}]), w.depth + 1
+  FROM walk w JOIN o x ON w.node = x.parent WHERE w.depth < 64),
+lv AS (SELECT DISTINCT child AS node FROM geo_edges WHERE child NOT IN (SELECT parent FROM geo_edges))""") + """
+SELECT node, CAST(row_number() OVER (ORDER BY is_leaf, CASE WHEN is_leaf THEN [{'ordinal': CAST(0 AS BIGINT), 'node': node}] ELSE path END) AS INTEGER) AS node_order,
+       is_leaf, CAST(depth AS INTEGER) AS depth
+FROM (SELECT walk.*, lv.node IS NOT NULL AS is_leaf FROM walk LEFT JOIN lv ON lv.node = walk.node)""")
+def q_hierarchy_order_given(spark, d):
+    """Siblings in the given order: regions and nations by descending key."""
+    e = tables.geo_edges(spark, d)
+    keys = tables.table(spark, d, "region").select(F.col("r_name").alias("child"), F.lit("total").alias("parent"), (-F.col("r_regionkey")).alias("ordinal")).unionByName(
+        tables.table(spark, d, "nation").join(tables.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+            F.col("n_name").alias("child"), F.col("r_name").alias("parent"), (-F.col("n_nationkey")).alias("ordinal")))
+    o = rc.node_order(e.join(keys, ["parent", "child"]))
+    return o.withColumn("node_order", F.col("node_order").cast("int"))
+
+
 # ---------------------------------------------------------------- reconciliation
 
 @register("bottom_up", sql=_with(*BASE) + ",\n" + _bf(False) + ",\n" + HZ + """,
@@ -143,6 +165,21 @@ def q_residual_covariance(spark, d):
     return c.select("node_i", "node_j", r4("cov").alias("cov"))
 
 
+@register("residual_covariance_siblings", sql=_with(ov.GEO_EDGES, ov.LEVELS, ov.BASE_RESIDUALS, recursive=False) + """,
+pairs AS (SELECT a.child AS node_i, b.child AS node_j FROM geo_edges a JOIN geo_edges b ON a.parent = b.parent AND a.child <= b.child
+          UNION SELECT parent, parent FROM geo_edges),
+x AS (SELECT p.node_i, p.node_j, CAST(a.residual AS DECIMAL(38,2)) AS x, CAST(b.residual AS DECIMAL(38,2)) AS y
+      FROM pairs p JOIN base_residuals a ON a.node = p.node_i JOIN base_residuals b ON b.node = p.node_j AND a.t = b.t),
+m AS (SELECT node_i, node_j, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy FROM x GROUP BY 1, 2)
+SELECT node_i, node_j, """ + sql_round(
+    "CASE WHEN n > 1 THEN CAST(n * sxy - sx * sy AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) END") + """ AS cov
+FROM m""")
+def q_residual_covariance_siblings(spark, d):
+    pairs = rc.sibling_pairs(tables.geo_edges(spark, d))
+    c = rc.residual_covariance(tables.base_residuals(spark, d), exact_scale=2, pairs=pairs)
+    return c.select("node_i", "node_j", r4("cov").alias("cov"))
+
+
 def _two_level_sql(weights: str) -> str:
     if weights == "ols":
         w = "w AS (SELECT node, 1.0 AS w FROM nodes)"
