@@ -1,7 +1,8 @@
 """Time-grid operators: infer frequency, regularise with forward fill, future spine.
 
-Frequencies use pandas-style codes.  A step is either a number of months
-(``MS``, ``M``, ``QS``, ``Q``, ``AS``) or a fixed number of seconds (``H``, ``D``…).
+Frequencies use pandas-style codes.  A step is a number of months (``MS``, ``M``, ``QS``, ``Q``, ``AS``), of
+business days (``B``) or a fixed number of seconds (``H``, ``D``…).  Weeks may be anchored at a weekday (``W-MON``),
+quarters and years at a month (``QS-FEB``, ``A-JUN``).
 """
 
 from __future__ import annotations
@@ -20,52 +21,91 @@ from . import windows
 MONTH_CODES = {"MS": 1, "M": 1, "QS": 3, "Q": 3, "AS": 12, "A": 12}
 SECOND_CODES = {"S": 1, "T": 60, "H": 3600, "D": 86400, "W": 604800}
 MONTH_END_CODES = {"M", "Q", "A"}
+WEEKDAYS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
+MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 GRID_BLOCK = 4096
+#: Observations from which on a series without weekend rows counts as business-daily where gaps are allowed.
+BUSINESS_ROWS = 20
 
 
-def parse_freq(freq: str) -> tuple[int, int, bool]:
-    """``(months, seconds, month_end)`` of a code such as ``'D'``, ``'2H'``, ``'MS'``."""
-    m = re.fullmatch(r"(\d*)([A-Z]+)", freq.upper())
+def _parts(freq: str) -> tuple[int, str, str | None]:
+    m = re.fullmatch(r"(\d*)([A-Z]+)(?:-([A-Z]{3}))?", freq.upper())
     if not m:
         raise ValueError(f"unknown frequency {freq!r}")
-    k = int(m.group(1) or 1)
-    code = m.group(2)
+    code, anchor = m[2], m[3]
+    if anchor and anchor not in (WEEKDAYS if code == "W" else MONTHS if MONTH_CODES.get(code, 1) > 1 else ()):
+        raise ValueError(f"unknown frequency {freq!r}")
+    return int(m[1] or 1), code, anchor
+
+
+def parse_freq(freq: str) -> tuple[int, int, bool]:
+    """``(months, seconds, month_end)`` of a code such as ``'D'``, ``'2H'``, ``'MS'``; all zero for business days."""
+    k, code, _ = _parts(freq)
     if code in MONTH_CODES:
         return k * MONTH_CODES[code], 0, code in MONTH_END_CODES
     if code in SECOND_CODES:
         return 0, k * SECOND_CODES[code], False
+    if code == "B":
+        return 0, 0, False
     raise ValueError(f"unknown frequency {freq!r}")
 
 
+# Business days are numbered without gaps; a weekend shares its Friday's number.  Day 4 of 1970 was a Monday's day 0.
+def _business_number(ts: Column) -> Column:
+    days = F.unix_date(F.to_date(ts)) + 3
+    return F.floor(days / 7) * 5 + F.least(F.pmod(days, F.lit(7)), F.lit(4))
+
+
+def _business_day(number: Column) -> Column:
+    return F.date_from_unix_date((F.floor(number / 5) * 7 + F.pmod(number, F.lit(5)) - 3).cast("int"))
+
+
+def _time_of_day(ts: Column) -> Column:
+    return ts - F.to_date(ts).cast("timestamp_ntz")
+
+
 def shift(ts: Column, freq: str, steps: Column | int) -> Column:
     """``ts + steps × freq``; the time of day stays.
 
     Month codes lead to month starts (``MS``, ``QS``, ``AS``) or month ends (``M``, ``Q``, ``A``): from a day
     off the anchor, step 1 is the next one for the monthly codes.  Quarter and year codes keep the month of ``ts``.
+    Business days lead from a weekend to the Monday with step 1.
     """
     months, seconds, month_end = parse_freq(freq)
     n = steps if isinstance(steps, Column) else F.lit(steps)
     ts = ts.cast("timestamp_ntz")
     if months:
-        off = _off_anchor(ts, True).cast("int") if month_end else F.lit(0)
+        off = _off_month(ts, True).cast("int") if month_end else F.lit(0)
         day = F.add_months(F.trunc(ts, "month"), (n * months - off).cast("int"))
         if month_end:
             day = F.last_day(day)
-        return (day.cast("timestamp_ntz") + (ts - F.to_date(ts).cast("timestamp_ntz"))).cast("timestamp_ntz")
+        return (day.cast("timestamp_ntz") + _time_of_day(ts)).cast("timestamp_ntz")
+    if not seconds:
+        day = _business_day(_business_number(ts) + n * _parts(freq)[0])
+        return (day.cast("timestamp_ntz") + _time_of_day(ts)).cast("timestamp_ntz")
     return (ts + F.make_dt_interval(secs=(n * seconds).cast("decimal(18,6)"))).cast("timestamp_ntz")
 
 
-def _off_anchor(ts: Column, month_end: bool) -> Column:
+def _off_month(ts: Column, month_end: bool) -> Column:
     return F.to_date(ts) != (F.last_day(ts) if month_end else F.trunc(ts, "month"))
 
 
 def first_step(ts: Column, freq: str) -> Column:
-    """Where a grid from ``ts`` begins: ``ts`` itself, or the next month start or end for month codes."""
-    months, _, month_end = parse_freq(freq)
+    """Where a grid from ``ts`` begins: ``ts`` itself, or the next month start or end, business day or anchor of the code."""
+    months, seconds, month_end = parse_freq(freq)
+    _, code, anchor = _parts(freq)
     ts = ts.cast("timestamp_ntz")
+    if code == "B":
+        return F.when(F.weekday(ts) > 4, shift(ts, "B", 1)).otherwise(ts)
+    if code == "W" and anchor:
+        return (ts + F.make_dt_interval(days=F.pmod(F.lit(WEEKDAYS.index(anchor)) - F.weekday(ts), F.lit(7)).cast("int"))).cast("timestamp_ntz")
     if not months:
         return ts
-    return F.when(_off_anchor(ts, month_end), shift(ts, "M" if month_end else "MS", 1)).otherwise(ts)
+    first = F.when(_off_month(ts, month_end), shift(ts, "M" if month_end else "MS", 1)).otherwise(ts)
+    if anchor:
+        cycle = MONTH_CODES[code]
+        first = shift(first, "M" if month_end else "MS", F.pmod(F.lit(MONTHS.index(anchor) + 1) - F.month(first), F.lit(cycle)))
+    return first
 
 
 def step_at_or_after(lo: Column, ts: Column, freq: str) -> Column:
@@ -75,6 +115,9 @@ def step_at_or_after(lo: Column, ts: Column, freq: str) -> Column:
         apart = 12 * (F.year(ts) - F.year(lo)) + F.month(ts) - F.month(lo)
         k = F.floor(apart / months).cast("long")
         return F.when(shift(lo, freq, k) < ts, k + 1).otherwise(k)
+    if not seconds:
+        k = F.floor((_business_number(ts) - _business_number(lo)) / _parts(freq)[0]).cast("long")
+        return F.when(shift(lo, freq, k) < ts, k + 1).otherwise(k)
     apart, width = F.timestamp_diff("MICROSECOND", lo, ts), F.lit(seconds * 1_000_000)
     over = F.pmod(apart, width)
     return ((apart - over) / width).cast("long") + (over > 0).cast("long")
@@ -86,9 +129,10 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
     """Frequency code per series: ``(series_id, freq, seasonal_period, n_obs)``.
 
     ``strict`` (the reference's rule): a code only when every gap is the same
-    (or every step is one calendar month/quarter/year on an anchored day);
+    (or every step is one calendar month/quarter/year on an anchored day, or one business day: ``'B'``);
     fewer than 3 observations or an irregular index → ``'D'``.
-    Non-strict: the most frequent gap decides.
+    Non-strict: the most frequent gap decides; month starts or ends the least number of months between two of them, and
+    days of which none is on a weekend (``BUSINESS_ROWS`` of them at least) are business days.
     """
     s, t = cols.series, cols.ts
     prev = windows.halo_window(df.select(s, t, cols.value),
@@ -96,6 +140,7 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
     g = prev.select(
         s, t,
         F.timestamp_diff("SECOND", F.col("_prev"), F.col(t)).alias("_gap"),
+        (F.weekday(t) > 4).alias("_weekend"), (shift(F.col("_prev"), "B", 1) == F.col(t)).alias("_business"),
         (F.months_between(F.col(t), F.col("_prev"))).alias("_mdiff"),
         ((F.dayofmonth(t) == 1) & (F.to_date(t).cast("timestamp_ntz") == F.col(t))).alias("_ms"),
         ((F.to_date(t) == F.last_day(t)) & (F.to_date(t).cast("timestamp_ntz") == F.col(t))).alias("_me"))
@@ -103,7 +148,8 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
         F.count(F.lit(1)).alias("n_obs"),
         F.min("_gap").alias("_gmin"), F.max("_gap").alias("_gmax"),
         F.min("_mdiff").alias("_mmin"), F.max("_mdiff").alias("_mmax"),
-        F.bool_and("_ms").alias("_all_ms"), F.bool_and("_me").alias("_all_me"))
+        F.bool_and("_ms").alias("_all_ms"), F.bool_and("_me").alias("_all_me"),
+        F.bool_or("_weekend").alias("_any_weekend"), F.bool_and("_business").alias("_all_business"))
     if not strict:
         # most frequent gap in two partial aggregations (count per gap, then the max):
         # no per-series map of all distinct gaps is ever built
@@ -114,7 +160,9 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
         agg = agg.join(mode, s, "left")
     gap = F.col("_gmin") if strict else F.col("_gmode")
     regular = (F.col("_gmin") == F.col("_gmax")) if strict else F.lit(True)
-    month_reg = (F.col("_mmin") == F.col("_mmax"))
+    month_reg = (F.col("_mmin") == F.col("_mmax")) if strict else F.lit(True)
+    business = ~F.col("_any_weekend") & ((F.col("_all_business") & (F.col("_gmin") < F.col("_gmax"))) if strict else (
+        (gap == 86400) & (F.col("n_obs") >= BUSINESS_ROWS)))
 
     def seconds_code(x: Column) -> Column:
         return (F.when(x % 604800 == 0, F.when(x == 604800, "W").otherwise(F.concat((x / 604800).cast("long").cast("string"), F.lit("W"))))
@@ -129,6 +177,7 @@ def infer_frequency(df: DataFrame, cols: SeriesCols = DEFAULT_COLS, strict: bool
     anchored = (F.col("_all_ms") | F.col("_all_me")) & month_reg & F.col("_mmin").isin(1.0, 3.0, 12.0)
     freq = (F.when(F.col("n_obs") < 3, F.lit("D"))
              .when(anchored, month_code)
+             .when(business, F.lit("B"))
              .when(regular & (gap > 0), seconds_code(gap))
              .otherwise(F.lit("D")))
     return agg.select(s, freq.alias("freq"), seasonal_period(freq).alias("seasonal_period"),
@@ -201,7 +250,7 @@ def future_spine(df: DataFrame, horizon: int, freq: str | None = None,
     f = steps.join(freq_df.select(s, "freq"), s, "left")
     code = F.coalesce(F.col("freq"), F.lit("D"))
     expr = None
-    for c in ("MS", "M", "QS", "Q", "AS", "A", "W", "D", "H", "T", "S"):
+    for c in ("MS", "M", "QS", "Q", "AS", "A", "W", "B", "D", "H", "T", "S"):
         e = shift(F.col("_last"), c, F.col("step"))
         expr = F.when(code == c, e) if expr is None else expr.when(code == c, e)
     # multiples such as "2D": number × base step in seconds

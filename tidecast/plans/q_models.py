@@ -66,6 +66,49 @@ SELECT f.series_id, CAST(k.range AS INTEGER) AS step,
 FROM fin f JOIN lt USING (series_id), range(1, {HORIZON + 1}) k"""
 
 
+def _calendar_sql(view: str, freq: str, season: int, unit: str, start: str) -> str:
+    """Holt-Winters with fixed parameters of all series of a view on the grid of ``unit`` (for series of one season at least)."""
+    A, B, G = (sql_double(x) for x in HW_FIXED)
+    nl = f"({A} * (p.value - h.s[1]) + (1 - {A}) * (h.l + h.b))"
+    v = view
+    return f"""
+{v}_b AS (SELECT series_id, {start} AS lo, max("timestamp") AS hi FROM {v} GROUP BY 1),
+{v}_g AS (SELECT series_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 {unit})) AS TIMESTAMP) AS "timestamp" FROM {v}_b),
+{v}_r AS (SELECT g.series_id, g."timestamp", last_value(m.value IGNORE NULLS) OVER (PARTITION BY g.series_id ORDER BY g."timestamp"
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+          FROM {v}_g g LEFT JOIN {v} m ON m.series_id = g.series_id AND m."timestamp" = g."timestamp"),
+{v}_p AS (SELECT series_id, value, row_number() OVER (PARTITION BY series_id ORDER BY "timestamp") AS pos,
+             max("timestamp") OVER (PARTITION BY series_id) AS last_ts FROM {v}_r),
+{v}_i AS (SELECT series_id, avg(value) AS l0, list(value ORDER BY pos) AS ys FROM {v}_p WHERE pos <= {season} GROUP BY series_id),
+{v}_h(series_id, t, l, b, s) AS (
+  SELECT series_id, {season}, l0, CAST(0.0 AS DOUBLE), [x - l0 for x in ys] FROM {v}_i
+  UNION ALL
+  SELECT h.series_id, h.t + 1, {nl}, {B} * ({nl} - h.l) + (1 - {B}) * h.b,
+         list_append(h.s[2:], {G} * (p.value - h.l - h.b) + (1 - {G}) * h.s[1])
+  FROM {v}_h h JOIN {v}_p p ON p.series_id = h.series_id AND p.pos = h.t + 1),
+{v}_f AS (SELECT h.*, x.last_ts FROM {v}_h h JOIN (SELECT series_id, max(pos) AS n, max(last_ts) AS last_ts FROM {v}_p GROUP BY 1) x
+          ON x.series_id = h.series_id AND x.n = h.t),
+{v}_o AS (SELECT f.series_id, '{freq}' AS freq, CAST(k.range AS INTEGER) AS step,
+                 CAST(f.last_ts + to_{unit.lower()}s(CAST(k.range AS INTEGER)) AS TIMESTAMP) AS "timestamp",
+                 round(f.l + k.range * f.b + f.s[((k.range - 1) % {season}) + 1], 2) + 0.0 AS forecast
+          FROM {v}_f f, range(1, {HORIZON + 1}) k)"""
+
+
+_FIRST = 'min("timestamp")'
+
+
+@register("hw_by_frequency", sql=ov.with_views(ov.DAILY_ORDERS, ov.MONTHLY_NATION, ov.HOURLY_EVENTS).replace("WITH ", "WITH RECURSIVE ", 1) + "," + ",".join([
+    _calendar_sql("daily_orders", "D", 7, "DAY", _FIRST), _calendar_sql("monthly_nation", "MS", 12, "MONTH", _FIRST),
+    _calendar_sql("hourly_events", "H", 24, "HOUR", _FIRST)]) + """
+SELECT * FROM daily_orders_o UNION ALL SELECT * FROM monthly_nation_o UNION ALL SELECT * FROM hourly_events_o""")
+def q_hw_by_frequency(spark, d):
+    """Daily, monthly and hourly series in one call; the frequencies and seasons are inferred."""
+    from ..operators import seasonal
+    every = tables.daily_orders(spark, d).unionByName(tables.monthly_nation(spark, d)).unionByName(tables.hourly_events(spark, d))
+    fc = seasonal.holt_winters(every, HORIZON, params=hw.fixed(*HW_FIXED))
+    return fc.select("series_id", "freq", F.col("step").cast("int").alias("step"), "timestamp", r4("forecast", 2).alias("forecast"))
+
+
 def _regular_daily(spark, d):
     return grid.regularise(tables.daily_orders(spark, d), "D", with_position=True).drop("filled")
 
