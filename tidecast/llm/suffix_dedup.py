@@ -356,5 +356,6 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     rows = df.withColumn("_th", th)
     joined = rows.join(spans.select(F.col("doc").alias("_doc"), F.col("th").alias("_sth"), "_spans"),
                        F.col(id_col).eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_sth")), "left")
-    cut = joined.withColumn("_kept", kept(F.col(text_col), F.col("_spans")))
+    # else the filter below would run it a second time
+    cut = joined.withColumn("_kept", kept.asNondeterministic()(F.col(text_col), F.col("_spans")))
     return cut.where(F.col("_spans").isNull() | (F.col("_kept") != "")).withColumn(text_col, F.col("_kept")).select(*df.columns)
