@@ -97,3 +97,60 @@ def test_reopened_store_keeps_its_bucket_count(spark):
     assert [again.query_series(str(i)).count() for i in range(8)] == [10] * 8
     with pytest.raises(ValueError, match="16 buckets"):
         SeriesStore(spark, root, n_buckets=64)
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "s string, t string, v double").selectExpr("s", "cast(t as timestamp_ntz) as t", "v")
+
+
+def test_a_compacted_store_is_read_without_aggregation(spark):
+    store = SeriesStore(spark, scratch_path(spark, "t-store"), n_buckets=4)
+    assert store.read().count() == 0 and store.compact().read().count() == 0
+    store.append(_frame(spark, [("a", "2024-01-01", 1.0), ("b", "2024-01-01", 2.0)]), **COLS)
+    store.append(_frame(spark, [("a", "2024-01-01", 3.0)]), **COLS)
+    assert "Aggregate" in store.query_series("a")._jdf.queryExecution().executedPlan().toString()
+    store.compact()
+    plan = store.query_series("a")._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan and "PartitionFilters" in plan
+    assert store.raw().count() == 2
+    store.append(_frame(spark, [("b", "2024-01-01", 9.0), ("c", "2024-01-01", 4.0)]), **COLS)
+    want = {"a": 3.0, "b": 9.0, "c": 4.0}
+    assert {r.series_id: r.value for r in store.read().collect()} == want
+    assert {r.series_id: r.n_rows for r in store.row_count().collect()} == dict.fromkeys("abc", 1)
+    assert {r.series_id for r in store.list_series().collect()} == set("abc")
+    store.compact()
+    assert store.vacuum() == 4 and {r.series_id: r.value for r in store.read().collect()} == want
+    assert {r.series_id: r.value for r in SeriesStore(spark, store.root).read().collect()} == want
+
+
+def test_order_comes_from_the_log_and_not_from_clocks(spark, monkeypatch):
+    import time
+
+    root = scratch_path(spark, "t-store")
+    early, late = SeriesStore(spark, root, n_buckets=2), SeriesStore(spark, root)
+    early.append(_frame(spark, [("a", "2024-01-01", 1.0)]), **COLS)
+    monkeypatch.setattr(time, "time", lambda: 0.0)  # a writer whose clock lags
+    late.append(_frame(spark, [("a", "2024-01-01", 2.0)]), **COLS)
+    assert [r.value for r in early.read().collect()] == [2.0]
+    numbers = [s.claim() for s in (early, late, early)]
+    assert numbers == sorted(set(numbers))
+
+
+def test_a_write_that_was_lost_is_not_read_and_its_number_can_be_written_again(spark):
+    store = SeriesStore(spark, scratch_path(spark, "t-store"), n_buckets=2)
+    store.append(_frame(spark, [("a", "2024-01-01", 1.0)]), **COLS)
+    seq = store.claim()
+    half = f"{store.root}/delta/_seq={seq}/bucket=0"
+    _frame(spark, [("a", "2024-01-01", 7.0)]).selectExpr("s as series_id", "t as timestamp", "v as value").write.parquet(half)
+    fs, path = store._fs(f"delta/_seq={seq}/_SUCCESS")
+    assert not fs.exists(path) and [r.value for r in store.read().collect()] == [1.0]
+    for v in (5.0, 6.0):  # a replay replaces
+        store.append(_frame(spark, [("a", "2024-01-01", v)]), seq=seq, **COLS)
+    assert [r.value for r in store.read().collect()] == [6.0] and store.raw().count() == 2
+
+
+def test_a_constant_is_kept_once(spark):
+    store = SeriesStore(spark, scratch_path(spark, "t-store"), n_buckets=2)
+    assert [store.constant("_x", 7), store.constant("_x", 8)] == [7, 7]
+    store._create("_lost", "00")  # ended too early
+    assert store.constant("_lost", 9) == 9 and store.constant("_lost", 1) == 9

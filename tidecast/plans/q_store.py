@@ -67,6 +67,20 @@ def q_upsert_last_wins(spark, d):
     return s.read().select(*CANON)
 
 
+@register("compact_then_upsert", sql=ov.with_views(ov.DAILY_ORDERS) + """
+SELECT series_id, "timestamp", CASE WHEN year("timestamp") = 1997 THEN value * 3 WHEN year("timestamp") = 1998 THEN value * 2 ELSE value END AS value
+FROM daily_orders""")
+def q_compact_then_upsert(spark, d):
+    """Append, update, compact into a base, update again: the base is merged with the newer write only."""
+    base = tables.daily_orders(spark, d)
+    s = _store_with(spark, base)
+    s.upsert(base.where(F.year("timestamp") >= 1997).withColumn("value", F.col("value") * 2))
+    s.compact()
+    s.vacuum()
+    s.upsert(base.where(F.year("timestamp") == 1997).withColumn("value", F.col("value") * 3))
+    return s.read().select(*CANON)
+
+
 @register("stack_series", sql=ov.with_views(ov.DAILY_ORDERS, ov.SHIPMENTS) +
           "SELECT * FROM daily_orders UNION ALL SELECT * FROM shipments")
 def q_stack_series(spark, d):

@@ -1,26 +1,30 @@
 """Observation store on partitioned Parquet (the canonical table D1).
 
-Layout: ``<root>/bucket=<k>/part-*.parquet`` with
-``bucket = pmod(xxhash64(series_id), n_buckets)``.  A series lives in exactly
-one bucket, so a scan for one series prunes every other partition directory
-(the bucket predicate is constant-folded from the literal series id).
-
-Writes are append-only and carry a write sequence ``_seq`` (epoch micros of the
-commit).  Key conflicts ``(series_id, timestamp)`` resolve at read time: last
-write wins (``max_by`` over ``_seq``, ties broken by value: a partial
-aggregation keyed by the full key, so no hot series ever lands in one task).  ``compact`` rewrites a store as
-one version per key.
+Layout below ``<root>``:
+
+* ``delta/_seq=<n>/bucket=<k>/``: one folder for each write, in the order of the store's own commit log;
+* ``base/<n>/bucket=<k>/``: one version of every key, of all writes up to ``n`` (the latest one counts);
+* ``_log/<n>``: the log; a write claims its number by creating the file, which only one writer can;
+* ``_based/<n>``: says that ``base/<n>`` is whole.
+
+``bucket = pmod(xxhash64(series_id), n_buckets)``.  A series lives in exactly one bucket, so a scan for one series
+prunes every other partition directory (the bucket predicate is constant-folded from the literal series id).
+
+Key conflicts ``(series_id, timestamp)`` resolve at read time, last write wins: of the writes since the base the latest
+version of each key is kept (``max_by`` over the sequence, ties broken by value: a partial aggregation keyed by the full
+key, so no hot series ever lands in one task), and the base rows of other keys are added as they are.  Right
+after ``compact`` nothing is aggregated.
 """
 
 from __future__ import annotations
 
-import time
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import METADATA, OBSERVATION_SCHEMA, SERIES, TS, VALUE
+from ..session import discard, written
 
 BUCKET = "bucket"
 SEQ = "_seq"
@@ -88,50 +92,122 @@ class SeriesStore:
         if n_buckets not in (None, self.n_buckets):
             raise ValueError(f"{self.root} has {self.n_buckets} buckets, not {n_buckets}")
 
+    # -------------------------------------------------------------- commit log
+    def _fs(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _numbers(self, folder: str, prefix: str = "", marker: str = "") -> list[int]:
+        """Numbers of the entries of a folder; with ``marker`` only of those that hold such a file."""
+        fs, path = self._fs(folder)
+        if not fs.exists(path):
+            return []
+        names = [x.getPath().getName() for x in fs.listStatus(path)]
+        own = sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+        return [n for n in own if not marker or fs.exists(self._fs(f"{folder}/{prefix}{n}/{marker}")[1])]
+
+    def _create(self, name: str, text: str = "") -> bool:
+        """Create a small file; False if it is there already."""
+        fs, path = self._fs(name)
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError:
+            if not fs.exists(path):
+                raise
+            return False
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def claim(self) -> int:
+        """The next number of the commit log.  Later claims have larger numbers, whatever the writers' clocks say."""
+        n = max([0, *self._numbers("_log"), *self._numbers("_based")]) + 1
+        while not self._create(f"_log/{n}"):
+            n += 1
+        return n
+
     def constant(self, name: str, value: int) -> int:
         """The number kept under ``name`` beside the data; ``value`` is kept where there is none yet."""
-        path = f"{self.root}/{name}"
-        one = self.spark.range(1).select(F.lit(value).cast("long").alias("v")).coalesce(1)
-        one.write.mode("ignore").parquet(path)
-        kept = self.spark.read.schema("v long").parquet(path).first()
-        if kept is None:  # an attempt that was lost before it ended
-            one.write.mode("overwrite").parquet(path)
+        if self._create(name, f"{value:020d}"):
             return value
-        return int(kept[0])
+        fs, path = self._fs(name)
+        file = fs.open(path)
+        try:
+            text = bytes(file.readNBytes(20)).decode()
+        finally:
+            file.close()
+        if len(text) < 20:  # its writer was lost before it ended
+            fs.delete(path, False)
+            return self.constant(name, value)
+        return int(text)
 
     # -------------------------------------------------------------- write
+    def _write(self, rows: DataFrame, path: str) -> int:
+        """Write rows by bucket, series and time, sorted; returns how many.
+
+        A bucket holding a hot series is split over several write tasks.  The rows are written
+        before their ranges are sampled, so what leads to them runs once.
+        """
+        once = written(rows.withColumn(BUCKET, bucket_of(F.col(SERIES), self.n_buckets)), "store")
+        obs = Observation("store_write")
+        (once.repartitionByRange(BUCKET, SERIES, TS).sortWithinPartitions(BUCKET, SERIES, TS)
+             .observe(obs, F.count(F.lit(1)).alias("rows"))
+             .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
+        discard(once)
+        return int(obs.get["rows"])
+
     def append(self, df: DataFrame, series_col: str = SERIES, ts_col: str = TS,
-               value_col: str = VALUE, metadata_col: str | None = None) -> int:
-        """Append rows; returns the number written (counted while writing)."""
+               value_col: str = VALUE, metadata_col: str | None = None, seq: int | None = None) -> int:
+        """Append rows; returns the number written (counted while writing).
+
+        ``seq`` is a number claimed before; writing it again replaces what it wrote.
+        """
         rows = canonicalise(df, series_col, ts_col, value_col, metadata_col)
-        seq = int(time.time() * 1_000_000)
-        obs = Observation("store_append")
-        out = (rows.withColumn(SEQ, F.lit(seq).cast("long"))
-                   .withColumn(BUCKET, bucket_of(F.col(SERIES), self.n_buckets)))
-        # Range-partition on (bucket, series, time) and sort: files are sorted by key and
-        # a bucket holding a hot series is split over several write tasks.  The row
-        # count is observed above the exchange, so the range sampler does not count.
-        (out.repartitionByRange(BUCKET, SERIES, TS).sortWithinPartitions(BUCKET, SERIES, TS)
-            .observe(obs, F.count(F.lit(1)).alias("rows"))
-            .write.mode("append").partitionBy(BUCKET).parquet(self.root))
-        return int(obs.get["rows"])
+        return self._write(rows, f"{self.root}/delta/{SEQ}={self.claim() if seq is None else seq}")
 
     def upsert(self, df: DataFrame, **cols) -> int:
         """Insert-or-replace by ``(series_id, timestamp)``: a later write wins."""
         return self.append(df, **cols)
 
     # -------------------------------------------------------------- read
+    def _base(self) -> int:
+        """Number of the last write in the current base; 0 without a base."""
+        return max([0, *self._numbers("_based")])
+
+    def _of_base(self, n: int) -> DataFrame:
+        schema = T.StructType([*OBSERVATION_SCHEMA.fields, T.StructField(BUCKET, T.IntegerType())])
+        if not n:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/base/{n}")
+
+    def _of_writes(self, numbers: list[int]) -> DataFrame:
+        schema = T.StructType([*OBSERVATION_SCHEMA.fields, T.StructField(SEQ, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+        if not numbers:
+            return self.spark.createDataFrame([], schema)
+        top = f"{self.root}/delta"
+        return self.spark.read.schema(schema).option("basePath", top).parquet(*[f"{top}/{SEQ}={n}" for n in numbers])
+
+    def _newer(self, than: int) -> list[int]:
+        """Finished writes after the base."""
+        return [n for n in self._numbers("delta", f"{SEQ}=", "_SUCCESS") if n > than]
+
     def raw(self) -> DataFrame:
-        schema = T.StructType(OBSERVATION_SCHEMA.fields + [T.StructField(SEQ, T.LongType()),
-                                                          T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.root)
+        """All versions that are kept: the base (``_seq`` is that of its last write) and the writes since."""
+        base = self._base()
+        return self._of_base(base).withColumn(SEQ, F.lit(base).cast("long")).unionByName(self._of_writes(self._newer(base)))
 
     def read(self, where: F.Column | None = None) -> DataFrame:
         """Current version of every key (last write wins), canonical columns."""
-        r = self.raw()
+        number = self._base()
+        newer = self._newer(number)
+        base, writes = self._of_base(number), self._of_writes(newer)
         if where is not None:
-            r = r.where(where)
-        return self._latest(r).drop(SEQ)
+            base, writes = base.where(where), writes.where(where)
+        base = base.select(SERIES, TS, VALUE, F.coalesce(METADATA, _empty_map()).alias(METADATA))
+        if not newer:
+            return base
+        latest = self._latest(writes).drop(SEQ)
+        return latest.unionByName(base.join(latest.select(SERIES, TS), [SERIES, TS], "left_anti")) if number else latest
 
     @staticmethod
     def _latest(raw: DataFrame) -> DataFrame:
@@ -158,18 +234,33 @@ class SeriesStore:
         return self.read(pred).orderBy(TS)
 
     def list_series(self) -> DataFrame:
-        return self.raw().select(SERIES).distinct()
+        base = self._base()
+        return self._of_base(base).select(SERIES).unionByName(self._of_writes(self._newer(base)).select(SERIES)).distinct()
 
     def row_count(self, series_id: str | None = None) -> DataFrame:
         """Rows per series (current versions)."""
         r = self.read(self._series_pred(series_id) if series_id else None)
         return r.groupBy(SERIES).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    def compact(self, target: str) -> "SeriesStore":
-        """Write the current versions, with their write sequence, to the new store ``target`` (one row per key)."""
-        out = SeriesStore(self.spark, target, self.n_buckets)
-        (self._latest(self.raw())
-             .withColumn(BUCKET, bucket_of(F.col(SERIES), self.n_buckets))
-             .repartitionByRange(BUCKET, SERIES, TS).sortWithinPartitions(BUCKET, SERIES, TS)
-             .write.mode("append").partitionBy(BUCKET).parquet(out.root))
+    def compact(self, target: str | None = None) -> "SeriesStore":
+        """Write a new base of the current versions; with ``target`` as the base of a new store there.
+
+        Reads before it ends use the old base.  The writes it holds are no longer read; their files stay until
+        :meth:`vacuum`, for readers that began before.
+        """
+        out = self if target is None else SeriesStore(self.spark, target, self.n_buckets)
+        number = max([self._base(), *self._newer(self._base())])
+        if number and (target is not None or self._newer(self._base())):
+            self._write(self.read(), f"{out.root}/base/{number}")
+            out._create(f"_based/{number}")
         return out
+
+    def vacuum(self) -> int:
+        """Delete the writes and bases that the current base replaces; returns how many folders went."""
+        base = self._base()
+        old = [f"delta/{SEQ}={n}" for n in self._numbers("delta", f"{SEQ}=") if n <= base]
+        old += [f"base/{n}" for n in self._numbers("base") if n < base]
+        for name in old:
+            fs, path = self._fs(name)
+            fs.delete(path, True)
+        return len(old)

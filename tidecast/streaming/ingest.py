@@ -2,20 +2,17 @@
 
 The stream form of the store's bulk append: new files in a source folder are
 read with ``readStream``, canonicalised and appended batch by batch with
-``foreachBatch``.  A micro-batch takes its write sequence from the same clock as the
-store's other writes, and the sequence is recorded per (stream, batch) before the batch is
-written: a batch replayed after a failure rewrites the same keys with the same sequence,
-so last-write-wins resolution is unaffected (idempotent).
+``foreachBatch``.  A micro-batch claims its number in the store's commit log like any other write, and the
+number is recorded per (stream, batch) before the batch is written: a batch replayed after a
+failure replaces its own rows, so every batch counts once.
 Progress lives in a checkpoint below the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import hashlib
-import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_path
@@ -24,13 +21,9 @@ from ..sources import store as st
 
 def _writer(store: st.SeriesStore, stream: str, series_col, ts_col, value_col, metadata_col):
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = st.canonicalise(batch, series_col, ts_col, value_col, metadata_col)
-        seq = store.constant(f"_batches/{stream}/{batch_id}", int(time.time() * 1_000_000))
-        out = (rows.withColumn(st.SEQ, F.lit(seq).cast("long"))
-                   .withColumn(st.BUCKET, st.bucket_of(F.col(st.SERIES), store.n_buckets)))
-        (out.repartitionByRange(st.BUCKET, st.SERIES, st.TS)
-            .sortWithinPartitions(st.BUCKET, st.SERIES, st.TS)
-            .write.mode("append").partitionBy(st.BUCKET).parquet(store.root))
+        name = f"_batches/{stream}/{batch_id}"
+        seq = store.constant(name, store.claim())
+        store.append(batch, series_col, ts_col, value_col, metadata_col, seq=seq)
     return write
 
 
