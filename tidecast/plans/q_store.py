@@ -68,7 +68,7 @@ def q_upsert_last_wins(spark, d):
 
 
 @register("compact_then_upsert", sql=ov.with_views(ov.DAILY_ORDERS) + """
-SELECT series_id, "timestamp", CASE WHEN year("timestamp") = 1997 THEN value * 3 WHEN year("timestamp") = 1998 THEN value * 2 ELSE value END AS value
+SELECT series_id, "timestamp", CASE WHEN year("timestamp") = 1997 THEN value * 3 WHEN year("timestamp") > 1997 THEN value * 2 ELSE value END AS value
 FROM daily_orders""")
 def q_compact_then_upsert(spark, d):
     """Append, update, compact into a base, update again: the base is merged with the newer write only."""
