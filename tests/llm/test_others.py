@@ -176,3 +176,79 @@ def test_pieces():
             best[j] = max([best[i] + model.scores[by_text[word[i:j]]] for i in range(j) if word[i:j] in by_text], default=-np.inf)
         ids = pieces.viterbi(model, [word.encode()])[0]
         assert sum(model.scores[ids]) == pytest.approx(best[-1])
+
+
+def test_language_equals_plain_binding_and_bundling(docs_of):
+    """op7: letters bound by place, trigrams added, prototypes without their mean, largest cosine."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcéñ xyz,1" if i % 3 else "defüß ghi.2") for _ in range(rng.randint(0, 60))) for i in range(90)]
+    docs = docs_of([(i, t) for i, t in enumerate(texts)]).withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "b").otherwise("a"))
+    dim, symbol = 256, language._tables(256)[0]
+    letters = [np.asarray(x, dtype=np.float64) for x in language._tables(256)[1]]
+
+    def vector(text):
+        s, out = [0], np.zeros(dim)
+        for c in text.lower():
+            k = int(symbol[ord(c)])
+            if k or s[-1]:
+                s.append(k)
+        if s[-1]:
+            s.append(0)
+        for a, b, c in zip(s, s[1:], s[2:]):
+            out += letters[0][a] * letters[1][b] * letters[2][c]
+        n = np.linalg.norm(out)
+        return out / n if n else out
+
+    teach = [i for i in range(90) if zlib.crc32(str(i).encode()) % 4 != 2]
+    protos = {}
+    for lang in "ab":
+        own = sum(vector(texts[i]) for i in teach if (i % 3 == 0) == (lang == "b"))
+        protos[lang] = own / np.linalg.norm(own)
+    mean = (protos["a"] + protos["b"]) / 2
+    got = {r.doc_id: r for r in language.identify(docs, dimensions=dim).collect()}
+    sure = 0
+    for i, t in enumerate(texts):
+        v = vector(t) - mean
+        cos = {k: v @ (p - mean) / np.linalg.norm(v) / np.linalg.norm(p - mean) for k, p in protos.items()}
+        if any(c.isalpha() for c in t):
+            if abs(cos["a"] - cos["b"]) > 1e-5:
+                assert got[i]._lang_pred == max(cos, key=cos.get)
+                sure += 1
+            assert got[i]._score == pytest.approx((1 + max(cos.values())) / 2, abs=1e-5)
+        else:
+            assert (got[i]._lang_pred, got[i]._score) == ("und", 0.0)
+        assert got[i]._held_out == (i not in teach)
+    assert sure > 70
+
+
+def test_shards_digest_and_groups(spark, docs_of):
+    """op2: size and CRC of every row, equal texts in one shard, loads as even as differencing makes them."""
+    texts = ["é" * i for i in range(40)] + [None, "", "é" * 7, "é" * 7]
+    rows = sharding.shard_by_bytes(docs_of(texts), shards=4).collect()
+    want = {i: (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == want
+    shard = {r.doc_id: r.shard for r in rows}
+    assert shard[7] == shard[42] == shard[43] and shard[0] == shard[40] == shard[41]
+    # plain Karmarkar-Karp: the two partial partitions of largest spread are joined, oppositely ordered
+    groups = {}
+    for i, t in enumerate(texts):
+        groups[t or ""] = groups.get(t or "", 0) + want[i][0]
+    parts = [sorted([size, 0, 0, 0], reverse=True) for size in groups.values()]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[-1] - p[0])
+        a, b = parts[0], parts[1]
+        parts = parts[2:] + [sorted((x + y for x, y in zip(a, reversed(b))), reverse=True)]
+    loads = sorted((sum(r.size for r in rows if r.shard == k) for k in range(4)), reverse=True)
+    assert loads[0] - loads[-1] <= max(parts[0][0] - parts[0][-1], 2)
+
+
+def test_piece_roundtrip_of_odd_rows(spark, odd, empty):
+    """op10: null, empty and repeated rows, and a text without spaces."""
+    path = queries.vocabulary("piece_bpe_32k.model")
+    got = odd.select("doc_id", "text", pieces.digest(F.col("text"), path).alias("p")).collect()
+    assert len(got) == odd.count()
+    by = {}
+    for r in got:
+        by.setdefault(r.text, set()).add(tuple(r.p))
+    assert all(len(v) == 1 for v in by.values())  # a text has one result, in whatever row
+    assert empty.select(pieces.digest(F.col("text"), path)).count() == 0
