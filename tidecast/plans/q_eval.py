@@ -154,6 +154,22 @@ def q_expanding_folds(spark, d):
         F.max("timestamp").alias("last_ts"))
 
 
+@register("fold_reduction", sql=ov.with_views(ov.MONTHLY_NATION) + """,
+p AS (SELECT series_id, value, row_number() OVER (PARTITION BY series_id ORDER BY "timestamp", value) AS pos,
+             count(*) OVER (PARTITION BY series_id) AS n FROM monthly_nation),
+nf AS (SELECT *, CASE WHEN n // 10 < 10 THEN greatest(1, n // 10 - 1) ELSE 9 END AS folds FROM p),
+nz AS (SELECT *, n // (folds + 1) AS z FROM nf),
+fo AS (SELECT nz.*, CAST(f.range AS INTEGER) AS fold, z * f.range AS te FROM nz, range(1, 100) f WHERE f.range <= folds AND z > 0),
+r AS (SELECT *, CASE WHEN pos <= te THEN 'train' WHEN pos <= least(te + z, n) THEN 'val' END AS role FROM fo)
+SELECT series_id, fold, role, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS sum_value
+FROM r WHERE role IS NOT NULL GROUP BY series_id, fold, role""")
+def q_fold_reduction(spark, d):
+    """Nine folds are asked for; series of some eighty months have fewer."""
+    folds = split.expanding_folds(tables.monthly_nation(spark, d), n_folds=9)
+    return folds.groupBy("series_id", "fold", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("sum_value"))
+
+
 @register("train_folds", sql=f"""
 WITH tr AS (
   SELECT series_id, "timestamp", value, lag_7, rolling_max_30 FROM (
