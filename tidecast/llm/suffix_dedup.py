@@ -303,12 +303,22 @@ def _strip(spans, raw: bytes):
     return b"".join(kept), gone, n_spans
 
 
+def _spans() -> Column:
+    """A document's ranges as whole numbers, start in the upper half: in Python an array each, no object for every range."""
+    return F.collect_set(F.shiftleft(F.col("s").cast("long"), 32).bitwiseOR(F.col("e").cast("long")))
+
+
+def _pairs(spans) -> list[tuple[int, int]]:
+    x = np.sort(np.asarray(spans, dtype=np.int64))
+    return list(zip((x >> 32).tolist(), (x & 0xFFFFFFFF).tolist()))
+
+
 def _result(batches):
     for batch in batches:
         out = []
         for i, raw, spans in zip(batch["rid"], batch["raw"], batch["spans"]):
             raw = bytes(raw or b"")
-            pairs = sorted((int(x["s"]), int(x["e"])) for x in spans) if spans is not None else []
+            pairs = _pairs(spans) if spans is not None else []
             kept, gone, n = _strip(pairs, raw)
             out.append((None if pd.isna(i) else int(i), len(raw), gone, n, hashlib.sha256(kept).hexdigest(), kept))
         yield pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]).astype({"id": "Int64"})
@@ -327,7 +337,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError(f"min_len must be over {GRAM}")
     docs = df.select(F.col(id_col).cast("long").alias("doc"), text_digest(text_col).alias("th"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
-    spans = repeated_spans(docs, min_len, group).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    spans = repeated_spans(docs, min_len, group).groupBy("doc", "th").agg(_spans().alias("spans"))
     return docs.alias("x").join(
         spans.alias("y"), F.col("x.doc").eqNullSafe(F.col("y.doc")) & (F.col("x.th") == F.col("y.th")), "left").select(
         F.col("x.doc").alias("rid"), "raw", "spans").mapInPandas(
@@ -342,14 +352,14 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     """
     th = text_digest(text_col)
     raw = df.select(F.col(id_col).cast("long").alias("doc"), th.alias("th"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
-    spans = repeated_spans(raw, min_len, group).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("_spans"))
+    spans = repeated_spans(raw, min_len, group).groupBy("doc", "th").agg(_spans().alias("_spans"))
 
     @F.pandas_udf("string")
     def kept(text: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
         for t, s in zip(text, spans):
             if s is not None and t is not None:
-                t = _strip(sorted((int(x["s"]), int(x["e"])) for x in s), t.encode())[0].decode("utf-8", "ignore")
+                t = _strip(_pairs(s), t.encode())[0].decode("utf-8", "ignore")
             out.append(t)
         return pd.Series(out, dtype=object)
 
