@@ -97,6 +97,7 @@ def _random_tree(rng, n):
 @pytest.mark.parametrize("cov", ["ols", "diag", "shrink", "sample", "short", "still", "two parents"])
 def test_mint_equals_the_dense_formula(spark, cov, monkeypatch):
     monkeypatch.setattr(rc, "STEP_BLOCK", 3 if cov == "shrink" else 12)
+    monkeypatch.setattr(rc, "SOLVED", 1e-11)
     rng = np.random.default_rng(17)
     edges = _random_tree(rng, 14)
     if cov == "two parents":
@@ -137,8 +138,9 @@ def test_mint_sample_of_coherent_residuals_is_the_plain_projection(spark):
         assert got[k] == pytest.approx(want[k], rel=1e-9)
 
 
-def test_mint_of_a_large_tree(spark):
+def test_mint_of_a_large_tree(spark, monkeypatch):
     """20,000 nodes, five levels: more than any matrix of nodes by nodes could hold on a driver."""
+    monkeypatch.setattr(rc, "SOLVED", 1e-9)
     n = 20_000
     e = spark.range(1, n).selectExpr("concat('n', cast((id - 1) div 8 as string)) as parent", "concat('n', cast(id as string)) as child")
     nodes = spark.range(n).selectExpr("concat('n', cast(id as string)) as node", "id")
